@@ -98,7 +98,7 @@ def decoded_length(s) -> Column:
 def b64_decode(s) -> Column:
     """Safe decode with the non-strict rule; NULL where decoding fails."""
     ok, d, s2 = _decode_plan(s)
-    data = F.substring(F.regexp_replace(s2, "=", ""), F.lit(1), d.cast("int"))
+    data = F.substring(F.regexp_replace(s2, f"[^{_DATA}]", ""), F.lit(1), d.cast("int"))
     npad = (F.lit(4) - d % 4) % 4
     padded = F.concat(data, F.when(npad == 2, F.lit("==")).when(npad == 1, F.lit("=")).otherwise(F.lit("")))
     return F.when(ok, F.try_to_binary(padded, F.lit("base64")))

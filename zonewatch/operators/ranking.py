@@ -4,24 +4,23 @@
 one task; with a handful of cameras (or Kafka partitions, or one global
 order) that is a handful of tasks for the whole data set, and a hot camera
 holding a third of all rows becomes one giant task.  Here the order is cut
-into range slices instead:
-
-1. range-partition on (group, order) - Spark samples the keys, so a hot group
-   is split across many slices of about equal size;
-2. inside each slice the rows are sorted and tagged with their position;
-3. a small per-(slice, group) count table gives each slice the number of
-   rows of the same group in earlier slices (a running sum over at most
-   ``slices`` rows per group);
-4. sequence number = rows in earlier slices + position within the slice.
-
-The per-slice table has one row per (slice, group) pair present, so for the
-low-cardinality groups this helper is meant for it is bounded by
-``slices + groups`` and is broadcast; callers with many groups pass
-``broadcast_offsets=False`` (or simply use a window - each group is small).
+into slices instead:
+
+1. equi-depth split points of the order key are estimated with
+   ``approxQuantile`` (a few hundred numbers, one scan);
+2. ``Bucketizer`` maps every row to its slice - a pure function of the row,
+   so every re-evaluation (retries, both sides of the join below) agrees;
+3. rows are numbered inside (group, slice) with a window: a slice holds about
+   1/slices of all rows, so even a hot group is spread over many tasks;
+4. a per-(group, slice) count table, prefix-summed over slices, gives the
+   number of rows of the group in earlier slices; it has at most
+   groups x slices rows and is broadcast (callers with many groups pass
+   ``broadcast_offsets=False`` - or use a plain window, groups being small).
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,34 +29,49 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def slice_points(df: DataFrame, key: str, slices: int, rel_error: float = 0.001) -> list[float]:
+    """Equi-depth split points of ``key`` for ``Bucketizer`` (-inf .. +inf)."""
+    probs = [i / slices for i in range(1, slices)]
+    qs = df.approxQuantile(key, probs, rel_error) if slices > 1 else []
+    inner = sorted({float(q) for q in qs if q is not None})
+    return [float("-inf")] + inner + [float("inf")]
+
+
 def sequence_number(df: DataFrame, group_cols: list[str], order_cols: list,
                     out: str = "seq", slices: int | None = None,
+                    slice_key: Column | None = None,
                     broadcast_offsets: bool = True) -> DataFrame:
     """Add ``out`` = 1-based row number per group in ``order_cols`` order.
 
-    ``order_cols`` must give a total order inside each group (add a unique
-    id as the last key) so the numbering is deterministic under retries.
+    ``order_cols`` must give a total order inside each group (end with a
+    unique id).  ``slice_key`` is a numeric expression monotone in the order
+    (default: the first order column; timestamps are taken in microseconds).
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _cols(group_cols) + _cols(order_cols)
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_slice", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    stats = (ranged.groupBy("_slice", *group_cols)
-                   .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")))
-    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
+    order = _cols(order_cols)
+    if slice_key is None:
+        first = order_cols[0]
+        name = first if isinstance(first, str) else None
+        dtype = dict(df.dtypes).get(name) if name else None
+        slice_key = F.unix_micros(F.col(name)) if dtype == "timestamp" else order[0]
+    keyed = df.withColumn("_sk", slice_key.cast("double"))
+    splits = slice_points(keyed, "_sk", n)
+    sliced = Bucketizer(splits=splits, inputCol="_sk", outputCol="_slice",
+                        handleInvalid="keep").transform(keyed).drop("_sk")
+    local_w = Window.partitionBy(*group_cols, "_slice").orderBy(*order)
+    local = sliced.withColumn("_local", F.row_number().over(local_w))
+    stats = sliced.groupBy(*group_cols, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
+    prefix_w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
         .orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     renamed = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)]
     offsets = stats.select(F.col("_slice").alias("_oslice"), *renamed,
-                           F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_before"),
-                           F.col("_first"))
+                           F.coalesce(F.sum("_cnt").over(prefix_w), F.lit(0)).alias("_before"))
     if broadcast_offsets:
         offsets = F.broadcast(offsets)
     cond = F.col("_slice") == F.col("_oslice")
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    joined = ranged.join(offsets, cond, "inner")
-    seq = (F.col("_before") + (F.col("_mid") - F.col("_first")) + 1).cast("long")
+    joined = local.join(offsets, cond, "inner")
+    seq = (F.col("_before") + F.col("_local")).cast("long")
     return joined.select(*[F.col(c) for c in df.columns], seq.alias(out))

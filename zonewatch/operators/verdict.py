@@ -67,9 +67,10 @@ def frame_verdicts(frames: DataFrame, dets: DataFrame, min_conf: float = config.
                     (red & zone_hit).alias("violation"))
 
 
-def nested_verdicts(frames_nested: DataFrame, min_conf: float = config.CONF_THRESHOLD,
-                    zone=None) -> DataFrame:
-    """E3 on the nested form: ``filter``/``exists`` over the detection array.
+def with_nested_flags(df: DataFrame, min_conf: float = config.CONF_THRESHOLD,
+                      zone=None) -> DataFrame:
+    """Add n_objects, red_light, vehicle_in_zone, violation to rows holding a
+    ``detections`` array and the frame size (w, h); other columns are kept.
 
     The scaled vertices are computed once per frame row; the lambda refers to
     them, so the per-detection work is the sample test only.
@@ -77,7 +78,7 @@ def nested_verdicts(frames_nested: DataFrame, min_conf: float = config.CONF_THRE
     verts = geometry.zone_vertex_sql("w", "h", zone)
     zone_cols = [f"{vx} AS _zx{k}" for k, (vx, _) in enumerate(verts)] + \
                 [f"{vy} AS _zy{k}" for k, (_, vy) in enumerate(verts)]
-    staged = frames_nested.selectExpr("*", *zone_cols)
+    staged = df.selectExpr("*", *zone_cols)
     vnames = [(f"_zx{k}", f"_zy{k}") for k in range(len(verts))]
     hits = geometry.hits_sql("d.x1", "d.x2", "d.y2", vnames)
     vehicles = ", ".join(f"'{v}'" for v in config.VEHICLE_LABELS)
@@ -87,7 +88,7 @@ def nested_verdicts(frames_nested: DataFrame, min_conf: float = config.CONF_THRE
               f"ELSE slice(detections, 1, 0) END")
     step = staged.selectExpr("*", f"{usable} AS _usable")
     out = step.selectExpr(
-        "frame_id", "camera_id", "epoch_id", "w", "h",
+        *[f"`{c}`" for c in df.columns],
         "CAST(size(_usable) AS BIGINT) AS n_objects",
         f"exists(_usable, d -> d.label = '{config.RED_LIGHT_LABEL}') AS red_light",
         f"exists(_usable, d -> d.label IN ({vehicles}) AND {hits} * 2 > {config.NUM_SAMPLE_STEPS}) "
@@ -95,6 +96,15 @@ def nested_verdicts(frames_nested: DataFrame, min_conf: float = config.CONF_THRE
     return out.withColumn("violation", F.col("red_light") & F.col("vehicle_in_zone"))
 
 
+def nested_verdicts(frames_nested: DataFrame, min_conf: float = config.CONF_THRESHOLD,
+                    zone=None) -> DataFrame:
+    """E3 on the nested form: ``filter``/``exists`` over the detection array,
+    one frame per row, no shuffle."""
+    out = with_nested_flags(frames_nested, min_conf, zone)
+    return out.select("frame_id", "camera_id", "epoch_id", "w", "h", "n_objects",
+                      "red_light", "vehicle_in_zone", "violation")
+
+
 def vehicle_verdicts(dets: DataFrame, min_conf: float = config.CONF_THRESHOLD, zone=None) -> DataFrame:
     """E5: each usable vehicle is a violator when it is in the zone and its
     frame has a red light.  The frame flag is a per-frame aggregate joined

@@ -163,9 +163,11 @@ def payload_override(frame_id):
     return frame_id % 50
 
 
-def frame_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(frame_id, camera_id, epoch_id, doc_id, frame_b64) - the heavy form."""
-    fr = frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "captured_at")
+def frame_payloads(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """Frame rows plus doc_id and frame_b64 - the heavy form.  ``base``
+    (default: the frame table's id, camera, epoch and time) is kept as is."""
+    fr = base if base is not None else \
+        frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "captured_at")
     fr = fr.withColumn("doc_id", _doc_index(spark, sf_dir, F.col("frame_id")))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     j = fr.join(docs, "doc_id", "left")
@@ -174,7 +176,7 @@ def frame_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(ov == 48, F.lit(""))
              .when(ov == 49, F.col("text"))
              .otherwise(payload.b64_encode(F.encode(F.col("text"), "UTF-8"))))
-    return j.select("frame_id", "camera_id", "epoch_id", "captured_at", "doc_id", b64.alias("frame_b64"))
+    return j.select(*fr.columns, b64.alias("frame_b64"))
 
 
 def document_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,13 +208,14 @@ def frame_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Partition = camera % 4, offsets numbered per partition in capture order.
     A topic partition is a low-cardinality group holding a large share of all
-    rows, so the numbering uses the range-sliced sequence helper rather than
-    a window over the partition.
+    rows, so the numbering uses the sliced sequence helper rather than a
+    window over the partition; it runs on the narrow frame rows, and the
+    payloads are attached afterwards.
     """
-    p = frame_payloads(spark, sf_dir)
-    p = p.withColumn("partition", (F.col("camera_id") % N_LOG_PARTITIONS).cast("int"))
-    p = sequence_number(p.select("frame_id", "partition", "captured_at", "frame_b64"),
-                        ["partition"], ["captured_at", "frame_id"], out="_seq")
+    fr = frames(spark, sf_dir).select(
+        "frame_id", (F.col("camera_id") % N_LOG_PARTITIONS).cast("int").alias("partition"), "captured_at")
+    numbered = sequence_number(fr, ["partition"], ["captured_at", "frame_id"], out="_seq")
+    p = frame_payloads(spark, sf_dir, base=numbered)
     return p.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("frame_b64").cast("binary").alias("value"),
