@@ -184,6 +184,15 @@ SELECT CAST(NULL AS BLOB) AS key, encode(p.frame_b64) AS value, 'frames' AS topi
 FROM frames f JOIN payloads p ON p.frame_id = f.frame_id""")
 
 
+view("progress", [], """
+SELECT event_id // 5 AS batch_id, count(*) AS num_input_rows, count(*) / 60.0 AS input_rows_per_second,
+       CASE WHEN min_by(event_type, event_id) = 'error' THEN
+         CASE (event_id // 5) % 4 WHEN 0 THEN 'java.lang.OutOfMemoryError: Java heap space'
+              WHEN 1 THEN 'Arrow stream closed' WHEN 2 THEN 'Socket timeout' ELSE 'Topic not found' END
+       END AS error
+FROM events GROUP BY event_id // 5""")
+
+
 def with_views(*names: str) -> str:
     """``WITH`` clause defining ``names`` and everything they depend on."""
     order: list[str] = []

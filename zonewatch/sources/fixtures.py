@@ -225,3 +225,24 @@ def frame_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("captured_at").alias("timestamp"),
         F.lit(0).alias("timestampType"),
         F.col("frame_id"))
+
+
+# ---------------------------------------------------------------- progress
+# fixed values: error texts of failed micro-batches (by epoch_id % 4)
+ERROR_TEXTS = ["java.lang.OutOfMemoryError: Java heap space", "Arrow stream closed",
+               "Socket timeout", "Topic not found"]
+
+
+def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One progress record per micro-batch: rows, input rate at the 60 s
+    trigger, and an error text when the batch's first event is an error."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    agg = ev.groupBy(geometry.idiv(F.col("event_id"), FRAMES_PER_EPOCH).alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("num_input_rows"),
+        F.min_by("event_type", "event_id").alias("_first"))
+    texts = F.array(*[F.lit(t) for t in ERROR_TEXTS])
+    err = F.when(F.col("_first") == "error",
+                 F.element_at(texts, (F.col("batch_id") % len(ERROR_TEXTS) + 1).cast("int")))
+    return agg.select("batch_id", "num_input_rows",
+                      (F.col("num_input_rows") / 60.0).alias("input_rows_per_second"),
+                      err.alias("error"))
