@@ -22,6 +22,9 @@ _REQUIRED = {
 }
 
 
+ARROW_BATCH_ROWS = 256
+
+
 def build_session(master: str | None = None, app_name: str = "zonewatch",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -37,6 +40,10 @@ def build_session(master: str | None = None, app_name: str = "zonewatch",
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    # frames carry image payloads: keep Arrow batches to the detector small
+    if not spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) or \
+            spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_BATCH_ROWS))
     apply_required(spark)
     return spark
 
