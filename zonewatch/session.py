@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 # Settings every query in the package relies on.  UTC keeps event-time
 # arithmetic and `unix_timestamp` identical to the SQL oracle.
 _REQUIRED = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
