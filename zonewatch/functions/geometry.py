@@ -170,30 +170,73 @@ def hits_sql(x1: str, x2: str, y2: str, vertices: list[tuple[str, str]],
     return "(" + " + ".join(terms) + ")"
 
 
+_MINL, _MAXL = "-9223372036854775807L", "9223372036854775807L"
+
+
+def hof_hits_sql(poly: str, x1: str, x2: str, y2: str, steps: int = config.NUM_SAMPLE_STEPS) -> str:
+    """General ray test (any simple polygon) as higher-order functions over
+    ``poly`` = array<struct<x,y>> of integer vertices.  Interpreted, compact."""
+    n = f"size({poly})"
+    px = f"((CAST({x1} AS BIGINT) * {steps} + i * (CAST({x2} AS BIGINT) - CAST({x1} AS BIGINT))) div {steps})"
+    py = f"CAST({y2} AS BIGINT)"
+    a, b = f"{poly}[k]", f"{poly}[(k + 1) % {n}]"
+    cr = f"(({b}.x - {a}.x) * ({py} - {a}.y) - ({px} - {a}.x) * ({b}.y - {a}.y))"
+    on_edge = (f"exists(sequence(0, {n} - 1), k -> {cr} = 0 "
+               f"AND {px} BETWEEN least({a}.x, {b}.x) AND greatest({a}.x, {b}.x) "
+               f"AND {py} BETWEEN least({a}.y, {b}.y) AND greatest({a}.y, {b}.y))")
+    crossings = (f"aggregate(sequence(0, {n} - 1), 0, (c, k) -> c + CASE WHEN "
+                 f"(({a}.y > {py}) <> ({b}.y > {py})) AND (({b}.y > {a}.y) = ({cr} > 0)) THEN 1 ELSE 0 END)")
+    inside = f"({on_edge} OR {crossings} % 2 = 1)"
+    return f"aggregate(sequence(0, {steps}), 0, (acc, i) -> acc + CASE WHEN {inside} THEN 1 ELSE 0 END)"
+
+
 def with_zone_hits(df, out: str = "hits", x1: str = "x1", x2: str = "x2", y2: str = "y2",
                    w: str = "w", h: str = "h", zone=None, steps: int = config.NUM_SAMPLE_STEPS):
-    """Add ``out`` = bottom-edge samples of the box inside the scaled zone."""
+    """Add ``out`` = bottom-edge samples of the box inside the scaled zone.
+
+    Fast path (convex scaled polygon, checked per row): the closed polygon
+    meets the line y = y2 in one interval [L, R] given by the edges'
+    half-planes ``s * (A - px * dy) >= 0`` (s = orientation), so a sample is
+    inside iff L <= px <= R - the same set the ray rule with on-edge points
+    gives.  Bounds use floor/ceil of exact double quotients (|A| < 2^52).
+    Other rows (non-convex after truncation, or degenerate) use the general
+    ray test in a higher-order function.  The vertices come out of a one-row
+    generator so a filter on the result is never pushed below them.
+    """
     zone = zone or config.ZONE_640
     n = len(zone)
-    verts = _vertex_sql(zone, w, h)
-    stage1 = [f"{vx} AS _zx{k}" for k, (vx, _) in enumerate(verts)] + \
-             [f"{vy} AS _zy{k}" for k, (_, vy) in enumerate(verts)]
-    a = df.selectExpr("*", *stage1)
-    py = f"CAST({y2} AS BIGINT)"
-    stage2, edges = [], []
+    valid = f"({x1} IS NOT NULL AND {x2} IS NOT NULL AND {y2} IS NOT NULL AND {w} IS NOT NULL AND {h} IS NOT NULL)"
+    verts = _vertex_sql(zone, f"coalesce({w}, 0)", f"coalesce({h}, 0)")
+    fields = [f"'_zx{k}', coalesce({vx}, 0L), '_zy{k}', coalesce({vy}, 0L)" for k, (vx, vy) in enumerate(verts)]
+    a = df.selectExpr("*", f"{valid} AS _valid", f"inline(array(named_struct({', '.join(fields)})))")
+    py = f"coalesce(CAST({y2} AS BIGINT), 0L)"
+    X = [f"_zx{k}" for k in range(n)]
+    Y = [f"_zy{k}" for k in range(n)]
+    area2 = " + ".join(f"({X[k]} * {Y[(k + 1) % n]} - {X[(k + 1) % n]} * {Y[k]})" for k in range(n))
+    b = a.selectExpr("*", f"CAST(sign({area2}) AS BIGINT) AS _sg")
+    turns = " AND ".join(
+        f"_sg * (({X[(k + 1) % n]} - {X[k]}) * ({Y[(k + 2) % n]} - {Y[(k + 1) % n]}) - "
+        f"({Y[(k + 1) % n]} - {Y[k]}) * ({X[(k + 2) % n]} - {X[(k + 1) % n]})) >= 0" for k in range(n))
+    lows, highs, feas = [], [], []
     for k in range(n):
-        terms = _edge_sql(f"_zx{k}", f"_zy{k}", f"_zx{(k + 1) % n}", f"_zy{(k + 1) % n}", py)
-        names = {}
-        for key, sql in terms.items():
-            names[key] = f"_e{k}{key}"
-            stage2.append(f"{sql} AS _e{k}{key}")
-        edges.append(names)
-    stage2 += [f"{_sample_sql(x1, x2, i, steps)} AS _sx{i}" for i in range(steps + 1)]
-    b = a.selectExpr("*", *stage2)
-    hits = " + ".join(f"CASE WHEN {_inside_sql(f'_sx{i}', edges)} THEN 1 ELSE 0 END"
-                      for i in range(steps + 1))
-    c = b.selectExpr("*", f"({hits}) AS {out}")
-    return c.select(*df.columns, out)
+        ax, ay, bx, by = X[k], Y[k], X[(k + 1) % n], Y[(k + 1) % n]
+        d = f"(_sg * ({by} - {ay}))"
+        bb = f"(_sg * (({bx} - {ax}) * ({py} - {ay}) + {ax} * ({by} - {ay})))"
+        lows.append(f"CASE WHEN {d} < 0 THEN CAST(ceil(CAST({bb} AS DOUBLE) / {d}) AS BIGINT) ELSE {_MINL} END")
+        highs.append(f"CASE WHEN {d} > 0 THEN CAST(floor(CAST({bb} AS DOUBLE) / {d}) AS BIGINT) ELSE {_MAXL} END")
+        feas.append(f"({d} <> 0 OR {bb} >= 0)")
+    stage = [f"(_sg <> 0 AND {turns}) AS _convex",
+             f"greatest({', '.join(lows)}) AS _lo", f"least({', '.join(highs)}) AS _hi",
+             f"({' AND '.join(feas)}) AS _feas"]
+    stage += [f"coalesce({_sample_sql(f'coalesce({x1}, 0L)', f'coalesce({x2}, 0L)', i, steps)}, 0L) AS _sx{i}"
+              for i in range(steps + 1)]
+    c = b.selectExpr("*", *stage)
+    interval = " + ".join(f"CASE WHEN _sx{i} BETWEEN _lo AND _hi THEN 1 ELSE 0 END" for i in range(steps + 1))
+    poly = "array(" + ", ".join(f"named_struct('x', {X[k]}, 'y', {Y[k]})" for k in range(n)) + ")"
+    general = hof_hits_sql(poly, x1, x2, y2, steps)
+    d = c.selectExpr("*", f"CASE WHEN NOT _valid THEN NULL WHEN _convex THEN "
+                          f"CASE WHEN _feas THEN {interval} ELSE 0 END ELSE {general} END AS {out}")
+    return d.select(*df.columns, out)
 
 
 def zone_vertex_sql(w: str, h: str, zone=None):

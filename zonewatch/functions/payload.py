@@ -54,16 +54,17 @@ def b64_encode(b) -> Column:
 def _decode_plan(s):
     """Shared pieces of the non-strict decode rule.
 
-    Returns (ok, data_chars) where ``data_chars`` is the number of base64 data
-    characters the decoder consumes before it stops, and ``ok`` says the input
-    decodes.  Rule: CR/LF are discarded; '=' is ignored until two data
+    Returns (ok, data_chars, cleaned) where ``data_chars`` is the number of
+    base64 data characters the decoder consumes before it stops, and ``ok``
+    says the input decodes.  Rule: non-alphabet characters are discarded; '=' is ignored until two data
     characters of a quad are seen; a run of '=' completing the quad ends the
     input; otherwise the data characters must fill whole quads.  Non-ASCII
     characters are an error.
     """
     s = _c(s)
-    s2 = F.regexp_replace(s, "[\r\n]", "")
-    ascii_only = ~s2.rlike("[^\\x00-\\x7F]")
+    ascii_only = ~s.rlike("[^\\x00-\\x7F]")
+    # characters outside the alphabet (CR/LF, '-', '_', ...) are discarded
+    s2 = F.regexp_replace(s, f"[^{_DATA}=]", "")
     clean = s2.rlike(f"^[{_DATA}]*=*$")
     # fast path: data characters then padding
     data_clean = F.length(F.regexp_replace(s2, "=+$", "")).cast("long")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch import config
+from zonewatch.functions import geometry
 
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -32,22 +33,6 @@ def polygons(zones: DataFrame) -> DataFrame:
                  .agg(F.array_sort(F.collect_list(F.struct("vertex_no", "x", "y"))).alias("poly")))
 
 
-def _hits_sql(steps: int = config.NUM_SAMPLE_STEPS, ref: int = config.REF_SIZE) -> str:
-    """Bottom-edge hits against an array polygon ``_p`` of scaled vertices."""
-    n = "size(_p)"
-    px = f"((CAST(x1 AS BIGINT) * {steps} + i * (CAST(x2 AS BIGINT) - CAST(x1 AS BIGINT))) div {steps})"
-    py = "CAST(y2 AS BIGINT)"
-    a, b = "_p[k]", f"_p[(k + 1) % {n}]"
-    cr = f"(({b}.x - {a}.x) * ({py} - {a}.y) - ({px} - {a}.x) * ({b}.y - {a}.y))"
-    on_edge = (f"exists(sequence(0, {n} - 1), k -> {cr} = 0 "
-               f"AND {px} BETWEEN least({a}.x, {b}.x) AND greatest({a}.x, {b}.x) "
-               f"AND {py} BETWEEN least({a}.y, {b}.y) AND greatest({a}.y, {b}.y))")
-    crossings = (f"aggregate(sequence(0, {n} - 1), 0, (c, k) -> c + CASE WHEN "
-                 f"(({a}.y > {py}) <> ({b}.y > {py})) AND (({b}.y > {a}.y) = ({cr} > 0)) THEN 1 ELSE 0 END)")
-    inside = f"({on_edge} OR {crossings} % 2 = 1)"
-    return f"aggregate(sequence(0, {steps}), 0, (acc, i) -> acc + CASE WHEN {inside} THEN 1 ELSE 0 END)"
-
-
 def zone_hits_from_table(dets: DataFrame, zones: DataFrame, ref: int = config.REF_SIZE) -> DataFrame:
     """join detections (with camera_id, w, h) to the zone table and count
     bottom-edge hits per (detection, zone).  A zone with NULL camera applies
@@ -60,4 +45,4 @@ def zone_hits_from_table(dets: DataFrame, zones: DataFrame, ref: int = config.RE
               f"'x', CAST(v.x * (CAST(w AS DOUBLE) / {float(ref)!r}D) AS BIGINT), "
               f"'y', CAST(v.y * (CAST(h AS DOUBLE) / {float(ref)!r}D) AS BIGINT)))")
     j = j.withColumn("_p", F.expr(scaled))
-    return j.withColumn("hits", F.expr(_hits_sql())).drop("_p", "poly")
+    return j.withColumn("hits", F.expr(geometry.hof_hits_sql("_p", "x1", "x2", "y2"))).drop("_p", "poly")

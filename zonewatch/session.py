@@ -34,6 +34,10 @@ def build_session(master: str | None = None, app_name: str = "zonewatch",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the executor; the default 1g heap
+            # is too small for codegen of wide verdict projections
+            builder = builder.config("spark.driver.memory", "8g")
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in _REQUIRED.items():
         builder = builder.config(key, value)

@@ -38,9 +38,9 @@ def _pick(key, values):
 
 def frame_dims(frame_id):
     """(src_w, src_h, w, h) of a frame: source size by id, then D1."""
-    k = frame_id % len(SRC_SIZES)
-    src_w = _pick(k, [w for w, _ in SRC_SIZES]).cast("int")
-    src_h = _pick(k, [h for _, h in SRC_SIZES]).cast("int")
+    k = (frame_id % len(SRC_SIZES)).cast("int") + 1
+    src_w = F.element_at(F.array(*[F.lit(w) for w, _ in SRC_SIZES]), k)
+    src_h = F.element_at(F.array(*[F.lit(h) for _, h in SRC_SIZES]), k)
     w, h = geometry.downscale_dims(src_w, src_h)
     return src_w, src_h, w, h
 
@@ -76,8 +76,11 @@ def raw_detections(spark: SparkSession, sf_dir: str, min_conf: float | None = No
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     if min_conf is not None:
         li = li.where(F.col("l_quantity") >= F.lit(min_conf * 50.0))
+    # frame size first (own projection: referenced by every coordinate)
+    _, _, w, h = frame_dims(F.col("l_orderkey"))
+    li = li.select("*", w.alias("w"), h.alias("h"))
     fid = F.col("l_orderkey")
-    _, _, w, h = frame_dims(fid)
+    w, h = F.col("w"), F.col("h")
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("long")
     digit = pk % 10
     bx = (pk * 37 + ln * 71) % 560
@@ -95,7 +98,7 @@ def raw_detections(spark: SparkSession, sf_dir: str, min_conf: float | None = No
         geometry.idiv(by * h, 640).alias("y1"),
         geometry.idiv(F.least(bx + bw, F.lit(639)) * w, 640).alias("x2"),
         geometry.idiv(F.least(by + bh, F.lit(639)) * h, 640).alias("y2"),
-        w.alias("w"), h.alias("h"))
+        w, h)
     if min_conf is not None:
         df = df.where(F.col("conf") >= min_conf)
     return df
