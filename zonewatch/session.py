@@ -25,6 +25,9 @@ _REQUIRED = {
 
 
 ARROW_BATCH_ROWS = 256
+# The per-detection zone test compiles to a method above HotSpot's 8000-byte
+# JIT limit; without this flag it would run in the bytecode interpreter.
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str | None = None, app_name: str = "zonewatch",
@@ -38,6 +41,9 @@ def build_session(master: str | None = None, app_name: str = "zonewatch",
             # local mode: the driver JVM is the executor; the default 1g heap
             # is too small for codegen of wide verdict projections
             builder = builder.config("spark.driver.memory", "8g")
+            builder = builder.config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        else:
+            builder = builder.config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in _REQUIRED.items():
         builder = builder.config(key, value)

@@ -50,10 +50,23 @@ def size_ok(w, h):
     return w.between(config.MIN_SIDE, config.MAX_SIDE) & h.between(config.MIN_SIDE, config.MAX_SIDE)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when its scan has fewer splits than
+    the cluster has cores, so CPU-heavy per-row work that follows runs in
+    parallel.  The partitioning is the one a later join on ``key`` needs, so
+    the exchange moves earlier rather than being added; large inputs (many
+    splits) are left as they are and validated map-side."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df
+
+
 # ------------------------------------------------------------------ frames
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per frame: id, camera, capture time, micro-batch, sizes."""
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
     fid = F.col("event_id")
     src_w, src_h, w, h = frame_dims(fid)
     return ev.select(
@@ -76,6 +89,7 @@ def raw_detections(spark: SparkSession, sf_dir: str, min_conf: float | None = No
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     if min_conf is not None:
         li = li.where(F.col("l_quantity") >= F.lit(min_conf * 50.0))
+    li = spread(li, "l_orderkey")
     # frame size first (own projection: referenced by every coordinate)
     _, _, w, h = frame_dims(F.col("l_orderkey"))
     li = li.select("*", w.alias("w"), h.alias("h"))
@@ -172,7 +186,7 @@ def frame_payloads(spark: SparkSession, sf_dir: str, base: DataFrame | None = No
     fr = base if base is not None else \
         frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "captured_at")
     fr = fr.withColumn("doc_id", _doc_index(spark, sf_dir, F.col("frame_id")))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     j = fr.join(docs, "doc_id", "left")
     ov = payload_override(F.col("frame_id"))
     b64 = (F.when(ov == 47, F.lit(None).cast("string"))
@@ -184,7 +198,7 @@ def frame_payloads(spark: SparkSession, sf_dir: str, base: DataFrame | None = No
 
 def document_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation reason of every document, as base64 payload and as raw text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select(
         "doc_id",
         payload.validate_payload(payload.b64_encode(F.encode(F.col("text"), "UTF-8"))).alias("reason_b64"),
