@@ -44,32 +44,38 @@ def sentinel(epoch_id, row_idx):
 
 
 def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False) -> DataFrame:
-    """frame_id, epoch_id, camera_id, row_idx, status, violation[, result].
+    """frame_id, epoch_id, camera_id, captured_at, row_idx, status, violation
+    [, result].
 
-    Without the payload the per-frame validation reason is looked up per
-    document (each document validated once) instead of moving payloads.
+    Light frame rows (verdict flags, batch position, document id) meet the
+    document table exactly once, on doc_id: each document is validated once
+    and carries its text only when payloads are asked for, so document text
+    is shuffled at most once and never re-keyed by frame.
     """
     frames = fx.frames(spark, sf_dir)
     dets = fx.raw_detections(spark, sf_dir, min_conf=config.CONF_THRESHOLD)
-    fv = verdict.frame_verdicts(frames, dets)
-    reasons = fx.frame_reasons(spark, sf_dir).select("frame_id", "reason")
-    base = fv.join(reasons, "frame_id", "inner")
-    base = batch_row_index(base)
+    fv = verdict.frame_verdicts(frames, dets, keep=["captured_at"])
+    base = batch_row_index(fv)
+    base = base.withColumn("doc_id", fx.doc_index(spark, sf_dir, F.col("frame_id")))
+    docs = fx.document_reasons(spark, sf_dir, with_text=with_payload)
+    j = base.join(docs, "doc_id", "left")
+    ov = fx.payload_override(F.col("frame_id"))
+    reason = (F.when((ov == 47) | (ov == 48), F.lit(config.REASON_EMPTY))
+                .when(ov == 49, F.col("reason_raw"))
+                .otherwise(F.col("reason_b64")))
     gate = fx.size_ok(F.col("w"), F.col("h"))
-    empty = (~gate) | (F.col("reason") != config.REASON_VALID) | (F.col("n_objects") == 0)
+    empty = (~gate) | (reason != config.REASON_VALID) | (F.col("n_objects") == 0)
     sent = sentinel(F.col("epoch_id"), F.col("row_idx"))
     status = (F.when(sent.isNotNull(), sent)
                 .when(empty, F.lit("EMPTY"))
                 .when(F.col("violation"), F.lit("VIOLATION"))
                 .otherwise(F.lit("NORMAL")))
-    out = base.select("frame_id", "epoch_id", "camera_id", "row_idx", status.alias("status"),
-                      "violation")
+    cols = ["frame_id", "epoch_id", "camera_id", "captured_at", "row_idx"]
     if not with_payload:
-        return out
-    pl = fx.frame_payloads(spark, sf_dir).select("frame_id", "frame_b64")
-    j = out.join(pl, "frame_id", "inner")
+        return j.select(*cols, status.alias("status"), "violation")
+    b64 = fx.payload_column(F.col("frame_id"), F.col("text"))
+    j = j.select(*cols, status.alias("status"), "violation", b64.alias("frame_b64"))
     result = (F.when(F.col("status").isin(*config.SENTINELS), F.col("status"))
                 .when(F.col("status") == "EMPTY", F.lit(""))
                 .otherwise(payload.encode_result(F.col("violation"), F.col("frame_b64"))))
-    return j.select("frame_id", "epoch_id", "camera_id", "row_idx", "status", "violation",
-                    result.alias("result"))
+    return j.select(*cols, "status", "violation", result.alias("result"))

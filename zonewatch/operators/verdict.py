@@ -51,17 +51,18 @@ def frame_flags(dets: DataFrame, min_conf: float = config.CONF_THRESHOLD, zone=N
 
 
 def frame_verdicts(frames: DataFrame, dets: DataFrame, min_conf: float = config.CONF_THRESHOLD,
-                   zone=None) -> DataFrame:
+                   zone=None, keep: list[str] | None = None) -> DataFrame:
     """E3 (flagship): violation = red light present and a vehicle in the zone.
 
     Frames without a usable detection get n_objects 0 and false flags.
+    ``keep`` passes extra frame columns through.
     """
     flags = frame_flags(dets, min_conf, zone)
-    fr = frames.select("frame_id", "camera_id", "epoch_id", "w", "h")
+    fr = frames.select("frame_id", "camera_id", "epoch_id", "w", "h", *(keep or []))
     j = fr.join(flags, "frame_id", "left")
     red = F.coalesce(F.col("red_light"), F.lit(False))
     zone_hit = F.coalesce(F.col("vehicle_in_zone"), F.lit(False))
-    return j.select("frame_id", "camera_id", "epoch_id", "w", "h",
+    return j.select("frame_id", "camera_id", "epoch_id", "w", "h", *(keep or []),
                     F.coalesce(F.col("n_objects"), F.lit(0)).cast("long").alias("n_objects"),
                     red.alias("red_light"), zone_hit.alias("vehicle_in_zone"),
                     (red & zone_hit).alias("violation"))

@@ -14,6 +14,7 @@ from zonewatch import config
 from zonewatch.functions import geometry
 
 MAX_BROADCAST_ROWS = 1_000_000
+ALL_CAMERAS = -1  # lookup key of zones whose camera_id is NULL
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -38,9 +39,13 @@ def zone_hits_from_table(dets: DataFrame, zones: DataFrame, ref: int = config.RE
     bottom-edge hits per (detection, zone).  A zone with NULL camera applies
     to every camera.  The polygon table is broadcast after a size check; the
     polygon test runs over the zone's vertex array (any vertex count)."""
-    polys = broadcast_if_small(polygons(zones))
-    cond = polys["camera_id"].isNull() | (polys["camera_id"] == dets["camera_id"])
-    j = dets.join(polys, cond, "inner").drop(polys["camera_id"])
+    # equi-join on a lookup key: every detection probes its own camera and
+    # the "all cameras" key (-1), zones are keyed by coalesce(camera_id, -1)
+    polys = polygons(zones).select(F.coalesce(F.col("camera_id"), F.lit(ALL_CAMERAS)).alias("_zkey"),
+                                   "zone_id", "poly")
+    polys = broadcast_if_small(polys)
+    probes = dets.withColumn("_zkey", F.explode(F.array(F.col("camera_id"), F.lit(ALL_CAMERAS))))
+    j = probes.join(polys, "_zkey", "inner").drop("_zkey")
     scaled = (f"transform(poly, v -> named_struct("
               f"'x', CAST(v.x * (CAST(w AS DOUBLE) / {float(ref)!r}D) AS BIGINT), "
               f"'y', CAST(v.y * (CAST(h AS DOUBLE) / {float(ref)!r}D) AS BIGINT)))")

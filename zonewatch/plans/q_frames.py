@@ -271,3 +271,21 @@ def annotation_manifest(spark, sf):
     return j.select("frame_id", "det_id", "x1", "y1", "x2", "y2",
                     F.when(~veh, "detector").when(viol, "red").otherwise("green").alias("colour"),
                     F.when(viol, F.concat(F.lit("VIOLATION! "), cap)).otherwise(cap).alias("caption"))
+
+
+@register("frame_label_name", "C8", W("verdicts", "frames") + """
+SELECT frame_id,
+       'frame_' || frame_no || '_' || CASE WHEN violation THEN 'VIOLATION' ELSE 'NORMAL' END
+         || '_' || CASE WHEN red_light THEN 'RED' ELSE 'GREEN' END || '.jpg' AS file_name
+FROM (SELECT v.frame_id, v.violation, v.red_light,
+             row_number() OVER (PARTITION BY f.camera_id ORDER BY f.captured_at, f.frame_id) - 1 AS frame_no
+      FROM verdicts v JOIN frames f USING (frame_id, camera_id)) t""")
+def frame_label_name(spark, sf):
+    """The single-frame check's file name for every frame (frame number
+    within its camera, verdict, light)."""
+    from zonewatch.operators import frames_ops
+    fv = frame_verdicts(spark, sf).select("frame_id", "red_light", "violation")
+    numbered = frames_ops.frame_numbers(fx.frames(spark, sf).select("frame_id", "camera_id", "captured_at"))
+    j = numbered.join(fv, "frame_id")
+    return j.select("frame_id", frames_ops.frame_label_name(F.col("frame_no"), F.col("violation"),
+                                                            F.col("red_light")).alias("file_name"))

@@ -169,7 +169,7 @@ def classes(spark: SparkSession) -> DataFrame:
 
 
 # ---------------------------------------------------------------- payloads
-def _doc_index(spark: SparkSession, sf_dir: str, frame_id):
+def doc_index(spark: SparkSession, sf_dir: str, frame_id):
     """Document of a frame: ``frame_id % count(documents)`` (scalar subquery)."""
     n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     return frame_id % n_docs
@@ -185,31 +185,37 @@ def frame_payloads(spark: SparkSession, sf_dir: str, base: DataFrame | None = No
     (default: the frame table's id, camera, epoch and time) is kept as is."""
     fr = base if base is not None else \
         frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "captured_at")
-    fr = fr.withColumn("doc_id", _doc_index(spark, sf_dir, F.col("frame_id")))
+    fr = fr.withColumn("doc_id", doc_index(spark, sf_dir, F.col("frame_id")))
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     j = fr.join(docs, "doc_id", "left")
-    ov = payload_override(F.col("frame_id"))
-    b64 = (F.when(ov == 47, F.lit(None).cast("string"))
+    return j.select(*fr.columns, payload_column(F.col("frame_id"), F.col("text")).alias("frame_b64"))
+
+
+def payload_column(frame_id, text):
+    """The frame payload: base64 of the document, or an override."""
+    ov = payload_override(frame_id)
+    return (F.when(ov == 47, F.lit(None).cast("string"))
              .when(ov == 48, F.lit(""))
-             .when(ov == 49, F.col("text"))
-             .otherwise(payload.b64_encode(F.encode(F.col("text"), "UTF-8"))))
-    return j.select(*fr.columns, b64.alias("frame_b64"))
+             .when(ov == 49, text)
+             .otherwise(payload.b64_encode(F.encode(text, "UTF-8"))))
 
 
-def document_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation reason of every document, as base64 payload and as raw text."""
+def document_reasons(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
+    """Validation reason of every document, as base64 payload and as raw
+    text (and the text itself when asked)."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select(
         "doc_id",
         payload.validate_payload(payload.b64_encode(F.encode(F.col("text"), "UTF-8"))).alias("reason_b64"),
-        payload.validate_payload(F.col("text")).alias("reason_raw"))
+        payload.validate_payload(F.col("text")).alias("reason_raw"),
+        *(["text"] if with_text else []))
 
 
 def frame_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C3 per frame without moving payloads: validate each document once,
     then join the (doc_id, reason) pairs to frames."""
     fr = frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "w", "h")
-    fr = fr.withColumn("doc_id", _doc_index(spark, sf_dir, F.col("frame_id")))
+    fr = fr.withColumn("doc_id", doc_index(spark, sf_dir, F.col("frame_id")))
     reasons = document_reasons(spark, sf_dir)
     j = fr.join(reasons, "doc_id", "left")
     ov = payload_override(F.col("frame_id"))
