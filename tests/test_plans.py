@@ -52,3 +52,10 @@ def test_no_cartesian_anywhere(spark):
                  "frame_numbers", "error_runs"]:
         plan = _plan(QUERIES[name].build(spark, SF_SMALL))
         assert "CartesianProduct" not in plan, name
+
+
+def test_flagship_never_broadcasts_data_sized_sides(spark):
+    """The per-frame flags grow with the data: the frame join must stay a
+    shuffle join whatever the size estimate says."""
+    plan = _plan(QUERIES["frame_verdicts"].build(spark, "/root/testdata/sf0.1"))
+    assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan

@@ -58,7 +58,7 @@ def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False)
     base = batch_row_index(fv)
     base = base.withColumn("doc_id", fx.doc_index(spark, sf_dir, F.col("frame_id")))
     docs = fx.document_reasons(spark, sf_dir, with_text=with_payload)
-    j = base.join(docs, "doc_id", "left")
+    j = base.join(docs.hint("shuffle_hash"), "doc_id", "left")
     ov = fx.payload_override(F.col("frame_id"))
     reason = (F.when((ov == 47) | (ov == 48), F.lit(config.REASON_EMPTY))
                 .when(ov == 49, F.col("reason_raw"))

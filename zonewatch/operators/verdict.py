@@ -59,7 +59,7 @@ def frame_verdicts(frames: DataFrame, dets: DataFrame, min_conf: float = config.
     """
     flags = frame_flags(dets, min_conf, zone)
     fr = frames.select("frame_id", "camera_id", "epoch_id", "w", "h", *(keep or []))
-    j = fr.join(flags, "frame_id", "left")
+    j = fr.join(flags.hint("shuffle_hash"), "frame_id", "left")
     red = F.coalesce(F.col("red_light"), F.lit(False))
     zone_hit = F.coalesce(F.col("vehicle_in_zone"), F.lit(False))
     return j.select("frame_id", "camera_id", "epoch_id", "w", "h", *(keep or []),
@@ -113,6 +113,6 @@ def vehicle_verdicts(dets: DataFrame, min_conf: float = config.CONF_THRESHOLD, z
     flagged = with_flags(dets, min_conf, zone).where("usable")
     red_frames = flagged.groupBy("frame_id").agg(F.bool_or("is_red").alias("frame_red"))
     vehicles = flagged.where(is_vehicle(F.col("label")))
-    j = vehicles.join(red_frames, "frame_id", "inner")
+    j = vehicles.join(red_frames.hint("shuffle_hash"), "frame_id", "inner")
     return j.select("frame_id", "det_id", "label", "conf", "x1", "y1", "x2", "y2",
                     F.col("in_zone"), (F.col("in_zone") & F.col("frame_red")).alias("violator"))

@@ -130,7 +130,7 @@ def detections(spark: SparkSession, sf_dir: str, min_conf: float | None = None,
     detector (max_det after NMS), so the per-frame window is small."""
     dets = raw_detections(spark, sf_dir, min_conf)
     fr = frames(spark, sf_dir).select("frame_id")
-    dets = dets.join(fr, "frame_id", "left_semi")
+    dets = dets.join(fr.hint("shuffle_hash"), "frame_id", "left_semi")
     if with_det_id:
         w = Window.partitionBy("frame_id").orderBy(*det_order())
         dets = dets.withColumn("det_id", F.row_number().over(w).cast("int"))
@@ -150,7 +150,7 @@ def frames_nested(spark: SparkSession, sf_dir: str, min_conf: float | None = Non
     """Frames with their detection array (empty array when none)."""
     fr = frames(spark, sf_dir)
     nested = nest(detections(spark, sf_dir, min_conf))
-    out = fr.join(nested, "frame_id", "left")
+    out = fr.join(nested.hint("shuffle_hash"), "frame_id", "left")
     empty = F.array().cast(nested.schema["detections"].dataType)
     return out.withColumn("detections", F.coalesce(F.col("detections"), empty))
 
@@ -187,7 +187,7 @@ def frame_payloads(spark: SparkSession, sf_dir: str, base: DataFrame | None = No
         frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "captured_at")
     fr = fr.withColumn("doc_id", doc_index(spark, sf_dir, F.col("frame_id")))
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    j = fr.join(docs, "doc_id", "left")
+    j = fr.join(docs.hint("shuffle_hash"), "doc_id", "left")
     return j.select(*fr.columns, payload_column(F.col("frame_id"), F.col("text")).alias("frame_b64"))
 
 
@@ -217,7 +217,7 @@ def frame_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     fr = frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "w", "h")
     fr = fr.withColumn("doc_id", doc_index(spark, sf_dir, F.col("frame_id")))
     reasons = document_reasons(spark, sf_dir)
-    j = fr.join(reasons, "doc_id", "left")
+    j = fr.join(reasons.hint("shuffle_hash"), "doc_id", "left")
     ov = payload_override(F.col("frame_id"))
     reason = (F.when((ov == 47) | (ov == 48), F.lit(config.REASON_EMPTY))
                 .when(ov == 49, F.col("reason_raw"))
