@@ -167,3 +167,35 @@ def test_error_classes(spark):
     df = spark.createDataFrame(rows, "batch_id long, error string")
     got = {r.batch_id: (r.error_class, r.disables_udf) for r in M.classify_errors(df).collect()}
     assert got == {1: ("resource", False), 2: ("resource", True), 3: ("resource", True), 4: ("other", False)}
+
+
+def test_concave_zone_general_path(spark):
+    """A concave zone takes the general ray-test branch; it must agree with
+    the table-driven (array polygon) form and with a direct Python count."""
+    from zonewatch.operators import zones as Z
+    zone = [(0.0, 300.0), (320.0, 600.0), (640.0, 300.0), (320.0, 450.0)]  # arrow head, concave
+    rows = [(640, 640, x1, 0, x1 + span, y2) for x1 in range(0, 600, 37) for span in (10, 80, 200)
+            for y2 in (299, 300, 350, 449, 450, 451, 520, 599)]
+    df = spark.createDataFrame(rows, "w int, h int, x1 long, y1 long, x2 long, y2 long")
+    staged = {tuple(r[:6]): r.hits for r in geometry.with_zone_hits(df, "hits", zone=zone).collect()}
+    zt = spark.createDataFrame([(0, None, i, x, y) for i, (x, y) in enumerate(zone)],
+                               "zone_id int, camera_id int, vertex_no int, x double, y double")
+    table = {tuple(r[:6]): r.hits for r in
+             Z.zone_hits_from_table(df.withColumn("camera_id", F.lit(3)), zt).collect()}
+
+    def inside(px, py, poly):
+        on, cross = False, 0
+        for k in range(len(poly)):
+            (ax, ay), (bx, by) = poly[k], poly[(k + 1) % len(poly)]
+            cr = (bx - ax) * (py - ay) - (px - ax) * (by - ay)
+            if cr == 0 and min(ax, bx) <= px <= max(ax, bx) and min(ay, by) <= py <= max(ay, by):
+                on = True
+            if (ay > py) != (by > py) and (by > ay) == (cr > 0):
+                cross += 1
+        return on or cross % 2 == 1
+
+    poly = [(int(x), int(y)) for x, y in zone]
+    for r in rows:
+        w, h, x1, y1, x2, y2 = r
+        want = sum(inside((10 * x1 + i * (x2 - x1)) // 10, y2, poly) for i in range(11))
+        assert staged[r] == want == table[r], r
