@@ -86,7 +86,7 @@ def detect_budget(spark, sf):
 def detect_faults(spark, sf):
     """A detector crash outside the row loop marks its Arrow batch
     UDF_CRITICAL_ERROR; other batches are unaffected."""
-    d = D.detect(_frames_with_payload(spark, sf), D.StubDetector(fail_on="Wh", critical=True))
+    d = D.detect(_frames_with_payload(spark, sf), D.StubDetector(fail_one_in=1000, critical=True))
     return d.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
