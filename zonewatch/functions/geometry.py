@@ -1,9 +1,9 @@
 """Frame geometry as Catalyst expressions.
 
 All tests are integer arithmetic on truncated coordinates, so Spark and the
-SQL oracle agree bit for bit.  The bottom-edge / polygon test is unrolled into
-plain Column arithmetic (11 sample points x N polygon edges) so it stays
-inside whole-stage codegen; no UDF and no higher-order function.
+SQL oracle agree bit for bit.  No UDFs: the flat verdict's polygon test is a
+staged projection inside whole-stage codegen (one interval per box for a
+convex zone), higher-order functions only where arrays are the input.
 """
 
 from __future__ import annotations
@@ -90,20 +90,6 @@ def point_in_polygon(px, py, vertices) -> Column:
     return on_edge | (crossings % 2 == 1)
 
 
-def bottom_edge_hits(x1, x2, y2, vertices, steps: int = config.NUM_SAMPLE_STEPS) -> Column:
-    """Number of bottom-edge samples inside or on the polygon."""
-    y = _c(y2).cast("long")
-    hits = F.lit(0)
-    for sx in bottom_samples(x1, x2, steps):
-        hits = hits + F.when(point_in_polygon(sx, y, vertices), 1).otherwise(0)
-    return hits
-
-
-def box_in_zone(x1, x2, y2, vertices, steps: int = config.NUM_SAMPLE_STEPS) -> Column:
-    """More than half of the samples (``hits > steps / 2``) are inside."""
-    return bottom_edge_hits(x1, x2, y2, vertices, steps) * 2 > steps
-
-
 def iou(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) -> Column:
     """Intersection over union of two boxes, areas as ``(x2-x1)*(y2-y1)``."""
     iw = F.greatest(F.least(ax2, bx2) - F.greatest(ax1, bx1), F.lit(0))
@@ -115,15 +101,11 @@ def iou(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) -> Column:
     return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
 
 
-# ------------------------------------------------------------------ staged
-# The polygon test touches every vertex 11 x edges times.  For the flat form
-# it is generated as SQL text in three projections: scaled vertices, then
-# per-edge terms that do not depend on the sample x (for a horizontal ray at
-# y = y2: does the edge straddle y, the cross-product intercept A with
-# cr(px) = A - px * dy, the edge's x range), then per-sample comparisons.
-# Catalyst keeps the projections apart because their outputs are reused, so
-# each term is computed once per row and the code stays small enough for
-# whole-stage codegen.
+# ------------------------------------------------------------------ SQL forms
+# The polygon test over a box's bottom edge is written as SQL text: once
+# unrolled (``hits_sql``, for lambdas), once as higher-order functions over an
+# array polygon (``hof_hits_sql``), and as the staged projection with the
+# convex fast path (``with_zone_hits``) used by the flat verdict.
 
 
 def _vertex_sql(zone, w: str, h: str, ref: int = config.REF_SIZE):
