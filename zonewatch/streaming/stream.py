@@ -6,11 +6,11 @@ passes to the consumer (``kafka.`` + consumer property).  Where the Kafka
 connector is not on the classpath the same schema is streamed from Parquet
 files (``maxFilesPerTrigger`` standing in for ``maxOffsetsPerTrigger``).
 
-Every write in the micro-batch job is idempotent per ``batch_id``: evidence
-and summaries overwrite their batch partition, alerts anti-join on their
-content-hash id.  A replayed batch therefore produces no duplicates, and a
-failing batch fails the query (no swallowed errors) so the checkpoint never
-commits a batch whose outputs are missing.
+Every write in the micro-batch job is idempotent per ``batch_id``: evidence,
+summaries and alerts (content-hash ids) overwrite their batch partition.  A
+replayed batch therefore produces no duplicates, and a failing batch fails
+the query (no swallowed errors) so the checkpoint never commits a batch
+whose outputs are missing.
 """
 
 from __future__ import annotations
@@ -112,7 +112,6 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
     retried from the checkpoint instead of being committed half-done)."""
     if df.isEmpty():  # E14
         return
-    spark = df.sparkSession
     res = D.predict(df, detector)
     res = res.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
     try:
@@ -135,10 +134,9 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
                           F.col("timestamp").alias("captured_at"), pl.alias("payload"))
         (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch_id", "verdict").parquet(os.path.join(out_dir, "evidence")))
-        S.append_alerts(S.alerts(ev), os.path.join(out_dir, "alerts"))
+        S.write_alerts(S.alerts(ev), os.path.join(out_dir, "alerts"))
     finally:
         res.unpersist()
-    del spark
 
 
 def run_stream(raw: DataFrame, out_dir: str, checkpoint: str, detector=None,
