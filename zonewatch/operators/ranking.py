@@ -40,12 +40,16 @@ def slice_points(df: DataFrame, key: str, slices: int, rel_error: float = 0.001)
 def sequence_number(df: DataFrame, group_cols: list[str], order_cols: list,
                     out: str = "seq", slices: int | None = None,
                     slice_key: Column | None = None,
-                    broadcast_offsets: bool = True) -> DataFrame:
+                    broadcast_offsets: bool = True,
+                    split_source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number per group in ``order_cols`` order.
 
     ``order_cols`` must give a total order inside each group (end with a
     unique id).  ``slice_key`` is a numeric expression monotone in the order
     (default: the first order column; timestamps are taken in microseconds).
+    Any split points give correct numbers - they only balance the slices -
+    so ``split_source`` (a DataFrame with a numeric ``_sk`` column of the
+    same distribution) can stand in when the input is expensive to compute.
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -56,12 +60,14 @@ def sequence_number(df: DataFrame, group_cols: list[str], order_cols: list,
         dtype = dict(df.dtypes).get(name) if name else None
         slice_key = F.unix_micros(F.col(name)) if dtype == "timestamp" else order[0]
     keyed = df.withColumn("_sk", slice_key.cast("double"))
-    splits = slice_points(keyed, "_sk", n)
+    splits = slice_points(split_source if split_source is not None else keyed, "_sk", n)
     sliced = Bucketizer(splits=splits, inputCol="_sk", outputCol="_slice",
                         handleInvalid="keep").transform(keyed).drop("_sk")
     local_w = Window.partitionBy(*group_cols, "_slice").orderBy(*order)
     local = sliced.withColumn("_local", F.row_number().over(local_w))
-    stats = sliced.groupBy(*group_cols, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
+    # counts per (group, slice) from the numbered rows: this branch then
+    # shares the window's exchange, so the input is computed only once
+    stats = local.groupBy(*group_cols, "_slice").agg(F.max("_local").alias("_cnt"))
     prefix_w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
         .orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     renamed = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)]
