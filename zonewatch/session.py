@@ -42,8 +42,9 @@ def build_session(master: str | None = None, app_name: str = "zonewatch",
             # is too small for codegen of wide verdict projections
             builder = builder.config("spark.driver.memory", "8g")
             builder = builder.config("spark.driver.extraJavaOptions", JIT_OPTIONS)
-        else:
-            builder = builder.config("spark.executor.extraJavaOptions", JIT_OPTIONS)
+    # On a cluster the flag belongs in the deployment's
+    # spark.executor.extraJavaOptions; it is not set here so that existing
+    # executor options are never overwritten.
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in _REQUIRED.items():
         builder = builder.config(key, value)
