@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import suppress
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,23 +109,19 @@ def rolling(ids: np.ndarray, width: int) -> np.ndarray:
 
 
 class Words(dict):
-    """Bounded cache from a key to a computed value; emptied, not evicted, when full."""
+    """Cache from a key to a computed value, bounded to two generations of ``most`` keys: a
+    full one is set aside, and what is still asked for comes back from it."""
 
-    def __init__(self, make, most: int = 400_000):
+    def __init__(self, make, most: int = 250_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
-
-
-def batches(rows: Iterable[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(list(rows), schema=schema)
-
-
-def quietly(call) -> None:
-    with suppress(Exception):
-        call()

@@ -42,7 +42,7 @@ from zonewatch.llm.common import SPACE, put_file, rolling, run_folder, slices, s
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
-LOWER, UPPER, MIN_RANGE, SHORT = 6.0, 6.0, 0.02, 8.0
+LOWER, UPPER, MIN_RANGE, SHORT = 8.0, 20.0, 0.02, 8.0
 
 ORDER = 4
 START, END, OTHER = 1, 2, 52

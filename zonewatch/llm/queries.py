@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewatch.llm import cuckoo, kn_rules, minhash, packing, pu_quality
-from zonewatch.llm.common import UPPER, table
+from zonewatch.llm import bpe_tree, chat, cuckoo, kn_rules, line_dedup, minhash, packing, pu_quality, sharding, warc_zip
+from zonewatch.llm.common import UPPER, run_folder, stage, table
 
 
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,27 +17,76 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score_documents(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.pages_through_archives(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_fast_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(table(spark, sf_dir, "documents"))
+
+
+def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return line_dedup.remove_common_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.octet_length(text).cast("long").alias("left_bytes"),
+        F.sha2(text, 256).alias("left_sha256"))
+
+
 def op6_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_tree.round_trip_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    windows = chat.format_conversations(turns, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return chat.read_back(stage(windows, run_folder(spark, "chat"), "windows"))
+
+
 def op10_kneser_ney_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kn_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_pu_quality, op3_fast_minhash, op6_cuckoo_dedup, op8_best_fit_packing, op10_kneser_ney_rules)}
+    op1_pu_quality, op2_warc_zip, op3_fast_minhash, op4_stratified_shards, op5_site_lines, op6_cuckoo_dedup,
+    op7_tree_bpe, op8_best_fit_packing, op9_budgeted_chat, op10_kneser_ney_rules)}
+
+_BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
 
 ORACLES = {
+    "op2_warc_zip": f"""
+        WITH t AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+             w AS (SELECT *, CASE WHEN payload_bytes >= {warc_zip.MIN_REVISIT}
+                                  THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS target FROM t)
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN target > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN target > page_id THEN target END AS refers_to
+        FROM w""",
+    "op5_site_lines": f"""
+        WITH l AS (SELECT rowid AS r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                          unnest(range(len(string_split(text, chr(10))))) AS pos
+                   FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
+             k AS (SELECT *, trim(line, {_BLANK}) AS bare FROM l),
+             c AS (SELECT bare FROM k WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}),
+             m AS (SELECT k.*, c.bare IS NOT NULL AS gone FROM k LEFT JOIN c ON k.bare = c.bare),
+             d AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+                          coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM m GROUP BY r)
+        SELECT doc_id, n_lines, n_dropped, CAST(strlen(kept) AS BIGINT) AS left_bytes, sha256(kept) AS left_sha256 FROM d""",
     "op6_cuckoo_dedup": f"""
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')) AS text_sha256
                    FROM documents)
