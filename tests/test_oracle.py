@@ -1,7 +1,5 @@
 """Every query with SQL oracle equals DuckDB on sf0.001 (multiset of rows)."""
 
-import os
-
 import pytest
 
 from tests.conftest import SF_SMALL
@@ -9,16 +7,13 @@ from tests.harness import compare
 from zonewatch.plans.catalog import QUERIES
 
 KEYS = sorted(k for k, e in QUERIES.items() if e.oracle is not None)
-if not os.environ.get("ZONEWATCH_ALL_ORACLE"):
-    # a representative cut for the default run; set ZONEWATCH_ALL_ORACLE=1 for all
-    KEYS = [k for k in KEYS if k in {
-        "frame_verdicts", "nested_frame_verdicts", "vehicle_verdicts", "point_in_zone", "box_in_zone",
-        "validate_payload", "b64_decode", "gate_report", "skip_rule", "alert_outbox", "batch_summary",
-        "frame_numbers", "error_runs", "nms", "pairwise_iou", "breaker_batch", "zone_broadcast_join",
-        "route_partition", "violations_per_window", "parse_offsets"}]
 
 
 @pytest.mark.parametrize("name", KEYS)
 def test_oracle(spark, duck_small, name):
     r = compare(spark, duck_small, name, SF_SMALL)
     assert r["ok"], r
+
+
+def test_every_query_has_an_oracle():
+    assert KEYS == sorted(QUERIES)

@@ -40,8 +40,8 @@ def test_nested_verdict_no_shuffle_after_nesting(spark):
 def test_detector_runs_once(spark):
     from pyspark.sql import functions as F
     from zonewatch.operators import detect as D
-    from zonewatch.plans.q_detect import _frames_with_payload
-    df = D.predict(_frames_with_payload(spark, SF_SMALL), D.StubDetector()).where(F.col("result") != "")
+    from zonewatch.plans.q_detect import frames_with_payload
+    df = D.predict(frames_with_payload(spark, SF_SMALL), D.StubDetector()).where(F.col("result") != "")
     plan = _plan(df)
     assert plan.count("MapInPandas") == 1
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan

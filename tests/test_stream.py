@@ -1,5 +1,8 @@
 """Streaming: option mapping, batch = stream, recovery without duplicates."""
 
+import base64
+import datetime
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -11,7 +14,8 @@ def test_kafka_options():
     o = ST.kafka_options("broker:9092", consumer={"session.timeout.ms": 60000,
                                                   "kafka.max.poll.records": 5})
     assert o["subscribe"] == "traffic_frames" and o["startingOffsets"] == "earliest"
-    assert o["failOnDataLoss"] == "false" and o["maxOffsetsPerTrigger"] == "5"
+    assert o["failOnDataLoss"] == "false" and "maxOffsetsPerTrigger" not in o
+    assert ST.kafka_options("b", max_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
     assert o["kafka.session.timeout.ms"] == "60000" and o["kafka.max.poll.records"] == "5"
     assert not any(k.startswith("kafka.consumer.") for k in o)
     p = ST.publish_options("broker:9092")
@@ -31,24 +35,53 @@ def test_breaker_stream_equals_batch(spark):
     assert stream.exceptAll(batch).count() == 0
 
 
-def test_windows_stream_equals_batch_closed(spark):
-    stream = QUERIES["violations_per_window_stream"].build(spark, SF_SMALL)
-    batch = QUERIES["violations_per_window"].build(spark, SF_SMALL)
-    # a window is closed once the watermark (max time - 10 min) passes its end
-    horizon = batch.agg(F.max("window_end")).first()[0]
-    closed = batch.where(F.col("window_end") <= F.lit(horizon) - F.expr("INTERVAL 70 MINUTES"))
-    assert closed.exceptAll(stream).count() == 0
-
-
-def test_stream_summary_invariants(spark):
-    s = QUERIES["stream_batch_summary"].build(spark, SF_SMALL)
-    assert s.count() > 0
-    assert s.where("saved > processed OR processed > rows").count() == 0
-
-
-def test_capped_batches(spark):
-    c = QUERIES["frame_log_capped"].build(spark, SF_SMALL)
-    assert c.count() >= 2  # one staged file per trigger
+def _kafka(spark, rows, headers):
+    schema = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
+    return spark.createDataFrame(rows, schema + (", headers array<struct<key:string,value:binary>>" if headers else ""))
+
+
+def test_kafka_rows_go_through_the_job(spark, tmp_path):
+    """Published rows come back with their metadata and are processed."""
+    from zonewatch.operators import detect as D
+    image = base64.b64encode(b"x" * 4000).decode()
+    at = datetime.datetime(2024, 1, 1, 12, 0, 3, 5)
+    frames = spark.createDataFrame([(7, 3, 1, 2, at, 640, 360, image), (8, 3, 1, 3, at, 24, 24, image)],
+                                   "frame_id long, camera_id int, epoch_id long, row_idx int, captured_at timestamp, w int, h int, frame_b64 string")
+    sent = ST.kafka_rows(frames).collect()
+    rows = [(bytes(r.key), bytes(r.value), "t", 1, k, datetime.datetime(2030, 1, 1), 0, r.headers) for k, r in enumerate(sent)]
+    parsed = ST.parse_frames(_kafka(spark, rows, True))
+    got = sorted((r.frame_id, r.camera_id, r.epoch_id, r.row_idx, r.w, r.h, r.timestamp) for r in parsed.collect())
+    assert got == [(7, 3, 1, 2, 640, 360, at), (8, 3, 1, 3, 24, 24, at)]
+    ST.process_batch(parsed, 4, str(tmp_path), D.StubDetector())
+    saved = spark.read.parquet(str(tmp_path / "evidence")).collect()
+    assert [(r.frame_id, r.batch_id) for r in saved] == [(7, 4)] and "_epoch1_frame2.jpg" in saved[0].file_name
+
+
+def test_kafka_rows_without_headers_are_named_by_their_place(spark):
+    at = datetime.datetime(2024, 1, 1)
+    for headers in (False, True):
+        rows = [(None, b"QUJD", "t", 2, 11, at, 0, *([None] if headers else []))]
+        r = ST.parse_frames(_kafka(spark, rows, headers)).first()
+        assert (r.frame_id, r.camera_id, r.epoch_id, r.row_idx, r.w, r.h) == (2 * 2**44 + 11, 2, 2, 1, 640, 640)
+        assert r.timestamp == at and r.frame_b64 == "QUJD"
+
+
+def test_capped_and_uncapped_streams_read_the_same(spark):
+    capped = QUERIES["frame_log_capped"].build(spark, SF_SMALL)
+    whole = QUERIES["frame_log_stream"].build(spark, SF_SMALL).groupBy("topic", "partition").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, capped.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    """The interval form of the job (I1): started, fed, stopped."""
+    from zonewatch.plans.q_stream import _frame_log_files
+    raw = ST.frame_stream(spark, "parquet", _frame_log_files(spark, SF_SMALL, str(tmp_path)))
+    q = ST.run_stream(raw, str(tmp_path / "out"), str(tmp_path / "ckpt"), available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(str(tmp_path / "out" / "summary")).agg(F.sum("rows")).first()[0] > 0
 
 
 def test_alert_replay_is_idempotent(spark):

@@ -62,8 +62,7 @@ def bottom_samples(x1, x2, steps: int = config.NUM_SAMPLE_STEPS) -> list[Column]
 
 def idiv(num: Column, den: int) -> Column:
     """Integer division truncating toward zero (SQL ``div``), exact for bigint."""
-    num = _c(num).cast("long")
-    return ((num - num % den) / den).cast("long")
+    return F.call_function("div", _c(num).cast("long"), F.lit(den).cast("long"))
 
 
 def point_in_polygon(px, py, vertices) -> Column:
@@ -172,6 +171,21 @@ def hof_hits_sql(poly: str, x1: str, x2: str, y2: str, steps: int = config.NUM_S
     return f"aggregate(sequence(0, {steps}), 0, (acc, i) -> acc + CASE WHEN {inside} THEN 1 ELSE 0 END)"
 
 
+ORDERED = "({x1} >= 0 AND {x2} >= {x1})"  # boxes the closed form below is for
+
+
+def interval_hits_sql(x1: str, x2: str, lo: str, hi: str, steps: int = config.NUM_SAMPLE_STEPS) -> str:
+    """How many of the samples ``(steps * x1 + i * d) div steps``, i = 0..steps and
+    d = x2 - x1 >= 0, lie in [lo, hi]: samples grow with i, so it is a range of i.
+    ``lo`` and ``hi`` are cut to the box first, which also keeps them small."""
+    d = f"greatest({x2} - {x1}, 1L)"
+    from_i = f"(({steps}L * (greatest({lo}, {x1}) - {x1}) + {d} - 1L) div {d})"
+    past_i = f"(({steps}L * (least({hi}, {x2}) + 1L - {x1}) + {d} - 1L) div {d})"
+    return (f"(CASE WHEN {lo} > {x2} OR {hi} < {x1} THEN 0L "
+            f"WHEN {x2} = {x1} THEN {steps + 1}L "
+            f"ELSE greatest(0L, least({past_i}, {steps + 1}L) - {from_i}) END)")
+
+
 def with_zone_hits(df, out: str = "hits", x1: str = "x1", x2: str = "x2", y2: str = "y2",
                    w: str = "w", h: str = "h", zone=None, steps: int = config.NUM_SAMPLE_STEPS):
     """Add ``out`` = bottom-edge samples of the box inside the scaled zone.
@@ -180,7 +194,7 @@ def with_zone_hits(df, out: str = "hits", x1: str = "x1", x2: str = "x2", y2: st
     meets the line y = y2 in one interval [L, R] given by the edges'
     half-planes ``s * (A - px * dy) >= 0`` (s = orientation), so a sample is
     inside iff L <= px <= R - the same set the ray rule with on-edge points
-    gives.  Bounds use floor/ceil of exact double quotients (|A| < 2^52).
+    gives - and the samples inside are counted in closed form.  Bounds use floor/ceil of exact double quotients (|A| < 2^52).
     Other rows (non-convex after truncation, or degenerate) use the general
     ray test in a higher-order function.  The vertices come out of a one-row
     generator so a filter on the result is never pushed below them.
@@ -210,14 +224,12 @@ def with_zone_hits(df, out: str = "hits", x1: str = "x1", x2: str = "x2", y2: st
     stage = [f"(_sg <> 0 AND {turns}) AS _convex",
              f"greatest({', '.join(lows)}) AS _lo", f"least({', '.join(highs)}) AS _hi",
              f"({' AND '.join(feas)}) AS _feas"]
-    stage += [f"coalesce({_sample_sql(f'coalesce({x1}, 0L)', f'coalesce({x2}, 0L)', i, steps)}, 0L) AS _sx{i}"
-              for i in range(steps + 1)]
     c = b.selectExpr("*", *stage)
-    interval = " + ".join(f"CASE WHEN _sx{i} BETWEEN _lo AND _hi THEN 1 ELSE 0 END" for i in range(steps + 1))
+    interval = interval_hits_sql(f"CAST({x1} AS BIGINT)", f"CAST({x2} AS BIGINT)", "_lo", "_hi", steps)
     poly = "array(" + ", ".join(f"named_struct('x', {X[k]}, 'y', {Y[k]})" for k in range(n)) + ")"
     general = hof_hits_sql(poly, x1, x2, y2, steps)
-    d = c.selectExpr("*", f"CASE WHEN NOT _valid THEN NULL WHEN _convex THEN "
-                          f"CASE WHEN _feas THEN {interval} ELSE 0 END ELSE {general} END AS {out}")
+    d = c.selectExpr("*", f"CASE WHEN NOT _valid THEN NULL WHEN _convex AND {ORDERED.format(x1=x1, x2=x2)} THEN "
+                          f"CASE WHEN _feas THEN {interval} ELSE 0L END ELSE {general} END AS {out}")
     return d.select(*df.columns, out)
 
 

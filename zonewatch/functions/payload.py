@@ -127,7 +127,7 @@ def validate_payload(s) -> Column:
     decode with discarded characters)."""
     s = _c(s)
     n = F.length(s)
-    clean = s.rlike(f"^[{_DATA}]*=*$")
+    clean = s.rlike(f"^[{_DATA}]*=*\\z")  # \z: a final line break is not data
 
     def tail(alnum, dlen):
         return (F.when(~alnum, F.lit(config.REASON_CHARS))
@@ -139,7 +139,7 @@ def validate_payload(s) -> Column:
     ok_c, d_c = _clean_decode(s)
     fast = tail(s.rlike("[A-Za-z0-9]"), F.when(ok_c, ((d_c * 3) - (d_c * 3) % 4) / 4).cast("long"))
     stripped = F.regexp_replace(s, "[+/=\r\n]", "")
-    general = tail(stripped.rlike("^[\\p{L}\\p{N}]+$"), decoded_length(s))
+    general = tail(stripped.rlike("^[\\p{L}\\p{N}]+\\z"), decoded_length(s))
     return (F.when(s.isNull() | (s == ""), F.lit(config.REASON_EMPTY))
             .when(n < config.MIN_B64_CHARS, F.lit(config.REASON_SHORT))
             .when(n > config.MAX_B64_CHARS, F.lit(config.REASON_LONG))

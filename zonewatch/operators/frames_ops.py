@@ -26,6 +26,15 @@ def frame_seek(numbered: DataFrame, n: int) -> DataFrame:
     return numbered.where(F.col("frame_no") == n)
 
 
+def seek_outcome(numbered: DataFrame, n: int) -> DataFrame:
+    """What seeking frame ``n`` gives for each camera: its frame, or
+    ``PAST_END`` where the camera has no more than ``n`` frames."""
+    found = numbered.groupBy("camera_id").agg(
+        F.count(F.lit(1)).alias("total"), F.max(F.when(F.col("frame_no") == n, F.col("frame_id"))).alias("frame_id"))
+    return found.select("camera_id", "total", "frame_id",
+                        F.when(F.col("total") > n, F.lit("FOUND")).otherwise(F.lit("PAST_END")).alias("outcome"))
+
+
 def sample_stride(numbered: DataFrame, k: int) -> DataFrame:
     """Keep every k-th frame of each camera, starting with the first."""
     return numbered.where(F.col("frame_no") % k == 0)

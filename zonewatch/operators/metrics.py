@@ -94,26 +94,25 @@ def error_runs(progress: DataFrame, min_run: int = config.MAX_CONSECUTIVE_ERRORS
     return runs.where(F.col("run_length") >= min_run).drop("island")
 
 
-def routes(results: DataFrame) -> DataFrame:
-    """Route of every result row: the saver's two output folders or skipped."""
-    st = F.col("status")
-    return results.select("frame_id", F.when(st == "VIOLATION", "output_violation")
-                          .when(st == "NORMAL", "output_processed").otherwise("skipped").alias("route"))
-
-
-def route_partition(results: DataFrame) -> DataFrame:
+def route_partition(results: DataFrame, written: DataFrame) -> DataFrame:
     """H1: rows per route, plus the invariant that the routes partition the
-    input: rows missing from every route and rows in more than one
-    (``exceptAll`` both ways) - both must be 0."""
-    r = routes(results)
-    union = (r.where("route = 'output_violation'").select("frame_id")
-             .unionByName(r.where("route = 'output_processed'").select("frame_id"))
-             .unionByName(r.where("route = 'skipped'").select("frame_id")))
-    inp = results.select("frame_id")
-    missing = inp.exceptAll(union).agg(F.count(F.lit(1)).alias("n")).select(F.lit("missing").alias("route"), "n")
-    extra = union.exceptAll(inp).agg(F.count(F.lit(1)).alias("n")).select(F.lit("extra").alias("route"), "n")
-    counts = r.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
-    return counts.unionByName(missing).unionByName(extra)
+    input.  ``written`` (frame_id, out_dir) is the evidence as it was saved;
+    with the rows the saver skips it must account for every result row once:
+    ``missing`` rows are in no route, ``extra`` ones in more than the input
+    has.  One pass over both."""
+    skipped = results.where(F.col("status").isNull() | ~F.col("status").isin(*SAVED)).select(
+        "frame_id", F.lit("skipped").alias("route"))
+    routed = written.select("frame_id", F.col("out_dir").alias("route")).unionByName(skipped)
+    told = results.select("frame_id", F.lit(None).cast("string").alias("route")).unionByName(routed)
+    frames = told.groupBy("frame_id").agg(
+        _count_if(F.col("route").isNull()).alias("given"), F.count("route").alias("found"),
+        *[_count_if(F.col("route") == r).alias(r) for r in ("output_violation", "output_processed", "skipped")])
+    sums = frames.agg(*[F.sum(r).alias(r) for r in ("output_violation", "output_processed", "skipped")],
+                      F.sum(F.greatest(F.col("given") - F.col("found"), F.lit(0))).alias("missing"),
+                      F.sum(F.greatest(F.col("found") - F.col("given"), F.lit(0))).alias("extra"))
+    return sums.selectExpr("stack(5, 'output_violation', output_violation, 'output_processed', output_processed, "
+                           "'skipped', skipped, 'missing', missing, 'extra', extra) AS (route, n)").where(
+        "n > 0 OR route IN ('missing', 'extra')")
 
 
 def violations_per_window(verdicts: DataFrame, frames: DataFrame, width: str = "1 hour") -> DataFrame:

@@ -8,8 +8,8 @@ work is small and frames are processed in parallel.
 Pairs are found with a grid join instead of all pairs of a frame: each box is
 listed under the grid cells it covers and boxes meet on (frame, class, cell).
 A pair is reported once, in the cell holding the top-left corner of the
-boxes' intersection, so no DISTINCT is needed and only boxes that actually
-overlap are ever paired.
+boxes' intersection, so no DISTINCT is needed; boxes that share a cell
+without overlapping are met and filtered out.
 """
 
 from __future__ import annotations
@@ -63,11 +63,12 @@ def nms(nested: DataFrame, iou_threshold: float = config.IOU_THRESHOLD,
     a kept box of its class with IoU > threshold.  Pure Catalyst (higher-
     order functions), one frame per row, no shuffle."""
     t = float(iou_threshold)
-    iou = ("(CAST(greatest(least(k.x2, d.x2) - greatest(k.x1, d.x1), 0) * "
-           "greatest(least(k.y2, d.y2) - greatest(k.y1, d.y1), 0) AS DOUBLE) / "
+    # two boxes without an area have no union: their IoU is 0, as in ``geometry.iou``
+    iou = ("coalesce(try_divide(CAST(greatest(least(k.x2, d.x2) - greatest(k.x1, d.x1), 0) * "
+           "greatest(least(k.y2, d.y2) - greatest(k.y1, d.y1), 0) AS DOUBLE), "
            "((k.x2 - k.x1) * (k.y2 - k.y1) + (d.x2 - d.x1) * (d.y2 - d.y1) - "
            "greatest(least(k.x2, d.x2) - greatest(k.x1, d.x1), 0) * "
-           "greatest(least(k.y2, d.y2) - greatest(k.y1, d.y1), 0)))")
+           "greatest(least(k.y2, d.y2) - greatest(k.y1, d.y1), 0))), 0D)")
     ordered = (f"array_sort({col}, (l, r) -> CASE WHEN l.conf > r.conf THEN -1 WHEN l.conf < r.conf THEN 1 "
                f"WHEN l.det_id < r.det_id THEN -1 WHEN l.det_id > r.det_id THEN 1 ELSE 0 END)")
     fold = (f"aggregate({ordered}, slice({col}, 1, 0), (kept, d) -> "

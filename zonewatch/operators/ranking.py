@@ -3,81 +3,55 @@
 ``row_number() OVER (PARTITION BY camera ORDER BY t)`` puts a whole camera in
 one task; with a handful of cameras (or Kafka partitions, or one global
 order) that is a handful of tasks for the whole data set, and a hot camera
-holding a third of all rows becomes one giant task.  Here the order is cut
-into slices instead:
-
-1. equi-depth split points of the order key are estimated with
-   ``approxQuantile`` (a few hundred numbers, one scan);
-2. ``Bucketizer`` maps every row to its slice - a pure function of the row,
-   so every re-evaluation (retries, both sides of the join below) agrees;
-3. rows are numbered inside (group, slice) with a window: a slice holds about
-   1/slices of all rows, so even a hot group is spread over many tasks;
-4. a per-(group, slice) count table, prefix-summed over slices, gives the
-   number of rows of the group in earlier slices; it has at most
-   groups x slices rows and is broadcast (callers with many groups pass
-   ``broadcast_offsets=False`` - or use a plain window, groups being small).
+holding a third of all rows becomes one giant task.  Here the order itself is
+dealt out:
+
+1. rows are range-partitioned on (group, order), so a hot group, and rows that
+   share one order value, are spread over as many partitions as they fill;
+2. the partition of each row is written with it to the shared folder, so every
+   later read (and every retry) sees the same partitions;
+3. rows are numbered inside (group, partition), and a running sum over the
+   per-partition counts (groups + partitions rows) gives the number of rows of
+   the group in earlier partitions.
+
+NULL groups and NULL order values are ranked like any other (NULLs first).
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonewatch.session import scratch_path
+
 
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def slice_points(df: DataFrame, key: str, slices: int, rel_error: float = 0.001) -> list[float]:
-    """Equi-depth split points of ``key`` for ``Bucketizer`` (-inf .. +inf)."""
-    probs = [i / slices for i in range(1, slices)]
-    qs = df.approxQuantile(key, probs, rel_error) if slices > 1 else []
-    inner = sorted({float(q) for q in qs if q is not None})
-    return [float("-inf")] + inner + [float("inf")]
-
-
-def sequence_number(df: DataFrame, group_cols: list[str], order_cols: list,
-                    out: str = "seq", slices: int | None = None,
-                    slice_key: Column | None = None,
-                    broadcast_offsets: bool = True,
-                    split_source: DataFrame | None = None) -> DataFrame:
+def sequence_number(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "seq",
+                    slices: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number per group in ``order_cols`` order.
 
     ``order_cols`` must give a total order inside each group (end with a
-    unique id).  ``slice_key`` is a numeric expression monotone in the order
-    (default: the first order column; timestamps are taken in microseconds).
-    Any split points give correct numbers - they only balance the slices -
-    so ``split_source`` (a DataFrame with a numeric ``_sk`` column of the
-    same distribution) can stand in when the input is expensive to compute.
+    unique id).  Pass narrow rows: they are written once.
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_cols)
-    if slice_key is None:
-        first = order_cols[0]
-        name = first if isinstance(first, str) else None
-        dtype = dict(df.dtypes).get(name) if name else None
-        slice_key = F.unix_micros(F.col(name)) if dtype == "timestamp" else order[0]
-    keyed = df.withColumn("_sk", slice_key.cast("double"))
-    splits = slice_points(split_source if split_source is not None else keyed, "_sk", n)
-    sliced = Bucketizer(splits=splits, inputCol="_sk", outputCol="_slice",
-                        handleInvalid="keep").transform(keyed).drop("_sk")
-    local_w = Window.partitionBy(*group_cols, "_slice").orderBy(*order)
-    local = sliced.withColumn("_local", F.row_number().over(local_w))
-    # counts per (group, slice) from the numbered rows: this branch then
-    # shares the window's exchange, so the input is computed only once
-    stats = local.groupBy(*group_cols, "_slice").agg(F.max("_local").alias("_cnt"))
-    prefix_w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
-        .orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    renamed = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)]
-    offsets = stats.select(F.col("_slice").alias("_oslice"), *renamed,
-                           F.coalesce(F.sum("_cnt").over(prefix_w), F.lit(0)).alias("_before"))
-    if broadcast_offsets:
-        offsets = F.broadcast(offsets)
-    cond = F.col("_slice") == F.col("_oslice")
+    path = scratch_path(spark, f"seq-{uuid.uuid4().hex}")
+    dealt = df.repartitionByRange(n, *_cols(group_cols), *order).withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    local = dealt.withColumn("_local", F.row_number().over(Window.partitionBy(*group_cols, "_part").orderBy(*order)))
+    counts = dealt.groupBy(*group_cols, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_part").alias("_opart"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)],
+                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    cond = F.col("_part") == F.col("_opart")
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    joined = local.join(offsets, cond, "inner")
     seq = (F.col("_before") + F.col("_local")).cast("long")
-    return joined.select(*[F.col(c) for c in df.columns], seq.alias(out))
+    return local.join(offsets, cond).select(*df.columns, seq.alias(out))

@@ -15,6 +15,7 @@ from zonewatch import config
 from zonewatch.functions import payload
 from zonewatch.operators import verdict
 from zonewatch.sources import fixtures as fx
+from zonewatch.sources.tables import table
 
 # fixed values: sentinel of a whole micro-batch by ``epoch_id % 40``, and of
 # the tail of a batch from a row index on
@@ -47,18 +48,16 @@ def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False)
     """frame_id, epoch_id, camera_id, captured_at, row_idx, status, violation
     [, result].
 
-    Light frame rows (verdict flags, batch position, document id) meet the
-    document table exactly once, on doc_id: each document is validated once
-    and carries its text only when payloads are asked for, so document text
-    is shuffled at most once and never re-keyed by frame.
+    The light frame rows meet the documents' validation reasons (each document
+    is validated once, its text stays where it is) and are then partitioned by
+    epoch for the row index, a partitioning that per-epoch aggregates reuse.
+    Document text is joined last, and only when payloads are asked for.
     """
     frames = fx.frames(spark, sf_dir)
     dets = fx.raw_detections(spark, sf_dir, min_conf=config.CONF_THRESHOLD)
     fv = verdict.frame_verdicts(frames, dets, keep=["captured_at"])
-    base = batch_row_index(fv)
-    base = base.withColumn("doc_id", fx.doc_index(spark, sf_dir, F.col("frame_id")))
-    docs = fx.document_reasons(spark, sf_dir, with_text=with_payload)
-    j = base.join(docs.hint("shuffle_hash"), "doc_id", "left")
+    fv = fv.withColumn("doc_id", fx.doc_index(spark, sf_dir, F.col("frame_id")))
+    j = batch_row_index(fv.join(fx.document_reasons(spark, sf_dir).hint("merge"), "doc_id", "left"))
     ov = fx.payload_override(F.col("frame_id"))
     reason = (F.when((ov == 47) | (ov == 48), F.lit(config.REASON_EMPTY))
                 .when(ov == 49, F.col("reason_raw"))
@@ -73,8 +72,9 @@ def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False)
     cols = ["frame_id", "epoch_id", "camera_id", "captured_at", "row_idx"]
     if not with_payload:
         return j.select(*cols, status.alias("status"), "violation")
-    b64 = fx.payload_column(F.col("frame_id"), F.col("text"))
-    j = j.select(*cols, status.alias("status"), "violation", b64.alias("frame_b64"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    j = j.select(*cols, status.alias("status"), "violation", "doc_id").join(docs.hint("merge"), "doc_id", "left")
+    j = j.select(*cols, "status", "violation", fx.payload_column(F.col("frame_id"), F.col("text")).alias("frame_b64"))
     result = (F.when(F.col("status").isin(*config.SENTINELS), F.col("status"))
                 .when(F.col("status") == "EMPTY", F.lit(""))
                 .otherwise(payload.encode_result(F.col("violation"), F.col("frame_b64"))))

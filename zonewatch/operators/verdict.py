@@ -14,7 +14,7 @@ map-side before the exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonewatch import config
@@ -59,7 +59,7 @@ def frame_verdicts(frames: DataFrame, dets: DataFrame, min_conf: float = config.
     """
     flags = frame_flags(dets, min_conf, zone)
     fr = frames.select("frame_id", "camera_id", "epoch_id", "w", "h", *(keep or []))
-    j = fr.join(flags.hint("shuffle_hash"), "frame_id", "left")
+    j = fr.join(flags.hint("merge"), "frame_id", "left")
     red = F.coalesce(F.col("red_light"), F.lit(False))
     zone_hit = F.coalesce(F.col("vehicle_in_zone"), F.lit(False))
     return j.select("frame_id", "camera_id", "epoch_id", "w", "h", *(keep or []),
@@ -111,11 +111,9 @@ def with_nested_flags(df: DataFrame, min_conf: float = config.CONF_THRESHOLD,
     veh = (f"transform(filter(_usable, d -> d.label IN ({vehicles})), d -> named_struct("
            f"'x1', d.x1, 'x2', d.x2, 'y2', d.y2, 'lo', {lo}, 'hi', {hi}, 'feas', {feas}))")
     step = step.selectExpr("*", f"{veh} AS _veh")
-    samples = " + ".join(
-        f"CASE WHEN ((CAST(v.x1 AS BIGINT) * {steps} + {i} * (CAST(v.x2 AS BIGINT) - CAST(v.x1 AS BIGINT))) "
-        f"div {steps}) BETWEEN v.lo AND v.hi THEN 1 ELSE 0 END" for i in range(steps + 1))
+    samples = geometry.interval_hits_sql("CAST(v.x1 AS BIGINT)", "CAST(v.x2 AS BIGINT)", "v.lo", "v.hi", steps)
     general = geometry.hits_sql("v.x1", "v.x2", "v.y2", list(zip(X, Y)))
-    in_zone = (f"exists(_veh, v -> CASE WHEN _convex THEN v.feas AND ({samples}) * 2 > {steps} "
+    in_zone = (f"exists(_veh, v -> CASE WHEN _convex AND {geometry.ORDERED.format(x1='v.x1', x2='v.x2')} THEN v.feas AND ({samples}) * 2 > {steps} "
                f"ELSE {general} * 2 > {steps} END)")
     out = step.selectExpr(
         *[f"`{c}`" for c in df.columns],
@@ -134,13 +132,16 @@ def nested_verdicts(frames_nested: DataFrame, min_conf: float = config.CONF_THRE
                       "red_light", "vehicle_in_zone", "violation")
 
 
+def with_frame_red(flagged: DataFrame) -> DataFrame:
+    """``frame_red`` = the frame of the row has a red light."""
+    return flagged.withColumn("frame_red", F.bool_or("is_red").over(Window.partitionBy("frame_id")))
+
+
 def vehicle_verdicts(dets: DataFrame, min_conf: float = config.CONF_THRESHOLD, zone=None) -> DataFrame:
     """E5: each usable vehicle is a violator when it is in the zone and its
-    frame has a red light.  The frame flag is a per-frame aggregate joined
-    back on frame_id (both sides already partitioned by it)."""
+    frame has a red light.  The frame flag is a window over the frame, by
+    which the rows are partitioned already: one scan, no join."""
     flagged = with_flags(dets, min_conf, zone).where("usable")
-    red_frames = flagged.groupBy("frame_id").agg(F.bool_or("is_red").alias("frame_red"))
-    vehicles = flagged.where(is_vehicle(F.col("label")))
-    j = vehicles.join(red_frames.hint("shuffle_hash"), "frame_id", "inner")
-    return j.select("frame_id", "det_id", "label", "conf", "x1", "y1", "x2", "y2",
+    vehicles = with_frame_red(flagged).where(is_vehicle(F.col("label")))
+    return vehicles.select("frame_id", "det_id", "label", "conf", "x1", "y1", "x2", "y2",
                     F.col("in_zone"), (F.col("in_zone") & F.col("frame_red")).alias("violator"))

@@ -1,8 +1,8 @@
 """Dimension lookups: zone polygons per camera (F2) and class labels.
 
-Both dimensions are small by nature (a polygon per camera, a label per model
-class).  They are broadcast only after their row count is checked against
-``MAX_BROADCAST_ROWS``; above that the join is left to the planner (shuffle).
+Both dimensions are usually small (a polygon per camera, a label per model
+class), but nothing bounds them: the planner broadcasts them below its own
+byte threshold and shuffles them above it.
 """
 
 from __future__ import annotations
@@ -13,19 +13,12 @@ from pyspark.sql import functions as F
 from zonewatch import config
 from zonewatch.functions import geometry
 
-MAX_BROADCAST_ROWS = 1_000_000
 ALL_CAMERAS = -1  # lookup key of zones whose camera_id is NULL
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows (one count job)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_classes(dets: DataFrame, classes: DataFrame) -> DataFrame:
     """class id -> label (plus vehicle / signal flags)."""
-    return dets.join(broadcast_if_small(classes), "class_id", "inner")
+    return dets.join(classes, "class_id", "inner")
 
 
 def polygons(zones: DataFrame) -> DataFrame:
@@ -43,7 +36,7 @@ def zone_hits_from_table(dets: DataFrame, zones: DataFrame, ref: int = config.RE
     # the "all cameras" key (-1), zones are keyed by coalesce(camera_id, -1)
     polys = polygons(zones).select(F.coalesce(F.col("camera_id"), F.lit(ALL_CAMERAS)).alias("_zkey"),
                                    "zone_id", "poly")
-    polys = broadcast_if_small(polys)
+    polys = polys
     probes = dets.withColumn("_zkey", F.explode(F.array(F.col("camera_id"), F.lit(ALL_CAMERAS))))
     j = probes.join(polys, "_zkey", "inner").drop("_zkey")
     scaled = (f"transform(poly, v -> named_struct("

@@ -8,9 +8,11 @@ from zonewatch import config
 from zonewatch.functions import payload as P
 from zonewatch.operators import detect as D
 from zonewatch.operators import nms as N
+from zonewatch.plans.oracle_views import decoded_len_sql
 from zonewatch.plans.oracle_views import with_views as W
-from zonewatch.plans.registry import register
 from zonewatch.plans.q_frames import _usable
+from zonewatch.plans.q_payload import gate_sql
+from zonewatch.plans.registry import register
 from zonewatch.sources import fixtures as fx
 
 _IOU = ("CAST(greatest(least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1), 0) * "
@@ -56,45 +58,64 @@ def nms(spark, sf):
 
 
 # ----------------------------------------------------------- J1-J4 and B6
-def _frames_with_payload(spark, sf):
-    base = fx.frames(spark, sf).select("frame_id", "camera_id", "epoch_id", "w", "h")
+def frames_with_payload(spark, sf):
+    """Frames with their payload and the detections recorded for them."""
+    base = fx.recorded_frames(spark, sf).select("frame_id", "camera_id", "epoch_id", "w", "h", "recorded")
     return fx.frame_payloads(spark, sf, base=base)
 
 
-@register("detect_stub", "J1")
-def detect_stub(spark, sf):
-    """The stub detector over every frame payload; typed detections."""
-    d = D.detect(_frames_with_payload(spark, sf), D.StubDetector())
-    return d.select("frame_id", "status", F.size(F.coalesce("detections", F.array())).alias("n_objects"))
+# what the detector run says of each frame, ungated: an image that does not decode fails alone
+_RUN = W("payloads", "dets") + f""", run AS (
+  SELECT p.frame_id, coalesce(d.n, 0) AS found,
+         CASE WHEN p.frame_b64 IS NULL OR (p.frame_b64 <> '' AND {decoded_len_sql('p.frame_b64')} IS NULL) THEN 'ROW_ERROR'
+              WHEN coalesce(d.n, 0) > 0 THEN 'DETECTED' ELSE 'NO_OBJECTS' END AS status
+  FROM payloads p
+  LEFT JOIN (SELECT frame_id, count(*) AS n FROM dets WHERE conf >= {config.CONF_THRESHOLD} GROUP BY frame_id) d
+    ON d.frame_id = p.frame_id)
+"""
+
+
+def _run(spark, sf):
+    return D.detect(frames_with_payload(spark, sf), D.RecordedDetector())
+
+
+@register("detect_recorded", "J1", _RUN + f"""
+SELECT frame_id, status, CASE WHEN status = 'DETECTED' THEN least(found, {config.MAX_DET}) ELSE 0 END AS n_objects FROM run""")
+def detect_recorded(spark, sf):
+    """The detector over every frame payload; typed detections."""
+    return _run(spark, sf).select(
+        "frame_id", "status", F.coalesce(F.size("detections"), F.lit(0)).cast("long").alias("n_objects"))
 
 
-@register("row_faults", "J2")
+@register("row_faults", "J2", _RUN + "SELECT frame_id, status FROM run WHERE status = 'ROW_ERROR'")
 def row_faults(spark, sf):
     """Rows whose payload cannot be decoded fail alone (ROW_ERROR)."""
-    d = D.detect(_frames_with_payload(spark, sf), D.StubDetector())
-    return d.where(F.col("status") == "ROW_ERROR").select("frame_id", "status", "error_msg")
+    return _run(spark, sf).where(F.col("status") == "ROW_ERROR").select("frame_id", "status")
 
 
-@register("detect_budget", "J3")
+@register("detect_budget", "J3", _RUN + "SELECT frame_id, status = 'BATCH_TIMEOUT' AS timed_out FROM run")
 def detect_budget(spark, sf):
-    """With an exhausted time budget every row is BATCH_TIMEOUT."""
-    d = D.detect(_frames_with_payload(spark, sf), D.StubDetector(), budget_s=-1.0)
-    return d.select("frame_id", "status")
+    """Frames that the time budget left out: none within the default budget
+    (tests exhaust it)."""
+    return _run(spark, sf).select("frame_id", (F.col("status") == "BATCH_TIMEOUT").alias("timed_out"))
 
 
-@register("detect_faults", "J4")
+@register("detect_faults", "J4", _RUN + "SELECT status, count(*) AS n FROM run GROUP BY status")
 def detect_faults(spark, sf):
-    """A detector crash outside the row loop marks its Arrow batch
-    UDF_CRITICAL_ERROR; other batches are unaffected."""
-    d = D.detect(_frames_with_payload(spark, sf), D.StubDetector(fail_one_in=1000, critical=True))
-    return d.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    """Frames per status of the run; a crash outside the row loop would show as
+    UDF_CRITICAL_ERROR (tests inject one)."""
+    return _run(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("predict_conditional", "B6/B7")
+@register("predict_conditional", "B6/B7", W("verdicts", "reasons", "payloads") + f"""
+SELECT v.frame_id, 'DETECTED' AS status, v.violation,
+       md5(CASE WHEN v.violation THEN '{config.VIOLATION_PREFIX}' ELSE '' END || p.frame_b64) AS result_md5
+FROM verdicts v JOIN payloads p ON p.frame_id = v.frame_id JOIN reasons r ON r.frame_id = v.frame_id
+WHERE p.frame_b64 <> '' AND {gate_sql('p.frame_b64')} AND r.reason = '{config.REASON_VALID}' AND v.n_objects > 0""")
 def predict_conditional(spark, sf):
-    """Gate first, then run the detector once per remaining row; the result
+    """Gates first, then the detector once per remaining row; the result
     string keeps the reference's encoding.  Empty results are dropped (B7)."""
-    gated = _frames_with_payload(spark, sf).where(P.input_gate("frame_b64"))
-    out = D.predict(gated, D.StubDetector())
+    gated = frames_with_payload(spark, sf).where(P.input_gate("frame_b64"))
+    out = D.predict(gated, D.RecordedDetector())
     return out.where(F.col("result") != "").select(
         "frame_id", "status", "violation", F.md5("result").alias("result_md5"))

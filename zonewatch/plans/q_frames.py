@@ -72,9 +72,8 @@ WHERE u.label IN {VEH}
   AND EXISTS (SELECT 1 FROM usable r WHERE r.frame_id = u.frame_id AND r.label = 'red_light')""")
 def red_semi_join(spark, sf):
     u = _usable(spark, sf)
-    red = u.where(V.is_red_light(F.col("label"))).select("frame_id")
-    return (u.where(V.is_vehicle(F.col("label")))
-             .join(red, "frame_id", "left_semi").select("frame_id", "det_id", "label"))
+    flagged = V.with_frame_red(u.withColumn("is_red", V.is_red_light(F.col("label"))))
+    return flagged.where(V.is_vehicle(F.col("label")) & F.col("frame_red")).select("frame_id", "det_id", "label")
 
 
 @register("frame_report", "E15", W("verdicts", "frames") + """
@@ -89,9 +88,13 @@ WHERE frame_no = 100""")
 def frame_report(spark, sf):
     """The single-frame report of frame 100 of every camera (B14 + C8)."""
     from zonewatch.operators import frames_ops
-    fv = frame_verdicts(spark, sf).select("frame_id", "red_light", "violation")
     numbered = frames_ops.frame_numbers(fx.frames(spark, sf).select("frame_id", "camera_id", "captured_at"))
-    one = frames_ops.frame_seek(numbered, 100).join(fv, "frame_id")
+    one = frames_ops.frame_seek(numbered, 100)
+    # the frames are chosen first: the zone test runs on their detections only
+    ids = one.select("frame_id")
+    fv = V.frame_verdicts(fx.frames(spark, sf).join(ids, "frame_id", "left_semi"),
+                          fx.raw_detections(spark, sf, min_conf=T).join(ids, "frame_id", "left_semi"))
+    one = one.join(fv.select("frame_id", "red_light", "violation"), "frame_id")
     return one.select(
         "camera_id", "frame_no", "frame_id",
         F.when(F.col("red_light"), "ON").otherwise("OFF").alias("red_light"),
@@ -262,9 +265,7 @@ def annotation_manifest(spark, sf):
     of drawn pixels: violators red, other vehicles green, the rest as the
     detector draws them."""
     u = _usable(spark, sf)
-    flagged = V.with_flags(u)
-    red = flagged.groupBy("frame_id").agg(F.bool_or("is_red").alias("frame_red"))
-    j = flagged.join(red, "frame_id")
+    j = V.with_frame_red(V.with_flags(u))
     veh = V.is_vehicle(F.col("label"))
     viol = veh & F.col("in_zone") & F.col("frame_red")
     cap = F.format_string("%s %.2f", "label", "conf")

@@ -3,14 +3,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from zonewatch import config
 from zonewatch.operators import frames_ops as FO
 from zonewatch.operators import metrics as M
 from zonewatch.operators import results as R
+from zonewatch.operators import sinks as S
 from zonewatch.plans.oracle_views import with_views as W
 from zonewatch.plans.registry import register
+from zonewatch.session import scratch_path
 from zonewatch.sources import fixtures as fx
 
 SAVED = "('VIOLATION', 'NORMAL')"
@@ -97,6 +101,16 @@ def frame_seek(spark, sf):
     return FO.frame_seek(_numbered(spark, sf), 100)
 
 
+@register("frame_seek_outcome", "B14", W("frames") + """
+SELECT camera_id, count(*) AS total, max(frame_id) FILTER (WHERE frame_no = 1250) AS frame_id,
+       CASE WHEN count(*) > 1250 THEN 'FOUND' ELSE 'PAST_END' END AS outcome
+FROM (SELECT camera_id, frame_id, row_number() OVER (PARTITION BY camera_id ORDER BY captured_at, frame_id) - 1 AS frame_no
+      FROM frames) t GROUP BY camera_id""")
+def frame_seek_outcome(spark, sf):
+    """Frame 1250 of every camera: at sf 0.01 some have fewer frames."""
+    return FO.seek_outcome(FO.frame_numbers(fx.frames(spark, sf).select("frame_id", "camera_id", "captured_at")), 1250)
+
+
 @register("sample_stride", "B15/G5", _NUMBERED + "SELECT * FROM numbered WHERE frame_no % 3 = 0")
 def sample_stride(spark, sf):
     """Keep every 3rd frame (30 fps -> 10 fps)."""
@@ -145,7 +159,10 @@ SELECT route, count(*) AS n FROM (
               ELSE 'skipped' END AS route FROM statuses) t GROUP BY route
 UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'extra', 0""")
 def route_partition(spark, sf):
-    return M.route_partition(_status(spark, sf))
+    """The evidence is written first and the routes are read off it."""
+    path = scratch_path(spark, f"h1-{uuid.uuid4().hex}")
+    S.evidence(spark, sf).drop("payload").write.partitionBy("verdict").parquet(path)
+    return M.route_partition(_status(spark, sf), spark.read.parquet(path))
 
 
 @register("violations_per_window", "I7", W("verdicts", "frames") + """

@@ -85,6 +85,18 @@ def topic_inventory(spark, sf):
     return S.topic_inventory(fx.frame_log(spark, sf))
 
 
+@register("topic_total", "A4", W("frame_log") + """
+SELECT t.topic, coalesce(i.total, 0) AS total, coalesce(i.held, 0) AS held
+FROM (VALUES ('frames'), ('idle')) t(topic)
+LEFT JOIN (SELECT topic, sum(end_offset) AS total, sum(retained) AS held FROM (
+             SELECT topic, partition, max("offset") + 1 AS end_offset, count(*) AS retained
+             FROM frame_log GROUP BY topic, partition) GROUP BY topic) i ON i.topic = t.topic""")
+def topic_total(spark, sf):
+    """The frame topic's total, and that of a topic no message was sent to."""
+    topics = spark.createDataFrame([(fx.FRAME_TOPIC,), ("idle",)], "topic string")
+    return S.topic_total(fx.frame_log(spark, sf), topics)
+
+
 @register("parse_offsets", "C11", W("frame_log") + """
 SELECT line, CAST(split_part(line, ':', -1) AS BIGINT) AS end_offset FROM (
   SELECT topic || ':' || partition || ':' || (max("offset") + 1) AS line FROM frame_log GROUP BY topic, partition

@@ -24,12 +24,6 @@ _REQUIRED = {
 }
 
 
-ARROW_BATCH_ROWS = 256
-# The per-detection zone test compiles to a method above HotSpot's 8000-byte
-# JIT limit; without this flag it would run in the bytecode interpreter.
-JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
-
-
 def build_session(master: str | None = None, app_name: str = "zonewatch",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -38,13 +32,8 @@ def build_session(master: str | None = None, app_name: str = "zonewatch",
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
-            # local mode: the driver JVM is the executor; the default 1g heap
-            # is too small for codegen of wide verdict projections
+            # local mode: the driver JVM is the executor
             builder = builder.config("spark.driver.memory", "8g")
-            builder = builder.config("spark.driver.extraJavaOptions", JIT_OPTIONS)
-    # On a cluster the flag belongs in the deployment's
-    # spark.executor.extraJavaOptions; it is not set here so that existing
-    # executor options are never overwritten.
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in _REQUIRED.items():
         builder = builder.config(key, value)
@@ -53,10 +42,6 @@ def build_session(master: str | None = None, app_name: str = "zonewatch",
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    # frames carry image payloads: keep Arrow batches to the detector small
-    if not spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) or \
-            spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_BATCH_ROWS))
     apply_required(spark)
     return spark
 

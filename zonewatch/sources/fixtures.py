@@ -50,23 +50,10 @@ def size_ok(w, h):
     return w.between(config.MIN_SIDE, config.MAX_SIDE) & h.between(config.MIN_SIDE, config.MAX_SIDE)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` when its scan has fewer splits than
-    the cluster has cores, so CPU-heavy per-row work that follows runs in
-    parallel.  The partitioning is the one a later join on ``key`` needs, so
-    the exchange moves earlier rather than being added; large inputs (many
-    splits) are left as they are and validated map-side."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-    return df
-
-
 # ------------------------------------------------------------------ frames
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per frame: id, camera, capture time, micro-batch, sizes."""
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     fid = F.col("event_id")
     src_w, src_h, w, h = frame_dims(fid)
     return ev.select(
@@ -89,7 +76,6 @@ def raw_detections(spark: SparkSession, sf_dir: str, min_conf: float | None = No
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     if min_conf is not None:
         li = li.where(F.col("l_quantity") >= F.lit(min_conf * 50.0))
-    li = spread(li, "l_orderkey")
     # frame size first (own projection: referenced by every coordinate)
     _, _, w, h = frame_dims(F.col("l_orderkey"))
     li = li.select("*", w.alias("w"), h.alias("h"))
@@ -130,7 +116,7 @@ def detections(spark: SparkSession, sf_dir: str, min_conf: float | None = None,
     detector (max_det after NMS), so the per-frame window is small."""
     dets = raw_detections(spark, sf_dir, min_conf)
     fr = frames(spark, sf_dir).select("frame_id")
-    dets = dets.join(fr.hint("shuffle_hash"), "frame_id", "left_semi")
+    dets = dets.join(fr.hint("merge"), "frame_id", "left_semi")
     if with_det_id:
         w = Window.partitionBy("frame_id").orderBy(*det_order())
         dets = dets.withColumn("det_id", F.row_number().over(w).cast("int"))
@@ -150,11 +136,23 @@ def frames_nested(spark: SparkSession, sf_dir: str, min_conf: float | None = Non
     """Frames with their detection array (empty array when none)."""
     fr = frames(spark, sf_dir)
     nested = nest(detections(spark, sf_dir, min_conf))
-    out = fr.join(nested.hint("shuffle_hash"), "frame_id", "left")
+    out = fr.join(nested.hint("merge"), "frame_id", "left")
     empty = F.array().cast(nested.schema["detections"].dataType)
     return out.withColumn("detections", F.coalesce(F.col("detections"), empty))
 
 
+def recorded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with the detections recorded for them (NULL when none), most
+    confident first: what a recorded detector replays."""
+    dets = raw_detections(spark, sf_dir)
+    entry = F.struct((-F.col("conf")).alias("o1"), F.col("det_key").alias("o2"), "x1", "y1", "x2", "y2", "label", "conf")
+    nested = dets.groupBy("frame_id").agg(F.transform(
+        F.array_sort(F.collect_list(entry)),
+        lambda d: F.struct(d["label"].alias("label"), d["conf"].alias("conf"), d["x1"].alias("x1"), d["y1"].alias("y1"),
+                           d["x2"].alias("x2"), d["y2"].alias("y2"))).alias("recorded"))
+    return frames(spark, sf_dir).join(nested.hint("merge"), "frame_id", "left")
+
+
 # -------------------------------------------------------- dimension tables
 def zones(spark: SparkSession) -> DataFrame:
     """The stop zone as rows (zone 0 applies to every camera)."""
@@ -186,8 +184,8 @@ def frame_payloads(spark: SparkSession, sf_dir: str, base: DataFrame | None = No
     fr = base if base is not None else \
         frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "captured_at")
     fr = fr.withColumn("doc_id", doc_index(spark, sf_dir, F.col("frame_id")))
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    j = fr.join(docs.hint("shuffle_hash"), "doc_id", "left")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    j = fr.join(docs.hint("merge"), "doc_id", "left")
     return j.select(*fr.columns, payload_column(F.col("frame_id"), F.col("text")).alias("frame_b64"))
 
 
@@ -200,15 +198,13 @@ def payload_column(frame_id, text):
              .otherwise(payload.b64_encode(F.encode(text, "UTF-8"))))
 
 
-def document_reasons(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
-    """Validation reason of every document, as base64 payload and as raw
-    text (and the text itself when asked)."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+def document_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation reason of every document, as base64 payload and as raw text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select(
         "doc_id",
         payload.validate_payload(payload.b64_encode(F.encode(F.col("text"), "UTF-8"))).alias("reason_b64"),
-        payload.validate_payload(F.col("text")).alias("reason_raw"),
-        *(["text"] if with_text else []))
+        payload.validate_payload(F.col("text")).alias("reason_raw"))
 
 
 def frame_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +213,7 @@ def frame_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     fr = frames(spark, sf_dir).select("frame_id", "camera_id", "epoch_id", "w", "h")
     fr = fr.withColumn("doc_id", doc_index(spark, sf_dir, F.col("frame_id")))
     reasons = document_reasons(spark, sf_dir)
-    j = fr.join(reasons.hint("shuffle_hash"), "doc_id", "left")
+    j = fr.join(reasons.hint("merge"), "doc_id", "left")
     ov = payload_override(F.col("frame_id"))
     reason = (F.when((ov == 47) | (ov == 48), F.lit(config.REASON_EMPTY))
                 .when(ov == 49, F.col("reason_raw"))
@@ -250,6 +246,14 @@ def frame_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("frame_id"))
 
 
+def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frame log with the metadata and recorded detections of its frames."""
+    w = Window.partitionBy("epoch_id").orderBy("frame_id")
+    meta = recorded_frames(spark, sf_dir).select(
+        "frame_id", "camera_id", "epoch_id", (F.row_number().over(w) - 1).cast("int").alias("row_idx"), "w", "h", "recorded")
+    return frame_log(spark, sf_dir).join(meta.hint("merge"), "frame_id")
+
+
 # ---------------------------------------------------------------- progress
 # fixed values: error texts of failed micro-batches (by epoch_id % 4)
 ERROR_TEXTS = ["java.lang.OutOfMemoryError: Java heap space", "Arrow stream closed",

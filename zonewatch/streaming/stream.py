@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from zonewatch import config
+from zonewatch.functions import geometry
 from zonewatch.functions import payload as P
 from zonewatch.operators import detect as D
 from zonewatch.operators import sinks as S
@@ -34,22 +35,31 @@ KAFKA_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType()),
     T.StructField("timestampType", T.IntegerType()),
 ])
-# frame metadata carried next to the Kafka fields (key/headers on a real topic)
+# Frame metadata: columns of a Parquet log, headers (decimal text) on a Kafka topic.
+META = {"frame_id": "long", "camera_id": "int", "epoch_id": "long", "row_idx": "int",
+        "captured_us": "long", "w": "int", "h": "int"}
+RECORDED = T.ArrayType(T.StructType([
+    T.StructField("label", T.StringType()), T.StructField("conf", T.DoubleType()),
+    *[T.StructField(c, T.LongType()) for c in ("x1", "y1", "x2", "y2")]]))
 FRAME_FIELDS = [T.StructField("frame_id", T.LongType()), T.StructField("camera_id", T.IntegerType()),
-                T.StructField("epoch_id", T.LongType()), T.StructField("w", T.IntegerType()),
-                T.StructField("h", T.IntegerType())]
+                T.StructField("epoch_id", T.LongType()), T.StructField("row_idx", T.IntegerType()),
+                T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType()),
+                T.StructField("recorded", RECORDED)]
 FRAME_LOG_SCHEMA = T.StructType(KAFKA_SCHEMA.fields + FRAME_FIELDS)
 
 
 # ------------------------------------------------------------ A1/A2 source
 def kafka_options(bootstrap: str, topic: str = config.FRAME_TOPIC,
-                  max_per_trigger: int | None = config.MAX_OFFSETS_PER_TRIGGER,
+                  max_per_trigger: int | None = None,
                   consumer: dict | None = None) -> dict:
-    """Source options: earliest start, tolerate deleted offsets, rate cap.
+    """Source options: earliest start, tolerate deleted offsets.  No rate cap
+    unless one is asked for (the reference's is ``config.MAX_OFFSETS_PER_TRIGGER``):
+    with a cap below the feed's rate, retention deletes what was never read.
     Consumer properties need the ``kafka.`` prefix only (``kafka.consumer.x``
     would reach the client as the unknown property ``consumer.x``)."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": "earliest", "failOnDataLoss": "false"}
+            "startingOffsets": "earliest", "failOnDataLoss": "false",
+            "includeHeaders": "true"}
     if max_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
     for k, v in (consumer or {}).items():
@@ -68,8 +78,34 @@ def frame_stream(spark: SparkSession, source: str = "parquet", path: str | None
     return reader.load(path)
 
 
+def frame_meta(raw: DataFrame) -> DataFrame:
+    """Frame metadata of Kafka rows as columns, from the headers where the
+    publisher set them.  A message without them is named by its place in the
+    topic: frame_id = partition * 2^44 + offset, camera = partition, epoch and
+    row index by offset (five frames an epoch), size = the reference size the
+    producer scales to.  A Parquet log has the columns already."""
+    if "frame_id" in raw.columns:
+        return raw
+    if "headers" in raw.columns:
+        raw = raw.withColumn("_h", F.map_from_entries(F.transform(
+            F.coalesce("headers", F.array().cast(raw.schema["headers"].dataType)),
+            lambda h: F.struct(h["key"], h["value"].cast("string")))))
+        meta = {c: F.col("_h")[c].try_cast(t) for c, t in META.items()}
+    else:
+        meta = {c: F.lit(None).cast(t) for c, t in META.items()}
+    per_epoch = config.MAX_OFFSETS_PER_TRIGGER
+    place = {"frame_id": F.col("partition").cast("long") * (1 << 44) + F.col("offset"), "camera_id": F.col("partition"),
+             "epoch_id": geometry.idiv(F.col("offset"), per_epoch), "row_idx": (F.col("offset") % per_epoch).cast("int"),
+             "w": F.lit(config.REF_SIZE), "h": F.lit(config.REF_SIZE)}
+    taken = F.coalesce(F.timestamp_micros(meta["captured_us"]), F.col("timestamp"))
+    out = raw.select(*[c for c in raw.columns if c not in ("timestamp", "headers", "_h")], taken.alias("timestamp"),
+                     *[F.coalesce(meta[c], v).cast(META[c]).alias(c) for c, v in place.items()])
+    return out
+
+
 def parse_frames(raw: DataFrame) -> DataFrame:
-    """B1-B4 on a stream: value as text, then the input gate."""
+    """B1-B4 on a stream: metadata and value as text, then the input gate."""
+    raw = frame_meta(raw)
     cols = [c for c in raw.columns if c not in ("key", "value")]
     return raw.select(*cols, P.cast_value("value").alias("frame_b64")).where(P.input_gate("frame_b64"))
 
@@ -91,11 +127,22 @@ def publish_frames(frames: DataFrame, sink: str = "parquet", path: str | None =
                         F.col("frame_b64").cast("binary").alias("value"),
                         *[c for c in frames.columns if c not in ("frame_b64",)])
     if sink == "kafka":
-        out.select("key", "value").write.format("kafka").options(**publish_options(bootstrap)).save()
+        kafka_rows(frames).write.format("kafka").options(**publish_options(bootstrap)).save()
     else:
         out.write.mode("append").parquet(path)
 
 
+def kafka_rows(frames: DataFrame) -> DataFrame:
+    """key, value and headers of the messages; metadata that is NULL has no header."""
+    if "captured_us" not in frames.columns and "captured_at" in frames.columns:
+        frames = frames.withColumn("captured_us", F.unix_micros("captured_at"))
+    headers = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value"))
+                        for c in META if c in frames.columns])
+    return frames.select(F.col("camera_id").cast("string").cast("binary").alias("key"),
+                         F.col("frame_b64").cast("binary").alias("value"),
+                         F.filter(headers, lambda h: h["value"].isNotNull()).alias("headers"))
+
+
 # ------------------------------------------------------------ A5 file ingest
 def frame_files(spark: SparkSession, path: str, glob: str = "*", stream: bool = False) -> DataFrame:
     """A5: frames stored one per file, read as binary; ``frame_b64`` is the
@@ -110,13 +157,13 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
     """One micro-batch: results, evidence, alerts and a summary row, all
     written idempotently for ``batch_id``.  Errors propagate (the batch is
     retried from the checkpoint instead of being committed half-done)."""
-    if df.isEmpty():  # E14
-        return
-    res = D.predict(df, detector)
-    res = res.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+    # the micro-batch is read once: a second read would count its rows again in the progress
+    res = D.predict(df, detector).withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
     try:
+        if res.isEmpty():  # E14
+            return
         status = P.status_decode(F.col("result"))
-        summary = res.groupBy("batch_id").agg(
+        summary = res.groupBy("batch_id", "epoch_id").agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(P.nonblank(F.col("result"))).cast("long").alias("processed"),
             F.count_if(status.isin("VIOLATION", "NORMAL")).cast("long").alias("saved"),
@@ -128,9 +175,9 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
         ev = saved.select("frame_id", "camera_id", "epoch_id", "batch_id",
                           F.when(viol, "VIOLATION").otherwise("NORMAL").alias("verdict"),
                           out_route.alias("out_dir"),
-                          F.format_string("epoch%d_frame%d", F.lit(batch_id), "frame_id").alias("short_name"),
-                          S.evidence_name(F.unix_timestamp("timestamp"), viol, F.lit(batch_id).cast("long"),
-                                          F.col("frame_id")).alias("file_name"),
+                          F.format_string("epoch%d_frame%d", "epoch_id", "row_idx").alias("short_name"),
+                          S.evidence_name(F.unix_timestamp("timestamp"), viol, F.col("epoch_id"),
+                                          F.col("row_idx")).alias("file_name"),
                           F.col("timestamp").alias("captured_at"), pl.alias("payload"))
         (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch_id", "verdict").parquet(os.path.join(out_dir, "evidence")))
@@ -151,36 +198,42 @@ def run_stream(raw: DataFrame, out_dir: str, checkpoint: str, detector=None,
 
 
 # ------------------------------------------------------------ I4 progress
-class ProgressCollector(StreamingQueryListener):
-    """I4: progress events (batch id, input rows, rate) collected on the
-    driver; they are a few numbers per trigger."""
+class ProgressFeed(StreamingQueryListener):
+    """I4: a row (batch id, input rows, rate, error) per progress event, appended
+    to a JSON-lines table in the shared folder as it arrives; the driver keeps
+    nothing but the number of its next file."""
 
-    def __init__(self):
-        self.rows = []
-        self._lock = threading.Lock()
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.n = spark, path, 0
+        self.ended = threading.Event()
+
+    def _append(self, row: tuple) -> None:
+        self.n += 1
+        self.spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.json(f"{self.path}/event={self.n:09d}")
 
     def onQueryStarted(self, event):
-        pass
+        self.ended.clear()
 
     def onQueryProgress(self, event):
         p = event.progress
-        with self._lock:
-            self.rows.append((int(p.batchId), int(p.numInputRows),
-                              float(p.inputRowsPerSecond or 0.0), None))
+        self._append((str(p.runId), int(p.batchId), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0), None))
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
         if event.exception:
-            with self._lock:
-                self.rows.append((-1, 0, 0.0, str(event.exception)[:500]))
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        with self._lock:
-            rows = list(self.rows)
-        return spark.createDataFrame(rows, "batch_id long, num_input_rows long, "
-                                           "input_rows_per_second double, error string")
+            self._append((str(event.runId), -1, 0, 0.0, str(event.exception)))
+        self.ended.set()
+
+    def table(self) -> DataFrame:
+        """All events of the queries that have ended (events come in order, the
+        end last, so waiting for it misses none)."""
+        self.ended.wait()
+        return self.spark.read.schema(PROGRESS_SCHEMA).json(self.path).drop("event")
+
+
+PROGRESS_SCHEMA = "run_id string, batch_id long, num_input_rows long, input_rows_per_second double, error string"
 
 
 # ------------------------------------------------------------ I7 windows
