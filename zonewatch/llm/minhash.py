@@ -19,7 +19,8 @@ pair a member), which settles a bucket of true copies in linear work.  What
 is left, members whose component still differs from the bucket's first, is
 compared with all members in blocks of ``BLOCK``: a task gets two blocks and
 returns only the links it needs to join their components, so no list of pairs
-is ever made and no bucket is cut short.  All comparisons use the full sets.
+is ever made and no bucket is cut short.  Buckets chained by their members are
+taken together where that deals out fewer rows than each on its own.  All comparisons use the full sets.
 At the threshold a pair misses all bands with probability 8e-7.
 
 Components come from rounds of large-star and small-star contraction on the
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewatch.llm.common import Words, mix, rolling, run_folder, slices, stage, utf8
@@ -45,7 +46,7 @@ from zonewatch.llm.common import Words, mix, rolling, run_folder, slices, stage,
 WIDTH = 5
 BANDS, ROWS = 24, 5
 COORDS = BANDS * ROWS
-BLOCK = 64
+BLOCK = 128
 SALTS = 32
 LINK, OF = 85, 100  # linked where OF * intersection >= LINK * union
 MATRIX_CELLS = 4 << 20
@@ -277,34 +278,63 @@ def _spread(prints: DataFrame, named: DataFrame) -> DataFrame:
                          F.coalesce(F.col("_comp") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _cost() -> Column:
+    """Rows dealt out to compare side 1 with itself and with side 0."""
+    return F.col("n0") * F.col("k1") + F.col("n1") * (F.col("k0") + F.col("k1"))
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """Members (level, bucket, rep, comp, side) with the sizes of their bucket's sides."""
+    counts = rows.groupBy("level", "bucket").agg(
+        F.sum(1 - F.col("side")).alias("n0"), F.sum("side").alias("n1")).filter("n1 > 0")
+    counts = counts.withColumn("k0", F.ceil(F.col("n0") / BLOCK).cast("int")).withColumn("k1", F.ceil(F.col("n1") / BLOCK).cast("int"))
+    return rows.join(counts, ["level", "bucket"])
+
+
 def _unsettled(members: DataFrame, comps: DataFrame, folder: str) -> DataFrame:
-    """Members of the buckets in which more than one component is left, numbered within the
-    bucket: side 0 shares the component of the bucket's first member, side 1 does not."""
+    """Members of the buckets in which more than one component is left.  Side 0 shares one
+    component, side 1 does not; members are dealt to blocks by hash, so no order over a
+    large bucket is needed.
+
+    Buckets that overlap would compare the same members again and again, so those chained
+    by members are taken as one where that deals out fewer rows; a chain that is long
+    but thin stays with its buckets.  Either way every pair of a bucket is compared."""
     own = comps.select(F.col("id").alias("rep"), "comp")
     lead = comps.select(F.col("id").alias("first"), F.col("comp").alias("lead"))
     known = members.join(own, "rep", "left").join(lead, "first", "left").select(
-        "bucket", "rep", F.coalesce("comp", "rep").alias("comp"), F.coalesce("lead", "first").alias("lead"))
-    known = stage(known.withColumn("side", (F.col("comp") != F.col("lead")).cast("int")), folder, "known")
-    counts = known.groupBy("bucket").agg(F.sum("side").alias("n1"), F.sum(1 - F.col("side")).alias("n0")).filter("n1 > 0")
-    # members are dealt to blocks by hash: no order over a large bucket is needed
-    return known.join(counts, "bucket").select(
-        "bucket", "rep", "comp", "side",
-        F.ceil(F.col("n0") / BLOCK).cast("int").alias("k0"), F.ceil(F.col("n1") / BLOCK).cast("int").alias("k1")
-    ).withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("side") == 0, F.col("k0")).otherwise(F.col("k1"))).cast("int"))
+        F.lit(0).alias("level"), "bucket", "first", "rep", F.coalesce("comp", "rep").alias("comp"),
+        (F.coalesce("comp", "rep") != F.coalesce("lead", "first")).cast("int").alias("side"))
+    by_bucket = stage(_sized(stage(known, folder, "known")), folder, "open")
+
+    chains = stage(components(by_bucket.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")),
+                              folder, "chain"), folder, "chains").select(F.col("id").alias("rep"), F.col("comp").alias("chain"))
+    chained = stage(by_bucket.join(chains, "rep"), folder, "chained")
+    met = chained.select("chain", "rep", "comp").distinct()
+    main = met.groupBy("chain", "comp").agg(F.count("*").alias("n")).groupBy("chain").agg(
+        F.max(F.struct("n", (-F.col("comp")).alias("comp"))).alias("m")).select("chain", (-F.col("m.comp")).alias("main"))
+    by_chain = _sized(met.join(main, "chain").select(
+        F.lit(1).alias("level"), F.col("chain").alias("bucket"), "rep", "comp", (F.col("comp") != F.col("main")).cast("int").alias("side")))
+    apart = chained.select("chain", "bucket", _cost().alias("cost")).distinct().groupBy("chain").agg(F.sum("cost").alias("apart"))
+    whole = by_chain.select("bucket", _cost().alias("whole")).distinct()
+    joint = stage(apart.join(whole, apart["chain"] == whole["bucket"]).filter("whole < apart").select("chain"), folder, "joint")
+    columns = ("level", "bucket", "rep", "comp", "side", "k0", "k1")
+    rest = chained.join(joint, "chain", "left_anti").select(*columns).unionByName(
+        by_chain.join(joint.withColumnRenamed("chain", "bucket"), "bucket", "left_semi").select(*columns))
+    return stage(rest.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("side") == 0, F.col("k0")).otherwise(
+        F.col("k1"))).cast("int")), folder, "rest")
 
 
 def _blocked(rest: DataFrame, sets: DataFrame) -> DataFrame:
     """Links found by comparing every block of side 1 with every block of its bucket."""
-    i = F.sequence(F.lit(0), F.col("k1") - 1)
-    own = F.col("block")
+    key = ("level", "bucket")
+    ones, i, own = rest.filter("side = 1"), F.sequence(F.lit(0), F.col("k1") - 1), F.col("block")
     with_zero = rest.filter("side = 0").withColumn("other", F.explode(i)).select(
-        "bucket", F.lit(0).alias("kind"), own.alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "comp")
-    ones = rest.filter("side = 1")
+        *key, F.lit(0).alias("kind"), own.alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "comp")
     with_one = ones.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k0") - 1))).select(
-        "bucket", F.lit(0).alias("kind"), F.col("other").alias("i"), own.alias("j"), F.lit(1).alias("side"), "rep", "comp")
+        *key, F.lit(0).alias("kind"), F.col("other").alias("i"), own.alias("j"), F.lit(1).alias("side"), "rep", "comp")
     among = ones.withColumn("other", F.explode(i)).select(
-        "bucket", F.lit(1).alias("kind"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        *key, F.lit(1).alias("kind"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (own > F.col("other")).cast("int").alias("side"), "rep", "comp")
     dealt = with_zero.unionByName(with_one).unionByName(among)
     full = dealt.join(sets.withColumnRenamed("id", "rep"), "rep").withColumnRenamed("rep", "id")
-    return full.groupBy("bucket", "kind", "i", "j").applyInArrow(_block_links, "a long, b long")
+    return full.groupBy(*key, "kind", "i", "j").applyInArrow(_block_links, "a long, b long")
