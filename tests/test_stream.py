@@ -57,6 +57,33 @@ def test_kafka_rows_go_through_the_job(spark, tmp_path):
     assert [(r.frame_id, r.batch_id) for r in saved] == [(7, 4)] and "_epoch1_frame2.jpg" in saved[0].file_name
 
 
+def test_open_breaker_keeps_frames_from_the_detector(spark, tmp_path):
+    """Five failing batches open camera 1's breaker: its next frames pass by, until one
+    more than 300 s after the last failure; camera 2 is not touched."""
+    from zonewatch.operators import detect as D
+    calls = str(tmp_path / "calls")
+
+    class Counting(D.StubDetector):
+        def infer(self, model, image, w, h):
+            with open(calls, "a") as f:
+                f.write(image[:1].decode())
+            if image[:1] == b"1":
+                raise RuntimeError("codec")
+            return [("car", 0.9, 1, 1, 2, 2)]
+
+    seen = []
+    for batch, second in enumerate([0, 10, 20, 30, 40, 50, 340, 341]):
+        at = datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=second)
+        rows = [(batch * 10 + cam, cam, batch, 0, 640, 640, at, base64.b64encode(str(cam).encode() * 1800).decode()) for cam in (1, 2)]
+        df = spark.createDataFrame(rows, "frame_id long, camera_id int, epoch_id long, row_idx int, w int, h int, timestamp timestamp, frame_b64 string")
+        for _ in range(2 if batch == 5 else 1):  # a replayed batch changes nothing
+            ST.process_batch(df, batch, str(tmp_path / "out"), Counting())
+        seen.append(open(calls).read())
+        open(calls, "w").close()
+    assert ["1" in s for s in seen] == [True] * 5 + [False, False, True]
+    assert all("2" in s for s in seen)
+
+
 def test_kafka_rows_without_headers_are_named_by_their_place(spark):
     at = datetime.datetime(2024, 1, 1)
     for headers in (False, True):

@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from zonewatch import config
 from zonewatch.functions import geometry
 from zonewatch.functions import payload as P
+from zonewatch.operators import breaker as B
 from zonewatch.operators import detect as D
 from zonewatch.operators import sinks as S
 
@@ -158,10 +160,17 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
     written idempotently for ``batch_id``.  Errors propagate (the batch is
     retried from the checkpoint instead of being committed half-done)."""
     # the micro-batch is read once: a second read would count its rows again in the progress
-    res = D.predict(df, detector).withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+    df = df.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+    res = None
     try:
-        if res.isEmpty():  # E14
+        if df.isEmpty():  # E14
             return
+        states = breaker_states(df.sparkSession, out_dir, batch_id)
+        met = B.open_cameras(states, df.groupBy("camera_id").agg(F.max(F.unix_timestamp("timestamp")).alias("t")))
+        # Frames of a camera whose breaker is open pass by the detector
+        shut = met.where("open").select("camera_id", F.lit("CIRCUIT_BREAKER_OPEN").alias(D.GATE))
+        gated = df.join(shut, "camera_id", "left") if detector is not None else df
+        res = D.predict(gated, detector).persist()
         status = P.status_decode(F.col("result"))
         summary = res.groupBy("batch_id", "epoch_id").agg(
             F.count(F.lit(1)).alias("rows"),
@@ -182,8 +191,28 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
         (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch_id", "verdict").parquet(os.path.join(out_dir, "evidence")))
         S.write_alerts(S.alerts(ev), os.path.join(out_dir, "alerts"))
+        if detector is not None:
+            outcomes = res.groupBy("camera_id").agg(
+                (F.count_if(status.isin("VIOLATION", "NORMAL")) / F.count(F.lit(1)) < config.LOW_SUCCESS_RATE).alias("fail"))
+            (B.next_states(states, met, outcomes).withColumn("batch_id", F.lit(batch_id).cast("long"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("batch_id").parquet(os.path.join(out_dir, "breaker")))
     finally:
-        res.unpersist()
+        df.unpersist()
+        if res is not None:
+            res.unpersist()
+
+
+def breaker_states(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame:
+    """Breaker state of every camera before ``batch_id``: the partition the
+    latest earlier micro-batch wrote (a replayed batch reads the same one)."""
+    none = spark.createDataFrame([], B.STATE)
+    try:
+        table = spark.read.schema(B.STATE + ", batch_id long").parquet(os.path.join(out_dir, "breaker"))
+    except AnalysisException:  # no micro-batch has finished yet
+        return none
+    latest = table.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+    return none if latest is None else table.where(F.col("batch_id") == latest).drop("batch_id")
 
 
 def run_stream(raw: DataFrame, out_dir: str, checkpoint: str, detector=None,
