@@ -371,7 +371,9 @@ def test_tree_bpe_at_any_cut(library, monkeypatch):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
         monkeypatch.setattr(bpe_tree, "LEAF", rng.choice([1, 2, 3, 7, 8192]))
         monkeypatch.setattr(bpe_tree, "PIECE", rng.choice([1, 2, 3, 6, 48]))
-        bpe.first.clear(), bpe.spaced.clear(), bpe.short.clear(), bpe.seams.clear()
+        for kept in (bpe.matches, bpe.short, bpe.seams):
+            kept.clear()
+            kept.old = {}
         ids = bpe.encode(text).tolist()
         assert ids == library.encode_ordinary(text), repr(text)
         assert bpe.decode(ids) == text.encode()

@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding (operator 7) by monoid tree reduction.
 
-Text level.  A text is encoded by halves down to leaves of ``LEAF`` characters.
-A leaf is a list of units cut before every space that a non-space follows.  No
-match of the split pattern crosses such a place, whatever stands on either side:
-the alternatives that may begin with a space match from it, and the white-space
-alternatives stop before it.  So the units inside a half are final, and joining
-two halves re-encodes only the last unit of the left and the first of the right.
+Text level.  A text is encoded by halves down to leaves of ``LEAF`` characters,
+which are lists of the split pattern's matches.  Two neighbours are joined by
+matching again in a window around the seam that grows on both sides to a place
+that is provably final: a space followed by a non-space.  No match crosses such
+a place, whatever stands on either side: the alternatives that may begin with a
+space match from it, and the white-space alternatives stop before it.
 
 Token level.  A match longer than ``PIECE`` bytes is encoded by halves too, and
 short parts, seams and pairs recur, so a worker keeps what it has found for them.
@@ -17,7 +17,7 @@ outside it.
 
 Decoding concatenates the bytes of halves up the same tree.
 
-A worker keeps the ids of common units.  Cases: a null or empty text has no
+A worker keeps the ids of common matches (a bounded cache).  Cases: a null or empty text has no
 ids; null and repeated doc_ids are rows like any other; extra columns are
 ignored; an empty table gives an empty result.
 """
@@ -27,6 +27,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,27 +42,59 @@ from zonewatch.llm.common import Words, slices, store
 LEAF = 8192
 PIECE, LONG = 5, 96
 NONE = 1 << 60
-CACHED_UNITS, CACHED_UNIT_CHARS, CACHED_SEAMS = 300_000, 192, 150_000
+CACHED_MATCHES, CACHED_SEAMS = 400_000, 150_000
 
-_CUT = regex.compile(r" (?=\S)")
-_LOOSE = regex.compile(r" (?:\s|\Z)")
 
+class Splitter:
+    """Matches of the split pattern.  Texts without characters from U+0250 on take the
+    standard library's faster engine, with the pattern's classes spelled out."""
 
-def units(text: str) -> list[str]:
-    """The text before its first cut, then each unit without the space that opens it."""
-    return _CUT.split(text) if _LOOSE.search(text) else text.split(" ")
+    LATIN = 0x250
 
+    def __init__(self, pattern: str):
+        self.any = regex.compile(pattern).findall
+        kind = {c: unicodedata.category(chr(c))[0] for c in range(self.LATIN)}
+        letters, numbers = (_ranges([c for c in kind if kind[c] == k]) for k in "LN")
+        blank = _ranges([c for c in kind if regex.match(r"\s", chr(c))])
+        spelled = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{blank}{letters}{numbers}]").replace(
+            r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]").replace(r"\S", f"[^{blank}]").replace(r"\s", f"[{blank}]")
+        self.latin = re.compile(spelled).findall if "\\p" not in spelled else self.any
+        self.beyond = re.compile(f"[^\\x00-{chr(self.LATIN - 1)}]").search
 
-def join_units(left: list[str], right: list[str]) -> list[str]:
-    """Units of two neighbouring texts: only those at the seam are cut again."""
-    return left[:-1] + units(left[-1] + right[0]) + right[1:] if left[-1] or right[0] else left + right[1:]
+    def __call__(self, text: str) -> list[str]:
+        return self.any(text) if self.beyond(text) else self.latin(text)
 
+    def tree(self, text: str) -> list[str]:
+        if len(text) <= LEAF:
+            return self(text)
+        half = len(text) // 2
+        return self.join(self.tree(text[:half]), self.tree(text[half:]))
 
-def tree_units(text: str) -> list[str]:
-    if len(text) <= LEAF:
-        return units(text)
-    half = len(text) // 2
-    return join_units(tree_units(text[:half]), tree_units(text[half:]))
+    def join(self, left: list[str], right: list[str]) -> list[str]:
+        """Matches of two neighbouring texts: only a window around the seam is matched again."""
+        i, j = len(left) - 1, 0
+        while i > 0 and not _final(left[i]):
+            i -= 1
+        while j < len(right) and not _final(right[j]):
+            j += 1
+        return left[:max(i, 0)] + self("".join(left[max(i, 0):] + right[:j])) + right[j:]
+
+
+def _final(match: str) -> bool:
+    """Whether a match must begin where this one does, whatever the text around it."""
+    return len(match) > 1 and match[0] == " " and not match[1].isspace()
+
+
+def _ranges(points: list[int]) -> str:
+    """Character class text for sorted code points."""
+    out, at = [], 0
+    while at < len(points):
+        to = at
+        while to + 1 < len(points) and points[to + 1] == points[to] + 1:
+            to += 1
+        out.append(f"\\u{points[at]:04x}-\\u{points[to]:04x}")
+        at = to + 1
+    return "".join(out)
 
 
 class ByteBPE:
@@ -72,11 +106,10 @@ class ByteBPE:
             lines = f.read().splitlines()
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.pattern = regex.compile(pattern)
+        self.split = Splitter(pattern)
         self.short = Words(self.merge, CACHED_SEAMS)  # bytes of few characters
         self.seams = Words(self._seam, CACHED_SEAMS)  # of two tokens
-        self.first = Words(self._unit, 20_000)
-        self.spaced = Words(lambda unit: self._unit(" " + unit), CACHED_UNITS)
+        self.matches = Words(lambda match: self.encode_piece(match.encode()), CACHED_MATCHES)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids by merging the neighbours of lowest rank, leftmost first."""
@@ -152,20 +185,13 @@ class ByteBPE:
             return [self.ranks[piece]]
         return self.join(self.encode_piece(piece[:n // 2]), self.encode_piece(piece[n // 2:]))
 
-    def _unit(self, unit: str) -> tuple[int, ...]:
-        if unit[1:].isalpha() and (unit[0] == " " or unit[0].isalpha()):
-            return tuple(self.encode_piece(unit.encode()))  # one match of the pattern's letters
-        return tuple(chain.from_iterable([self.encode_piece(p.encode()) for p in self.pattern.findall(unit)]))
-
     def encode(self, text: str) -> np.ndarray:
-        parts = tree_units(text)
-        rest = parts[1:]
-        if any(len(u) > CACHED_UNIT_CHARS for u in rest):  # long units are not worth keeping
-            ids = [self.spaced[u] if len(u) <= CACHED_UNIT_CHARS else self._unit(" " + u) for u in rest]
+        found = self.split.tree(text)
+        if any(map(LONG.__lt__, map(len, found))):  # long matches are not worth keeping
+            ids = [self.matches[m] if len(m) <= LONG else self.encode_piece(m.encode()) for m in found]
         else:
-            ids = map(self.spaced.__getitem__, rest)
-        first = self.first[parts[0]] if len(parts[0]) <= CACHED_UNIT_CHARS else self._unit(parts[0])
-        return np.fromiter(chain(first, chain.from_iterable(ids)), np.int32)
+            ids = map(self.matches.__getitem__, found)
+        return np.fromiter(chain.from_iterable(ids), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF:
@@ -220,12 +246,13 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the bytes that they decode to: the two
     operators one after the other within a task, so ids are not sent through the JVM."""
     def digest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Words(str)
         for coded in encode_batches(parts, path, pattern):
             ids = coded.column(1).to_pylist()
             texts = next(decode_batches(iter([coded]), path, pattern)).column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([
                 coded.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]),
+                pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in ids]),
                 pa.array([hashlib.sha256(t).hexdigest() for t in texts])],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
