@@ -42,7 +42,7 @@ from zonewatch.llm.common import Words, slices, store
 LEAF = 8192
 PIECE, LONG = 5, 96
 NONE = 1 << 60
-CACHED_MATCHES, CACHED_SEAMS = 400_000, 150_000
+CACHED_MATCHES, CACHED_SEAMS = 700_000, 150_000
 
 
 class Splitter:
@@ -187,10 +187,7 @@ class ByteBPE:
 
     def encode(self, text: str) -> np.ndarray:
         found = self.split.tree(text)
-        if any(map(LONG.__lt__, map(len, found))):  # long matches are not worth keeping
-            ids = [self.matches[m] if len(m) <= LONG else self.encode_piece(m.encode()) for m in found]
-        else:
-            ids = map(self.matches.__getitem__, found)
+        ids = map(self.matches.__getitem__, found)
         return np.fromiter(chain.from_iterable(ids), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
@@ -219,15 +216,25 @@ def encode_batches(parts: Iterator[pa.RecordBatch], path: str, pattern: str) ->
     for part in parts:
         doc_ids, texts = part.column(0), [t or "" for t in part.column(1).to_pylist()]
         for at, to in slices(texts, 1 << 20):
-            yield pa.RecordBatch.from_arrays([doc_ids.slice(at, to - at), pa.array(
-                [bpe.encode(t) for t in texts[at:to]], IDS.field(1).type)], schema=IDS)
+            ids = [bpe.encode(t) for t in texts[at:to]]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([doc_ids.slice(at, to - at), pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.concatenate(ids)), type=IDS.field(1).type)], schema=IDS)
+
+
+def id_lists(column: pa.ListArray) -> list[list[int]]:
+    """Rows of ids, null as none: by way of the flat values, many times faster than row by row."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    if column.null_count:
+        return [x or [] for x in column.to_pylist()]
+    return [values[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def decode_batches(parts: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     bpe = coder(path, pattern)
     for part in parts:
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(
-            [bpe.decode(ids or []) for ids in part.column(1).to_pylist()], pa.binary())], schema=TEXTS)
+            [bpe.decode(ids) for ids in id_lists(part.column(1))], pa.binary())], schema=TEXTS)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -248,7 +255,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def digest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Words(str)
         for coded in encode_batches(parts, path, pattern):
-            ids = coded.column(1).to_pylist()
+            ids = id_lists(coded.column(1))
             texts = next(decode_batches(iter([coded]), path, pattern)).column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([
                 coded.column(0), pa.array([len(x) for x in ids], pa.int64()),

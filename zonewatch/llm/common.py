@@ -110,13 +110,16 @@ def rolling(ids: np.ndarray, width: int) -> np.ndarray:
 
 class Words(dict):
     """Cache from a key to a computed value, bounded to two generations of ``most`` keys: a
-    full one is set aside, and what is still asked for comes back from it."""
+    full one is set aside, and what is still asked for comes back from it.  Keys of more
+    than ``longest`` characters are computed each time."""
 
-    def __init__(self, make, most: int = 250_000):
+    def __init__(self, make, most: int = 250_000, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.old = make, most, {}
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
 
     def __missing__(self, key):
+        if type(key) in (bytes, str) and len(key) > self.longest:
+            return self.make(key)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
