@@ -304,7 +304,7 @@ def test_non_negative_risk_steps_back():
 def test_packing(docs, rows, none):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(WORDS)
-    got = packing.pack(docs, WORDS).collect()
+    got = packing.pack_documents(docs, WORDS).collect()
     want = Counter()
     for r in rows:
         ids = np.array(tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [1], "<u4")
@@ -321,7 +321,16 @@ def test_packing(docs, rows, none):
             assert offset == at
             at += length
         assert at <= 2048
-    assert packing.pack(none, WORDS).count() == 0
+    assert packing.pack_documents(none, WORDS).count() == 0
+
+
+def test_word_ids_equal_whole_texts():
+    ids, rng = packing.WordIds(WORDS), random.Random(5)
+    parts = ["a", "Word", "THE", ",", ".", "..", "'s", "'LL", "\u0130", "\u0391\u03a3", "H\u0331", "E\u0301", "<|endoftext|>", "<|ENDOFTEXT|>",
+             "\u4e2d", "3", "\xbd", "\xa0", "\x1c", "_", "x" * 70]
+    for _ in range(1500):
+        text = "".join(rng.choice(parts) + rng.choice(["", "", " ", "\n", "  "]) for _ in range(rng.randint(0, 14)))
+        assert ids.encode(text.encode()) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
 def test_best_fit_takes_the_tightest_room():
@@ -379,6 +388,18 @@ def test_tree_bpe_at_any_cut(library, monkeypatch):
         assert bpe.decode(ids) == text.encode()
 
 
+def test_both_engines_split_alike():
+    split, rng = bpe_tree.Splitter(public_tokenizers.PATTERN), random.Random(2)
+    latin = [chr(c) for c in range(0x250)]
+    for k in range(0x250):
+        text = f"a {chr(k)}{chr(k)}b 1{chr(k)} .{chr(k)}  {chr(k)}'s"
+        assert split.latin(text) == split.any(text), k
+    for _ in range(2000):
+        text = "".join(rng.choice(latin) for _ in range(30))
+        assert split.latin(text) == split.any(text)
+    assert split.beyond("a\u0250") and not split.beyond("a\u024f")
+
+
 def test_tree_bpe_of_long_matches(library):
     bpe, rng = bpe_tree.ByteBPE(RANKS, public_tokenizers.PATTERN), random.Random(6)
     for text in ("a" * 5000, "ab" * 4000, " " * 9000, "\n \n" * 3000, "".join(rng.choice("abcdefghij") for _ in range(20000)), "é" * 3000):

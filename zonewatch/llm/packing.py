@@ -8,7 +8,7 @@ them, which a segment tree over the remaining capacities finds.
 
 Tokens.  The tokenizer drops white space and never merges across it, so a text's
 ids are those of its words one after the other; a worker keeps the ids of
-common words and passes only new ones to the tokenizer.
+common words (a bounded cache) and passes only new ones to the tokenizer.
 
 Cases: a null or empty text is the end id alone.  Null and repeated doc_ids
 are packed like any other; repeated rows are packed each.  Sequence ids are
@@ -19,21 +19,24 @@ result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from math import ceil
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewatch.llm.common import mix, utf8
+from zonewatch.llm.common import Words, mix, slices, utf8
 
 WINDOW = 2048
 END_ID = 1
 LANE_ROWS = 8192
-CACHED_WORDS, CACHED_BYTES = 200_000, 64
+CACHED_WORDS = 800_000  # two generations of about 200 bytes a word
+_SIGN = re.compile(rb"(?<=[A-Za-z])([.,])(?=[ \n])")
 
 
 class CapacityTree:
@@ -95,27 +98,20 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        once: dict[bytes, bytes] = {}
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(
-                    [w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                (known if len(word) <= CACHED_BYTES else once)[word] = np.array(coded.ids, "<u4").tobytes()
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except KeyError:
-                out.append(b"".join([known.get(w) or once.get(w, b"") for w in words]))
-        return out
+        self.words = Words(self._ids, CACHED_WORDS)
+
+    def _ids(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([word.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
+        return pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: bytes) -> bytes:
+        # the same ids with fewer different words: a sign between a letter and white space is a
+        # match of its own, and letters are lower-cased anyway (in other scripts after they are
+        # composed; and a special token is one only as it is written)
+        text = _SIGN.sub(rb" \1", text)
+        if text.isascii() and b"<|" not in text:
+            text = text.lower()
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -125,15 +121,13 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 
 def _cut(path: str, lanes: int):
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zonewatch.llm.common import slices
-
         ids_of = _tokenizers.get(path) or _tokenizers.setdefault(path, WordIds(path))
         row = 0
         for part in parts:
             doc_ids, texts = part.column(0).to_pylist(), utf8(part.column(1))
             for at, to in slices(texts, 1 << 20):
                 pieces = []
-                for doc_id, ids in zip(doc_ids[at:to], ids_of.encode(texts[at:to]), strict=True):
+                for doc_id, ids in zip(doc_ids[at:to], map(ids_of.encode, texts[at:to]), strict=True):
                     row += 1
                     ids = memoryview(ids + END_ID.to_bytes(4, "little"))
                     n = len(ids) // 4
@@ -155,7 +149,7 @@ def _pack_lane(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         "offset", pa.array([o for _, o in placed], pa.int64()))
 
 
-def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     lanes = max(1, ceil(docs.count() / LANE_ROWS))

@@ -47,7 +47,7 @@ def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
