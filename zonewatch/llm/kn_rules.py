@@ -50,6 +50,7 @@ SIGNS = ".,'\"-()!?/|#*$%&<>:;"
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))  # bytes of UTF-8 that do not begin a character
 VOCABULARY = 300_000
+SALTS = 256
 
 
 def _classes() -> np.ndarray:
@@ -303,11 +304,14 @@ def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER) -
     build_models(docs, folder)
     scored = stage(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(
         _scored(folder), SCORES), folder, "scored")
+    # a language may hold most documents: its one row of quartiles is copied to every salt
     quartiles = scored.filter("not base_failed").groupBy("lang").agg(
         F.percentile_approx("log_ppl", [0.25, 0.75], 10_000).alias("q")).select(
-        F.col("lang").alias("_lang"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+        F.col("lang").alias("_lang"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(MIN_RANGE)) * (1 + SHORT / F.sqrt("n_words"))
     inside = F.col("log_ppl").between(F.col("q1") - lower * spread, F.col("q3") + upper * spread)
-    return scored.join(quartiles, scored["lang"] == quartiles["_lang"], "left").select(
+    salt = F.pmod(F.xxhash64(scored["doc_id"], scored["n_words"], scored["word_chars"]), F.lit(SALTS))
+    return scored.join(quartiles, (scored["lang"] == quartiles["_lang"]) & (salt == quartiles["_salt"]), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "log_ppl")
