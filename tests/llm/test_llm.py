@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonewatch.llm import (
-    bpe_tree, chat, cuckoo, kn_rules, line_dedup, minhash, packing, pu_quality, sharding, warc_zip)
+    bpe_tree, chat, cuckoo, kn_rules, kn_words, line_dedup, minhash, packing, pu_quality, sharding, warc_zip)
 from zonewatch.llm.common import mix, run_folder, stage
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -254,6 +254,78 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
     assert levels[4][1] and sum(levels[4][1]) == sum(len(w) + 1 for w in "abc abd abe xyz ab abc 12, A-b".split())
 
 
+def brute_word_ppl(docs, me, spelled):
+    """log-perplexity a word of ``docs[me]`` by the model of the others, from plain counts."""
+    def padded(words):
+        return [None, None, *words]
+
+    def counts(texts):
+        tri = Counter(g for w in texts for p in [padded(w)] for g in zip(p, p[1:], p[2:]))
+        bi, uni = Counter(), Counter()
+        for (a, b, c), n in tri.items():
+            bi[b, c] += n if a is None and b is None else 1
+        for (_, c) in bi:
+            uni[c] += 1
+        return {3: tri, 2: bi, 1: Counter({(c,): n for c, n in uni.items()})}
+
+    cut = {k: kn_words.discounts(*((np.array(list(v.values())) == m).sum() for m in (1, 2, 3, 4))) for k, v in counts(docs).items()}
+    others = [d for k, d in enumerate(docs) if k != me]
+    model = counts(others)
+    flat, types = Counter(w for d in others for w in d), len({w for d in docs for w in d})
+
+    def p(gram):
+        if not gram:
+            raise AssertionError
+        k = len(gram)
+        below = p(gram[1:]) if k > 1 else (flat[gram[0]] + types * np.exp(spelled[gram[0]])) / (sum(flat.values()) + types)
+        followers = [n for g, n in model[k].items() if g[:-1] == gram[:-1]]
+        if not followers:
+            return below
+        n = model[k][gram]
+        free = sum(cut[k][min(m, 3)] for m in followers)
+        return (n - cut[k][min(n, 3)] + free * below) / sum(followers)
+
+    own = padded(docs[me])
+    return -sum(np.log(p(g)) for g in zip(own, own[1:], own[2:])) / len(docs[me])
+
+
+def test_word_model_leaves_each_document_out(spark):
+    rng = random.Random(8)
+    docs = [rng.choices("a b c d e f g hapax1 hapax2".split(), [9, 8, 7, 6, 5, 4, 3, 1, 1], k=rng.randint(1, 60)) for _ in range(25)]
+    docs += [docs[3], ["only", "here"], ["a"]]
+    places = {w: k for k, w in enumerate(sorted({w for d in docs for w in d}))}
+    spelled = {w: -2.0 - len(w) for w in places}
+    rows = []
+    for block, members in enumerate((docs[:9], docs[9:20], [*docs[20:], []])):  # three blocks, one with an empty text
+        ids = np.array([places[w] for d in members for w in d], np.int32)
+        rows.append((block, "x", mix(np.arange(1, len(places) + 1, dtype=np.uint64)).tobytes(), ids.tobytes(),
+                     np.array([spelled[w] for w in places]).tobytes(), [len(d) for d in members]))
+    blocks = spark.createDataFrame(rows, "block long, lang string, words binary, ids binary, spelled binary, lengths array<int>")
+    got = {(r.block, r.place): r.log_ppl for r in kn_words.score_blocks(blocks, run_folder(spark, "test")).collect()}
+    assert got.pop((2, len(docs) - 20)) is None and len(got) == len(docs)
+    for k, at in enumerate(sorted(got)):
+        assert abs(got[at] - brute_word_ppl(docs, k, spelled)) < 1e-9
+
+
+def test_rules_see_words_and_their_order(spark):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("aeioubdglmnrst", k=rng.randint(2, 9))) for _ in range(3000)]
+    weight = [1 / (k + 1) for k in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, weight, k=300)) for _ in range(300)]
+    seen = sorted({w for t in texts for w in t.split()})
+    odd = [" ".join(rng.choices(seen, k=300)), " ".join(str(rng.randrange(10 ** 6)) for _ in range(300)),
+           " ".join(w.upper() for w in rng.choices(seen, k=300))]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts + odd)], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in kn_rules.quality_rules(docs).collect()}
+    assert all(rows[k].kept for k in range(300)) and not any(rows[k].kept for k in (300, 301, 302))
+    line = "the old river runs past the mill and the quiet stone bridge at evening when boats come slowly home again".split()
+    again = [" ".join(rng.sample(line, len(line))) for _ in range(2)]
+    docs = spark.createDataFrame([(k, " ".join(line) + f" {k}x", "en") for k in range(30)] + [(30 + k, t, "en") for k, t in enumerate(again)],
+                                 "doc_id long, text string, lang string")
+    ppl = {r.doc_id: r.log_ppl for r in kn_rules.quality_rules(docs).collect()}
+    assert min(ppl[30], ppl[31]) > max(ppl[k] for k in range(30)) + 1
+
+
 # --- 1: quality classifier -----------------------------------------------------------------
 
 

@@ -1,21 +1,26 @@
-"""Quality rules (operator 10): base rules and perplexity bands of a Kneser-Ney model.
-
-Model.  For every language, a modified Kneser-Ney model of order 4 over the
-characters inside words, with marks for a word's start and end.  Characters
-are folded into 63 symbols (small letters, capitals as one, digits as one,
-each common sign of its own, other characters by remainder), so an n-gram is a
-24-bit key and a model has at most 64**4 of them however large the corpus is.
-Spark counts the 4-grams of all documents (tasks add up distinct words first,
-the group-by adds up tasks); continuation counts of the lower orders and the
-counts of counts are group-bys over the n-gram types.  One task a language
-turns its rows into sorted arrays of keys, probabilities and back-off weights
-and writes them to the shared folder; scorers load the languages they meet.
-
-Verdict.  A document's log-perplexity is -sum(log p) / symbols.  Within a
-language the quartiles over all documents that pass the base rules give the
-band [q1 - LOWER * r, q3 + UPPER * r], r = max(q3 - q1, MIN_RANGE), widened
-for short documents by 1 + SHORT / sqrt(words).  Outside it a document is
-rejected.
+"""Quality rules (operator 10): base rules and perplexity bands of Kneser-Ney models.
+
+Words.  ``kn_words`` counts the word n-grams of all documents up to order 3 and
+scores every document by the model of all others: log_ppl, -sum(log p) / words.
+
+Characters.  For every language, a modified Kneser-Ney model of order 4 over the
+characters inside words, with marks for a word's start and end; the word model
+spells unknown words with it.  Characters are folded into 63 symbols (small
+letters, capitals as one, digits as one, each common sign of its own, other
+characters by remainder), so an n-gram is a 24-bit key and a model has at most
+64**4 of them however large the corpus is.  Spark counts the 4-grams of all
+documents (tasks add up distinct words first, the group-by adds up tasks);
+continuation counts of the lower orders and the counts of counts are group-bys
+over the n-gram types.  One task a language turns its rows into sorted arrays of
+keys, probabilities and back-off weights and writes them to the shared folder;
+scorers load the languages they meet.  Its figure is -sum(log p) / symbols.
+
+Verdict.  Within a language the quartiles over all documents that pass the base
+rules give the bands, widened for short documents by 1 + SHORT / sqrt(words).
+By characters it is [q1 - LOWER * r, q3 + UPPER * r], r = max(q3 - q1, MIN_RANGE).
+By words it ends at q3 + WORD_UPPER * max(q3 - q2, MIN_RANGE), exact copies counted
+once, and has no lower end: a copy is well foreseen, and left to the dedup
+operators.  Outside a band a document is rejected.
 
 Base rules: fewer than 20 words, or more than 30 % of the words inside 8-word
 windows that occur twice or more in the text.
@@ -34,15 +39,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonewatch.llm import kn_words
 from zonewatch.llm.common import SPACE, put_file, rolling, run_folder, slices, stage, store, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 LOWER, UPPER, MIN_RANGE, SHORT = 8.0, 20.0, 0.02, 8.0
+WORD_UPPER = 5.0
 
 ORDER = 4
 START, END, OTHER = 1, 2, 52
@@ -221,11 +230,11 @@ class _Scorer:
         with fs.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as held:
             self.model = {k: held[k] for k in held.files}
         self.ids: dict[bytes, int] = {}
-        self.scores = np.zeros(0)
+        self.scores, self.hashes = np.zeros(0), np.zeros(0, np.uint64)
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.ids) > VOCABULARY:
-            self.ids, self.scores = {}, np.zeros(0)
+            self.ids, self.scores, self.hashes = {}, np.zeros(0), np.zeros(0, np.uint64)
         new = [w for w in words if w not in self.ids]
         if not new:
             return
@@ -233,6 +242,7 @@ class _Scorer:
         scores = np.bincount(owner, np.log(_probability(self.model, ORDER, grams)), len(new))
         self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
         self.scores = np.concatenate([self.scores, scores])
+        self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -258,59 +268,70 @@ def base_counts(text: bytes, ids: np.ndarray) -> tuple[int, int, int, int, int]:
             repeated_words(ids))
 
 
-SCORES = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-          "n_repeat_words long, base_failed boolean, log_ppl double")
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *[(c, pa.int64()) for c in (
-    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], ("base_failed", pa.bool_()), ("log_ppl", pa.float64())])
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+ROW = pa.struct([("doc_id", pa.int64()), *[(c, pa.int64()) for c in FIGURES], ("base_failed", pa.bool_()), ("char_ppl", pa.float64())])
+SCHEMA = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("ids", pa.binary()),
+                    ("spelled", pa.binary()), ("lengths", pa.list_(pa.int32())), ("docs", pa.list_(ROW))])
+BLOCKS = ("block long, lang string, words binary, ids binary, spelled binary, lengths array<int>, docs array<struct<doc_id: long, "
+          + "".join(f"{c}: long, " for c in FIGURES) + "base_failed: boolean, char_ppl: double>>")
 
 
-def _scored(folder: str):
-    def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(folder: str):
+    """Blocks of documents of one language, with their words and all that needs no other block."""
+    def block_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers: dict[str, _Scorer] = {}
+        block = TaskContext.get().partitionId() << 32
         for part in parts:
             doc_ids, langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2))
             for at, to in slices(texts):
-                held = [t.split() for t in texts[at:to]]
-                by_lang: dict[str, set] = {}
-                for lang, words in zip(langs[at:to], held, strict=True):
-                    by_lang.setdefault(lang, set()).update(words)
-                for lang, words in by_lang.items():
+                by_lang: dict[str, list[int]] = {}
+                for k in range(at, to):
+                    by_lang.setdefault(langs[k], []).append(k)
+                for lang, members in by_lang.items():
                     if lang not in scorers:
                         if len(scorers) >= 8:
                             scorers.pop(next(iter(scorers)))
                         scorers[lang] = _Scorer(folder, lang)
-                    scorers[lang].learn(words)
-                rows = []
-                for k in range(at, to):
-                    lang, words = langs[k], held[k - at]
-                    own = scorers.get(lang)
-                    if own is None:  # dropped above for another language of this slice
-                        own = scorers[lang] = _Scorer(folder, lang)
-                        own.learn(by_lang[lang])
-                    ids = np.fromiter(map(own.ids.__getitem__, words), np.int64, len(words))
-                    base = base_counts(texts[k], ids)
-                    failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
-                    ppl = -float(own.scores[ids].sum()) / (base[1] + base[0]) if words else None
-                    rows.append((doc_ids[k], lang, *base, failed, ppl))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SCHEMA, strict=True)],
-                                                 schema=SCHEMA)
-    return score
-
-
-def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
+                    own, held = scorers[lang], [texts[k].split() for k in members]
+                    own.learn({w for words in held for w in words})
+                    docs, ids = [], []
+                    for k, words in zip(members, held, strict=True):
+                        ids.append(np.fromiter(map(own.ids.__getitem__, words), np.int64, len(words)))
+                        base = base_counts(texts[k], ids[-1])
+                        failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
+                        ppl = -float(own.scores[ids[-1]].sum()) / (base[1] + base[0]) if words else None
+                        docs.append({"doc_id": doc_ids[k], **dict(zip(FIGURES, base, strict=True)), "base_failed": failed, "char_ppl": ppl})
+                    used, places = np.unique(np.concatenate(ids), return_inverse=True)
+                    row = (block, lang, own.hashes[used].tobytes(), places.astype(np.int32).tobytes(), own.scores[used].tobytes(),
+                           [len(x) for x in ids], docs)
+                    block += 1
+                    yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, SCHEMA, strict=True)], schema=SCHEMA)
+    return block_rows
+
+
+def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, word_upper: float = WORD_UPPER) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept, log_ppl."""
     folder = run_folder(docs.sparkSession, "rules")
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].alias("lang"), docs["text"].alias("text"))
     build_models(docs, folder)
-    scored = stage(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(
-        _scored(folder), SCORES), folder, "scored")
+    blocks = stage(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(
+        _blocks(folder), BLOCKS), folder, "blocks")
+    by_words = kn_words.score_blocks(blocks, folder)
+    by_chars = blocks.select("block", "lang", F.posexplode("docs").alias("place", "doc")).select("block", "place", "lang", "doc.*")
+    scored = stage(by_chars.join(by_words, ["block", "place"], "left"), folder, "scored")
+    passed = scored.filter("not base_failed")
+    by_char = passed.groupBy("lang").agg(F.percentile_approx("char_ppl", [0.25, 0.75], 10_000).alias("c"))
+    by_word = passed.select("lang", "n_words", "log_ppl").distinct().groupBy("lang").agg(
+        F.percentile_approx("log_ppl", [0.5, 0.75], 10_000).alias("w"))
     # a language may hold most documents: its one row of quartiles is copied to every salt
-    quartiles = scored.filter("not base_failed").groupBy("lang").agg(
-        F.percentile_approx("log_ppl", [0.25, 0.75], 10_000).alias("q")).select(
-        F.col("lang").alias("_lang"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(MIN_RANGE)) * (1 + SHORT / F.sqrt("n_words"))
-    inside = F.col("log_ppl").between(F.col("q1") - lower * spread, F.col("q3") + upper * spread)
+    quartiles = by_char.join(by_word, "lang").select(
+        F.col("lang").alias("_lang"), "c", "w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    wider = 1 + SHORT / F.sqrt("n_words")
+    q1, q3 = F.col("c")[0], F.col("c")[1]
+    spread = F.greatest(q3 - q1, F.lit(MIN_RANGE)) * wider
+    w2, w3 = F.col("w")[0], F.col("w")[1]
+    foreseen = F.col("log_ppl") <= w3 + word_upper * F.greatest(w3 - w2, F.lit(MIN_RANGE)) * wider
+    inside = F.col("char_ppl").between(q1 - lower * spread, q3 + upper * spread) & foreseen
     salt = F.pmod(F.xxhash64(scored["doc_id"], scored["n_words"], scored["word_chars"]), F.lit(SALTS))
     return scored.join(quartiles, (scored["lang"] == quartiles["_lang"]) & (salt == quartiles["_salt"]), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
