@@ -2,7 +2,9 @@
 
 Each stage works on all that its predecessor kept; the first four return the
 columns of ``documents``, the last one row per packed piece.  The classifier
-learns from the labelled documents that reach it.  ``doc_id`` names a document.
+learns from the labelled documents that reach it.  Rows are told apart by a written
+key, not by ``doc_id``, which may be null or repeat: a decision on one row touches
+no other, and of equal rows one stays (ties fall to the smallest key).
 """
 
 from __future__ import annotations
@@ -14,22 +16,56 @@ from pyspark.sql import functions as F
 from zonewatch.llm import cuckoo, kn_rules, minhash, packing, pu_quality
 from zonewatch.llm.common import run_folder, stage, table, without
 
+ROW = "_pipeline_row"
+
+
+def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with a written key for every row, unless it has one."""
+    if ROW in docs.columns:
+        return docs
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), run_folder(spark, "rows"), "keyed")
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """What the operators decide on: the row's key in the place of doc_id."""
+    return rows.select(F.col(ROW).alias("doc_id"), *(c for c in rows.columns if c not in ("doc_id", ROW)))
+
+
+def like(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*docs.columns)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, kn_rules.quality_rules(docs).filter(~F.col("kept")))
+    rows = keyed(spark, docs)
+    return like(without(rows, kn_rules.quality_rules(by_row(rows)).filter(~F.col("kept")), ROW), docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = pu_quality.fit(docs, table(spark, sf_dir, "labels"))
-    return without(docs, pu_quality.score_documents(docs, model).filter("predicted = 0"))
+    rows = keyed(spark, docs)
+    model = pu_quality.fit(rows, table(spark, sf_dir, "labels"))
+    return like(without(rows, pu_quality.score_documents(by_row(rows), model).filter("predicted = 0"), ROW), docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, cuckoo.exact_groups(docs).filter(~F.col("kept")))
+    """Of each group the row with the largest doc_id stays, a null being the smallest."""
+    rows = keyed(spark, docs)
+    groups = cuckoo.exact_groups(by_row(rows)).select(F.col("doc_id").alias("_key"), "keep_id")
+    named = groups.join(rows.select(ROW, F.col("doc_id").cast("long").alias("_id")), F.col("_key") == F.col(ROW))
+    keepers = named.groupBy("keep_id").agg(F.max(F.struct("_id", (-F.col("_key")).alias("k"))).alias("m"))
+    return like(only(rows, keepers.select((-F.col("m.k")).alias("_keep"))), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, minhash.near_duplicates(docs).filter(~F.col("kept")))
+    """Of each component the row with the smallest doc_id stays, a null being the largest."""
+    rows = keyed(spark, docs)
+    groups = minhash.near_duplicates(by_row(rows)).select(F.col("doc_id").alias("_key"), "component_id")
+    named = groups.join(rows.select(ROW, F.col("doc_id").cast("long").alias("_id")), F.col("_key") == F.col(ROW))
+    keepers = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_key")).alias("m"))
+    return like(only(rows, keepers.select(F.col("m._key").alias("_keep"))), docs)
+
+
+def only(rows: DataFrame, keepers: DataFrame) -> DataFrame:
+    return rows.join(keepers, F.col(ROW) == F.col("_keep"), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +87,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and reread."""
     folder = run_folder(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs = keyed(spark, table(spark, sf_dir, "documents"))
     for k, (_, step) in enumerate(STAGES):
         docs = stage(step(spark, docs, sf_dir), folder, f"stage-{k}")
     return docs

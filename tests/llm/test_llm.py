@@ -683,6 +683,46 @@ def test_pipeline_stages_equal_their_operators(spark):
     assert {r.doc_id for r in fourth.collect()} == set(want.values())
 
 
+def test_pipeline_tells_rows_apart_without_ids(spark, tmp_path):
+    pipeline = importlib.import_module("corpus_pipeline")
+    rng = random.Random(13)
+    vocabulary = ["".join(rng.choices("aeioubdglmnrst", k=rng.randint(2, 8))) for _ in range(300)]
+
+    def prose():
+        return " ".join(rng.choices(vocabulary, k=80))
+
+    clean = [prose() for _ in range(40)]
+    near = [clean[5] + " end", clean[6] + " end"]
+    rows = [(k if k >= 10 else None, t) for k, t in enumerate(clean)]  # ten null ids
+    rows += [(None, "too short"), (12, "too short"), (12, prose())]  # rejected with a null and a repeated id
+    schema, whole = "doc_id long, text string, lang string, source string, n_chars long", [r[1] for r in rows if r[1] != "too short"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema).repartition(3)
+    assert sorted(r.text for r in pipeline.quality_rules(spark, docs, "").collect()) == sorted(whole)
+
+    rows = [(None, clean[0]), (None, clean[0]), (7, clean[0]), (None, clean[1]), (None, clean[1].upper()), (3, clean[2]), (3, clean[2]),
+            (3, clean[3]), (4, clean[4]), (9, clean[4])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema).repartition(3)
+    got = pipeline.exact_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    assert as_rows(got.selectExpr("doc_id", "lower(text) AS text"), "doc_id", "text") == sorted(
+        [(7, clean[0]), (None, clean[1]), (3, clean[2]), (3, clean[3]), (9, clean[4])], key=key)
+
+    rows = [(None, clean[5]), (None, near[0]), (None, clean[6]), (5, near[1]), (8, clean[7]), (8, clean[7]), (8, clean[8])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema).repartition(3)
+    got = [(r.doc_id, r.text) for r in pipeline.near_dedup(spark, docs, "").collect()]
+    assert len(got) == 4 and (5, near[1]) in got and (8, clean[7]) in got and (8, clean[8]) in got
+    assert {t for i, t in got if i is None} < {clean[5], near[0]}
+
+    noise = ["".join(rng.choice("#$%&*") for _ in range(6)) for _ in range(50)]
+    rows = [(k, prose() if k % 2 else " ".join(rng.choices(noise, k=80))) for k in range(400)]
+    labels = [(k, 1, 0) for k in range(1, 300, 2)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows += [(None, clean[0]), (None, " ".join(rng.choices(noise, k=80))), (401, clean[1]), (401, " ".join(rng.choices(noise, k=80)))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema).repartition(3)
+    got = [(r.doc_id, r.text) for r in pipeline.quality_classifier(spark, docs, str(tmp_path)).collect()]
+    assert [t for i, t in got if i is None] == [clean[0]] and [t for i, t in got if i == 401] == [clean[1]]
+
+
 def test_pipeline_runs_whole(spark):
     pipeline = importlib.import_module("corpus_pipeline")
     out = pipeline.run(spark, "/root/testdata/sf0.001")

@@ -65,10 +65,10 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``rejected`` (a null id equals a null id)."""
+def without(docs: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs`` whose ``key``, one a row, is no doc_id of ``rejected``."""
     gone = rejected.select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
 
 
 def utf8(column: pa.Array) -> list[bytes]:
