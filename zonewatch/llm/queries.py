@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewatch.llm import bpe_tree, chat, cuckoo, kn_rules, line_dedup, minhash, packing, pu_quality, sharding, warc_zip
+from zonewatch.llm import (
+    bpe_tree, chat, cuckoo, kn_rules, line_dedup, minhash, packing, periodic, pu_quality, sharding, token_align, vptree, warc_zip)
 from zonewatch.llm.common import UPPER, run_folder, stage, table
 
 
@@ -62,9 +63,48 @@ def op10_kneser_ney_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kn_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_tokenizers(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = periodic.periodic_runs(docs.withColumn("text", _with_turns(F.col("doc_id"), F.col("text"))))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _with_turns(doc_id: Column, text: Column) -> Column:
+    """Of every tenth document (by CRC-32 of its id) the words from some place on repeated from there
+    with some period; the other texts as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def turned(w: Column) -> Column:
+        n, g = F.size(w).cast("long"), F.floor(h / 10)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)))
+        return F.array_join(F.transform(at, lambda i: F.get(w, i.cast("int"))), " ")
+
+    # the words are named once, by a list of one list
+    changed = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, turned(w))), F.lit(0))
+    return F.when(F.coalesce(F.pmod(h, F.lit(10)) == 0, F.lit(False)), F.coalesce(changed, text)).otherwise(text)
+
+
+def op13_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).select(
+        "query_id", "rank", "vec_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pu_quality, op2_warc_zip, op3_fast_minhash, op4_stratified_shards, op5_site_lines, op6_cuckoo_dedup,
-    op7_tree_bpe, op8_best_fit_packing, op9_budgeted_chat, op10_kneser_ney_rules)}
+    op7_tree_bpe, op8_best_fit_packing, op9_budgeted_chat, op10_kneser_ney_rules, op11_galloping_alignment,
+    op12_lyndon_runs, op13_vantage_trees)}
 
 _BLANK = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
 
