@@ -100,11 +100,10 @@ def iou(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) -> Column:
     return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
 
 
-# ------------------------------------------------------------------ SQL forms
-# The polygon test over a box's bottom edge is written as SQL text: once
-# unrolled (``hits_sql``, for lambdas), once as higher-order functions over an
-# array polygon (``hof_hits_sql``), and as the staged projection with the
-# convex fast path (``with_zone_hits``) used by the flat verdict.
+# ------------------------------------------------------------- scanlines
+# A polygon meets the line of a box's bottom edge in a few closed intervals.  They
+# are worked out once a box, exactly, for any polygon; the samples inside
+# an interval are then counted in closed form.
 
 
 def _vertex_sql(zone, w: str, h: str, ref: int = config.REF_SIZE):
@@ -113,62 +112,38 @@ def _vertex_sql(zone, w: str, h: str, ref: int = config.REF_SIZE):
             for x, y in zone]
 
 
-def _edge_sql(ax: str, ay: str, bx: str, by: str, py: str) -> dict:
-    dy = f"({by} - {ay})"
-    return {
-        "dy": dy,
-        "a": f"(({bx} - {ax}) * ({py} - {ay}) + {ax} * {dy})",
-        "s": f"(({ay} > {py}) <> ({by} > {py}))",
-        "y": f"({py} BETWEEN least({ay}, {by}) AND greatest({ay}, {by}))",
-        "lo": f"least({ax}, {bx})",
-        "hi": f"greatest({ax}, {bx})",
-        "p": f"({by} > {ay})",
-    }
+def edges_sql(vertices: list[tuple[str, str]]) -> str:
+    """Edges of a polygon given by SQL expressions: array<struct<ax,ay,bx,by>>."""
+    pairs = zip(vertices, vertices[1:] + vertices[:1], strict=True)
+    return "array(" + ", ".join(f"named_struct('ax', {ax}, 'ay', {ay}, 'bx', {bx}, 'by', {by})"
+                                for (ax, ay), (bx, by) in pairs) + ")"
 
 
-def _inside_sql(px: str, edges: list[dict]) -> str:
-    """Inside-or-on-edge of sample ``px`` given per-edge terms (SQL names)."""
-    on = " OR ".join(f"(({e['a']} - {px} * {e['dy']}) = 0 AND {e['y']} AND {px} BETWEEN {e['lo']} AND {e['hi']})"
-                     for e in edges)
-    cross = " + ".join(f"CASE WHEN {e['s']} AND ((({e['a']} - {px} * {e['dy']}) > 0) = {e['p']}) THEN 1 ELSE 0 END"
-                       for e in edges)
-    return f"(({on}) OR ({cross}) % 2 = 1)"
+def edges_of_array_sql(poly: str) -> str:
+    """Edges of ``poly``, an array<struct<x,y>> of any number of vertices."""
+    nxt = f"{poly}[(_k + 1) % size({poly})]"
+    return f"transform({poly}, (_v, _k) -> named_struct('ax', _v.x, 'ay', _v.y, 'bx', {nxt}.x, 'by', {nxt}.y))"
 
 
-def _sample_sql(x1: str, x2: str, i: int, steps: int) -> str:
-    num = f"({steps} * CAST({x1} AS BIGINT) + {i} * (CAST({x2} AS BIGINT) - CAST({x1} AS BIGINT)))"
-    return f"({num} div {steps})"
+def scanline_sql(edges: str, y: str) -> str:
+    """The x intervals [lo, hi] (sorted by lo) of the integer points of the line at ``y`` that are
+    inside or on the edge of a polygon, simple or not, as array<struct<lo,hi>>.
 
-
-def hits_sql(x1: str, x2: str, y2: str, vertices: list[tuple[str, str]],
-             steps: int = config.NUM_SAMPLE_STEPS) -> str:
-    """Unstaged SQL for the hit count (for use inside lambdas)."""
-    py = f"CAST({y2} AS BIGINT)"
-    n = len(vertices)
-    edges = [_edge_sql(*vertices[k], *vertices[(k + 1) % n], py) for k in range(n)]
-    terms = [f"CASE WHEN {_inside_sql(_sample_sql(x1, x2, i, steps), edges)} THEN 1 ELSE 0 END"
-             for i in range(steps + 1)]
-    return "(" + " + ".join(terms) + ")"
-
-
-_MINL, _MAXL = "-9223372036854775807L", "9223372036854775807L"
-
-
-def hof_hits_sql(poly: str, x1: str, x2: str, y2: str, steps: int = config.NUM_SAMPLE_STEPS) -> str:
-    """General ray test (any simple polygon) as higher-order functions over
-    ``poly`` = array<struct<x,y>> of integer vertices.  Interpreted, compact."""
-    n = f"size({poly})"
-    px = f"((CAST({x1} AS BIGINT) * {steps} + i * (CAST({x2} AS BIGINT) - CAST({x1} AS BIGINT))) div {steps})"
-    py = f"CAST({y2} AS BIGINT)"
-    a, b = f"{poly}[k]", f"{poly}[(k + 1) % {n}]"
-    cr = f"(({b}.x - {a}.x) * ({py} - {a}.y) - ({px} - {a}.x) * ({b}.y - {a}.y))"
-    on_edge = (f"exists(sequence(0, {n} - 1), k -> {cr} = 0 "
-               f"AND {px} BETWEEN least({a}.x, {b}.x) AND greatest({a}.x, {b}.x) "
-               f"AND {py} BETWEEN least({a}.y, {b}.y) AND greatest({a}.y, {b}.y))")
-    crossings = (f"aggregate(sequence(0, {n} - 1), 0, (c, k) -> c + CASE WHEN "
-                 f"(({a}.y > {py}) <> ({b}.y > {py})) AND (({b}.y > {a}.y) = ({cr} > 0)) THEN 1 ELSE 0 END)")
-    inside = f"({on_edge} OR {crossings} % 2 = 1)"
-    return f"aggregate(sequence(0, {steps}), 0, (acc, i) -> acc + CASE WHEN {inside} THEN 1 ELSE 0 END)"
+    Edges that cross the line (one end above it, the other not) do so at exact
+    quotients; sorted, the first and second, the third and fourth ... enclose the points
+    with an odd number of crossings to their right, and the crossings themselves are on
+    edges.  Points on edges that do not cross are added: a vertex on the line, a whole
+    horizontal edge.  Intervals may overlap.  Quotients of integers below 2^20 are far
+    enough from each other and from integers for doubles."""
+    at = "CAST(_e.ax * (_e.by - _e.ay) + ({y} - _e.ay) * (_e.bx - _e.ax) AS DOUBLE) / (_e.by - _e.ay)".format(y=y)
+    xs = f"array_sort(transform(filter({edges}, _e -> (_e.ay > {y}) <> (_e.by > {y})), _e -> {at}))"
+    inner = ("transform(filter({xs}, (_x, _i) -> _i % 2 = 0), (_x, _i) -> named_struct('lo', CAST(ceil(_x) AS BIGINT), "
+             "'hi', CAST(floor(_xs[2 * _i + 1]) AS BIGINT)))").format(xs="_xs")
+    on = (f"transform(filter({edges}, _e -> _e.ay = {y}), _e -> CASE WHEN _e.by = {y} "
+          f"THEN named_struct('lo', least(_e.ax, _e.bx), 'hi', greatest(_e.ax, _e.bx)) ELSE named_struct('lo', _e.ax, 'hi', _e.ax) END)")
+    # the crossings are named once, as the element of a list of one
+    paired = f"flatten(transform(array({xs}), _xs -> {inner}))"
+    return f"filter(array_sort(concat({paired}, {on})), _s -> _s.lo <= _s.hi)"
 
 
 ORDERED = "({x1} >= 0 AND {x2} >= {x1})"  # boxes the closed form below is for
@@ -186,51 +161,33 @@ def interval_hits_sql(x1: str, x2: str, lo: str, hi: str, steps: int = config.NU
             f"ELSE greatest(0L, least({past_i}, {steps + 1}L) - {from_i}) END)")
 
 
+def scanline_hits_sql(spans: str, x1: str, x2: str, steps: int = config.NUM_SAMPLE_STEPS) -> str:
+    """How many bottom-edge samples of a box lie in the intervals of its scanline: in closed form
+    where there is one interval, else sample by sample."""
+    x1, x2 = f"CAST({x1} AS BIGINT)", f"CAST({x2} AS BIGINT)"
+    one = interval_hits_sql(x1, x2, f"{spans}[0].lo", f"{spans}[0].hi", steps)
+    px = f"(({x1} * {steps} + _i * ({x2} - {x1})) div {steps})"
+    each = (f"CAST(size(filter(sequence(0, {steps}), _i -> exists({spans}, _s -> {px} BETWEEN _s.lo AND _s.hi))) AS BIGINT)")
+    return (f"(CASE WHEN size({spans}) = 0 THEN 0L WHEN size({spans}) = 1 AND {ORDERED.format(x1=x1, x2=x2)} THEN {one} ELSE {each} END)")
+
+
 def with_zone_hits(df, out: str = "hits", x1: str = "x1", x2: str = "x2", y2: str = "y2",
-                   w: str = "w", h: str = "h", zone=None, steps: int = config.NUM_SAMPLE_STEPS):
-    """Add ``out`` = bottom-edge samples of the box inside the scaled zone.
-
-    Fast path (convex scaled polygon, checked per row): the closed polygon
-    meets the line y = y2 in one interval [L, R] given by the edges'
-    half-planes ``s * (A - px * dy) >= 0`` (s = orientation), so a sample is
-    inside iff L <= px <= R - the same set the ray rule with on-edge points
-    gives - and the samples inside are counted in closed form.  Bounds use floor/ceil of exact double quotients (|A| < 2^52).
-    Other rows (non-convex after truncation, or degenerate) use the general
-    ray test in a higher-order function.  The vertices come out of a one-row
-    generator so a filter on the result is never pushed below them.
-    """
-    zone = zone or config.ZONE_640
-    n = len(zone)
+                   w: str = "w", h: str = "h", zone=None, steps: int = config.NUM_SAMPLE_STEPS, where: str = "true"):
+    """Add ``out`` = bottom-edge samples of the box inside the scaled zone (NULL without a box or a
+    size), 0 for rows that are not ``where``.
+
+    The zone's intervals on the line y = y2 come out of ``scanline_sql``, for rows whose line
+    meets the zone's height.  The edges come out of a one-row generator so a filter on the
+    result is never pushed below them, and the generated code stays small enough to be compiled."""
+    vertices = _vertex_sql(zone or config.ZONE_640, f"coalesce({w}, 0)", f"coalesce({h}, 0)")
     valid = f"({x1} IS NOT NULL AND {x2} IS NOT NULL AND {y2} IS NOT NULL AND {w} IS NOT NULL AND {h} IS NOT NULL)"
-    verts = _vertex_sql(zone, f"coalesce({w}, 0)", f"coalesce({h}, 0)")
-    fields = [f"'_zx{k}', coalesce({vx}, 0L), '_zy{k}', coalesce({vy}, 0L)" for k, (vx, vy) in enumerate(verts)]
-    a = df.selectExpr("*", f"{valid} AS _valid", f"inline(array(named_struct({', '.join(fields)})))")
-    py = f"coalesce(CAST({y2} AS BIGINT), 0L)"
-    X = [f"_zx{k}" for k in range(n)]
-    Y = [f"_zy{k}" for k in range(n)]
-    area2 = " + ".join(f"({X[k]} * {Y[(k + 1) % n]} - {X[(k + 1) % n]} * {Y[k]})" for k in range(n))
-    b = a.selectExpr("*", f"CAST(sign({area2}) AS BIGINT) AS _sg")
-    turns = " AND ".join(
-        f"_sg * (({X[(k + 1) % n]} - {X[k]}) * ({Y[(k + 2) % n]} - {Y[(k + 1) % n]}) - "
-        f"({Y[(k + 1) % n]} - {Y[k]}) * ({X[(k + 2) % n]} - {X[(k + 1) % n]})) >= 0" for k in range(n))
-    lows, highs, feas = [], [], []
-    for k in range(n):
-        ax, ay, bx, by = X[k], Y[k], X[(k + 1) % n], Y[(k + 1) % n]
-        d = f"(_sg * ({by} - {ay}))"
-        bb = f"(_sg * (({bx} - {ax}) * ({py} - {ay}) + {ax} * ({by} - {ay})))"
-        lows.append(f"CASE WHEN {d} < 0 THEN CAST(ceil(CAST({bb} AS DOUBLE) / {d}) AS BIGINT) ELSE {_MINL} END")
-        highs.append(f"CASE WHEN {d} > 0 THEN CAST(floor(CAST({bb} AS DOUBLE) / {d}) AS BIGINT) ELSE {_MAXL} END")
-        feas.append(f"({d} <> 0 OR {bb} >= 0)")
-    stage = [f"(_sg <> 0 AND {turns}) AS _convex",
-             f"greatest({', '.join(lows)}) AS _lo", f"least({', '.join(highs)}) AS _hi",
-             f"({' AND '.join(feas)}) AS _feas"]
-    c = b.selectExpr("*", *stage)
-    interval = interval_hits_sql(f"CAST({x1} AS BIGINT)", f"CAST({x2} AS BIGINT)", "_lo", "_hi", steps)
-    poly = "array(" + ", ".join(f"named_struct('x', {X[k]}, 'y', {Y[k]})" for k in range(n)) + ")"
-    general = hof_hits_sql(poly, x1, x2, y2, steps)
-    d = c.selectExpr("*", f"CASE WHEN NOT _valid THEN NULL WHEN _convex AND {ORDERED.format(x1=x1, x2=x2)} THEN "
-                          f"CASE WHEN _feas THEN {interval} ELSE 0L END ELSE {general} END AS {out}")
-    return d.select(*df.columns, out)
+    a = df.selectExpr("*", f"inline(array(named_struct('_edges', {edges_sql([(f'coalesce({x}, 0L)', f'coalesce({y}, 0L)') for x, y in vertices])})))")
+    line = f"CAST({y2} AS BIGINT)"
+    meets = f"exists(_edges, _e -> {line} BETWEEN least(_e.ay, _e.by) AND greatest(_e.ay, _e.by))"
+    empty = "filter(array(named_struct('lo', 0L, 'hi', 0L)), _s -> false)"
+    b = a.selectExpr("*", f"CASE WHEN ({where}) AND {valid} AND {meets} THEN {scanline_sql('_edges', line)} ELSE {empty} END AS _spans")
+    c = b.selectExpr("*", f"CASE WHEN NOT {valid} THEN NULL ELSE {scanline_hits_sql('_spans', x1, x2, steps)} END AS {out}")
+    return c.select(*df.columns, out)
 
 
 def zone_vertex_sql(w: str, h: str, zone=None):

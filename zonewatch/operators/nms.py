@@ -5,11 +5,10 @@ Boxes interact only inside one frame, and a frame's candidates are bounded by
 the detector (its anchor grid before NMS, ``max_det`` after), so per-frame
 work is small and frames are processed in parallel.
 
-Pairs are found with a grid join instead of all pairs of a frame: each box is
-listed under the grid cells it covers and boxes meet on (frame, class, cell).
-A pair is reported once, in the cell holding the top-left corner of the
-boxes' intersection, so no DISTINCT is needed; boxes that share a cell
-without overlapping are met and filtered out.
+Pairs are found by a sweep inside the frame's row: boxes in the order of their left
+edges, with an active list of those whose right edge is not passed yet.  A box
+meets the active ones only; there is no self-join and nothing is exploded before
+pairs are known.
 """
 
 from __future__ import annotations
@@ -18,42 +17,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonewatch import config
-from zonewatch.functions import geometry
 
-CELL = 64  # grid cell side in pixels for the overlap join
+_BOX = ("x1", "x2", "y1", "y2", "det_id", "label")
 
 
-def _cells(dets: DataFrame, cell: int) -> DataFrame:
-    cx = F.explode(F.sequence(geometry.idiv(F.col("x1"), cell), geometry.idiv(F.col("x2"), cell)))
-    with_x = dets.select("*", cx.alias("cx"))
-    cy = F.explode(F.sequence(geometry.idiv(F.col("y1"), cell), geometry.idiv(F.col("y2"), cell)))
-    return with_x.select("*", cy.alias("cy"))
+def _iou_sql(a: str, b: str) -> str:
+    """Intersection over union of two boxes that overlap, areas as (x2 - x1) * (y2 - y1)."""
+    inter = (f"((least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1)) * (least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1)))")
+    areas = " + ".join(f"({d}.x2 - {d}.x1) * ({d}.y2 - {d}.y1)" for d in (a, b))
+    return f"CAST({inter} AS DOUBLE) / ({areas} - {inter})"
 
 
-def overlapping_pairs(dets: DataFrame, cell: int = CELL, same_class: bool = True) -> DataFrame:
-    """(frame_id, det_a, det_b, iou) for boxes of one frame (and
-    class) whose intersection has positive area; det_a < det_b."""
-    cols = ["frame_id", "det_id", "label", "x1", "y1", "x2", "y2"]
-    g = _cells(dets.select(*cols), cell)
-    a = g.select(*[F.col(c).alias(f"a_{c}") for c in cols + ["cx", "cy"]])
-    b = g.select(*[F.col(c).alias(f"b_{c}") for c in cols + ["cx", "cy"]])
-    keys = [a["a_frame_id"] == b["b_frame_id"], a["a_cx"] == b["b_cx"], a["a_cy"] == b["b_cy"]]
+def sweep_pairs_sql(boxes: str, same_class: bool = True) -> str:
+    """Overlapping pairs of ``boxes``, an array of structs sorted by x1 (``_BOX``), as
+    array<struct<det_a,det_b,label,iou>>.  The fold holds the active list and the pairs found."""
+    meets = "least(_a.y2, _d.y2) > greatest(_a.y1, _d.y1) AND _a.x2 > greatest(_a.x1, _d.x1) AND _d.x2 > _d.x1"
     if same_class:
-        keys.append(a["a_label"] == b["b_label"])
-    cond = keys[0]
-    for k in keys[1:]:
-        cond = cond & k
-    cond = cond & (a["a_det_id"] < b["b_det_id"])
-    j = a.join(b, cond, "inner")
-    ix1 = F.greatest("a_x1", "b_x1")
-    iy1 = F.greatest("a_y1", "b_y1")
-    overlap = (F.least("a_x2", "b_x2") > ix1) & (F.least("a_y2", "b_y2") > iy1)
-    home = (geometry.idiv(ix1, cell) == F.col("a_cx")) & (geometry.idiv(iy1, cell) == F.col("a_cy"))
-    iou = geometry.iou(F.col("a_x1"), F.col("a_y1"), F.col("a_x2"), F.col("a_y2"),
-                       F.col("b_x1"), F.col("b_y1"), F.col("b_x2"), F.col("b_y2"))
-    return j.where(overlap & home).select(
-        F.col("a_frame_id").alias("frame_id"), F.col("a_det_id").alias("det_a"),
-        F.col("b_det_id").alias("det_b"), F.col("a_label").alias("label"), iou.alias("iou"))
+        meets += " AND _a.label = _d.label"
+    pair = ("named_struct('det_a', least(_a.det_id, _d.det_id), 'det_b', greatest(_a.det_id, _d.det_id), "
+            f"'label', CASE WHEN _a.det_id < _d.det_id THEN _a.label ELSE _d.label END, 'iou', {_iou_sql('_a', '_d')})")
+    found = f"transform(filter(_live, _a -> {meets}), _a -> {pair})"
+    none = (f"transform(slice({boxes}, 1, 0), _d -> named_struct('det_a', _d.det_id, 'det_b', _d.det_id, 'label', _d.label, "
+            "'iou', CAST(0 AS DOUBLE)))")
+    # the list of one names the boxes still active for both uses
+    step = (f"transform(array(filter(_s.active, _a -> _a.x2 > _d.x1)), _live -> named_struct('active', concat(_live, array(_d)), "
+            f"'found', concat(_s.found, {found})))[0]")
+    return f"aggregate({boxes}, named_struct('active', slice({boxes}, 1, 0), 'found', {none}), (_s, _d) -> {step}, _s -> _s.found)"
+
+
+def overlapping_pairs(dets: DataFrame, same_class: bool = True) -> DataFrame:
+    """(frame_id, det_a, det_b, label, iou) for boxes of one frame (and
+    class) whose intersection has positive area; det_a < det_b, and the label is det_a's."""
+    frames = dets.groupBy("frame_id").agg(F.array_sort(F.collect_list(F.struct(*_BOX))).alias("_boxes"))
+    pairs = frames.where(F.size("_boxes") > 1).select("frame_id", F.explode(F.expr(sweep_pairs_sql("_boxes", same_class))).alias("p"))
+    return pairs.select("frame_id", "p.det_a", "p.det_b", "p.label", "p.iou")
 
 
 def nms(nested: DataFrame, iou_threshold: float = config.IOU_THRESHOLD,

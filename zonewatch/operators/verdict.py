@@ -34,7 +34,8 @@ def is_red_light(label: Column) -> Column:
 def with_flags(dets: DataFrame, min_conf: float = config.CONF_THRESHOLD, zone=None) -> DataFrame:
     """Per-detection flags: usable (conf + size gate), red light, vehicle in zone."""
     usable = (F.col("conf") >= min_conf) & size_ok(F.col("w"), F.col("h"))
-    staged = geometry.with_zone_hits(dets, "_hits", zone=zone)
+    vehicles = ", ".join(f"'{v}'" for v in config.VEHICLE_LABELS)
+    staged = geometry.with_zone_hits(dets, "_hits", zone=zone, where=f"label IN ({vehicles})")
     in_zone = is_vehicle(F.col("label")) & (F.col("_hits") * 2 > config.NUM_SAMPLE_STEPS)
     return staged.select(*dets.columns, usable.alias("usable"),
                          is_red_light(F.col("label")).alias("is_red"),
@@ -73,48 +74,22 @@ def with_nested_flags(df: DataFrame, min_conf: float = config.CONF_THRESHOLD,
     """Add n_objects, red_light, vehicle_in_zone, violation to rows holding a
     ``detections`` array and the frame size (w, h); other columns are kept.
 
-    Per frame row: scaled vertices, orientation, convexity and the edges'
-    slopes.  Per vehicle (one ``transform``): the interval [lo, hi] where
-    the line y = y2 is inside the convex zone.  Then 11 comparisons per
-    vehicle; a non-convex zone falls back to the exact ray test.
+    Per frame row the scaled zone's edges, per vehicle (one ``transform``) the intervals of
+    the zone on the line of its bottom edge, then a closed form for the samples in them.
     """
     zone = zone or config.ZONE_640
-    n = len(zone)
     steps = config.NUM_SAMPLE_STEPS
-    verts = geometry.zone_vertex_sql("w", "h", zone)
-    X = [f"_zx{k}" for k in range(n)]
-    Y = [f"_zy{k}" for k in range(n)]
-    zone_cols = [f"{vx} AS {X[k]}" for k, (vx, _) in enumerate(verts)] + \
-                [f"{vy} AS {Y[k]}" for k, (_, vy) in enumerate(verts)]
-    staged = df.selectExpr("*", *zone_cols)
-    area2 = " + ".join(f"({X[k]} * {Y[(k + 1) % n]} - {X[(k + 1) % n]} * {Y[k]})" for k in range(n))
-    staged = staged.selectExpr("*", f"CAST(sign({area2}) AS BIGINT) AS _sg")
-    turns = " AND ".join(
-        f"_sg * (({X[(k + 1) % n]} - {X[k]}) * ({Y[(k + 2) % n]} - {Y[(k + 1) % n]}) - "
-        f"({Y[(k + 1) % n]} - {Y[k]}) * ({X[(k + 2) % n]} - {X[(k + 1) % n]})) >= 0" for k in range(n))
-    staged = staged.selectExpr("*", f"(_sg <> 0 AND {turns}) AS _convex",
-                               *[f"_sg * ({Y[(k + 1) % n]} - {Y[k]}) AS _d{k}" for k in range(n)])
-    py = "CAST(d.y2 AS BIGINT)"
-    bbs = [f"(_sg * (({X[(k + 1) % n]} - {X[k]}) * ({py} - {Y[k]}) + {X[k]} * ({Y[(k + 1) % n]} - {Y[k]})))"
-           for k in range(n)]
-    lo = "greatest(" + ", ".join(f"CASE WHEN _d{k} < 0 THEN CAST(ceil(CAST({bbs[k]} AS DOUBLE) / _d{k}) AS BIGINT) "
-                                 f"ELSE -9223372036854775807L END" for k in range(n)) + ")"
-    hi = "least(" + ", ".join(f"CASE WHEN _d{k} > 0 THEN CAST(floor(CAST({bbs[k]} AS DOUBLE) / _d{k}) AS BIGINT) "
-                              f"ELSE 9223372036854775807L END" for k in range(n)) + ")"
-    feas = " AND ".join(f"(_d{k} <> 0 OR {bbs[k]} >= 0)" for k in range(n))
     vehicles = ", ".join(f"'{v}'" for v in config.VEHICLE_LABELS)
     usable = (f"CASE WHEN w BETWEEN {config.MIN_SIDE} AND {config.MAX_SIDE} "
               f"AND h BETWEEN {config.MIN_SIDE} AND {config.MAX_SIDE} "
               f"THEN filter(detections, d -> d.conf >= {float(min_conf)!r}D) "
               f"ELSE slice(detections, 1, 0) END")
-    step = staged.selectExpr("*", f"{usable} AS _usable")
-    veh = (f"transform(filter(_usable, d -> d.label IN ({vehicles})), d -> named_struct("
-           f"'x1', d.x1, 'x2', d.x2, 'y2', d.y2, 'lo', {lo}, 'hi', {hi}, 'feas', {feas}))")
+    step = df.selectExpr("*", f"{geometry.edges_sql(geometry.zone_vertex_sql('w', 'h', zone))} AS _edges", f"{usable} AS _usable")
+    line = "CAST(d.y2 AS BIGINT)"
+    veh = (f"transform(filter(_usable, d -> d.label IN ({vehicles})), d -> named_struct('x1', d.x1, 'x2', d.x2, "
+           f"'spans', {geometry.scanline_sql('_edges', line)}))")
     step = step.selectExpr("*", f"{veh} AS _veh")
-    samples = geometry.interval_hits_sql("CAST(v.x1 AS BIGINT)", "CAST(v.x2 AS BIGINT)", "v.lo", "v.hi", steps)
-    general = geometry.hits_sql("v.x1", "v.x2", "v.y2", list(zip(X, Y)))
-    in_zone = (f"exists(_veh, v -> CASE WHEN _convex AND {geometry.ORDERED.format(x1='v.x1', x2='v.x2')} THEN v.feas AND ({samples}) * 2 > {steps} "
-               f"ELSE {general} * 2 > {steps} END)")
+    in_zone = f"exists(_veh, v -> {geometry.scanline_hits_sql('v.spans', 'v.x1', 'v.x2', steps)} * 2 > {steps})"
     out = step.selectExpr(
         *[f"`{c}`" for c in df.columns],
         "CAST(size(_usable) AS BIGINT) AS n_objects",

@@ -209,6 +209,41 @@ def zone_broadcast_join(spark, sf):
                       (F.col("hits") * 2 > config.NUM_SAMPLE_STEPS).alias("in_zone"))
 
 
+# fixed values: a grid of overlapping rectangles per camera, in the reference space
+GRID, PITCH, SIDE = 10, 64, 80
+
+
+def grid_zones(spark, sf):
+    """Many zones a camera: a grid of rectangles, moved by the camera's number."""
+    cams = fx.frames(spark, sf).select("camera_id").distinct()
+    cells = cams.select("camera_id", F.explode(F.sequence(F.lit(0), F.lit(GRID * GRID - 1))).alias("k"))
+    left, top = F.col("k") % GRID * PITCH + F.col("camera_id"), F.floor(F.col("k") / GRID) * PITCH
+    corners = F.array(*[F.struct((left + dx).cast("double").alias("x"), (top + dy).cast("double").alias("y"))
+                        for dx, dy in ((0, 0), (SIDE, 0), (SIDE, SIDE), (0, SIDE))])
+    at = cells.select((F.col("camera_id") * GRID * GRID + F.col("k")).cast("int").alias("zone_id"), "camera_id",
+                      F.posexplode(corners).alias("vertex_no", "c"))
+    return at.select("zone_id", "camera_id", "vertex_no", "c.x", "c.y")
+
+
+@register("zone_index_hits", "F2", W("usable", "frames") + f""", s AS (
+  SELECT u.frame_id, u.det_id, f.camera_id, u.w, u.h, u.y2 AS py, u.x1, u.x2, unnest(range({config.NUM_SAMPLE_STEPS + 1})) AS i
+  FROM usable u JOIN frames f ON f.frame_id = u.frame_id WHERE u.label IN {VEH}),
+p AS (SELECT *, ({config.NUM_SAMPLE_STEPS} * x1 + i * (x2 - x1)) // {config.NUM_SAMPLE_STEPS} AS px FROM s),
+k AS (SELECT unnest(range({GRID * GRID})) AS k)
+SELECT p.frame_id, p.det_id, CAST(p.camera_id * {GRID * GRID} + k.k AS INTEGER) AS zone_id, count(*) AS hits
+FROM p JOIN k
+  ON p.px BETWEEN CAST(trunc((k.k % {GRID} * {PITCH} + p.camera_id) * (p.w / 640)) AS BIGINT)
+              AND CAST(trunc((k.k % {GRID} * {PITCH} + p.camera_id + {SIDE}) * (p.w / 640)) AS BIGINT)
+ AND p.py BETWEEN CAST(trunc((k.k // {GRID} * {PITCH}) * (p.h / 640)) AS BIGINT)
+              AND CAST(trunc((k.k // {GRID} * {PITCH} + {SIDE}) * (p.h / 640)) AS BIGINT)
+GROUP BY ALL""")
+def zone_index_hits(spark, sf):
+    """F2 with a hundred zones a camera, through the zone index."""
+    u = _usable(spark, sf).where(V.is_vehicle(F.col("label")))
+    u = u.join(fx.frames(spark, sf).select("frame_id", "camera_id").hint("merge"), "frame_id")
+    return Z.zone_hits_indexed(u, grid_zones(spark, sf)).select("frame_id", "det_id", "zone_id", "hits")
+
+
 # ------------------------------------------------------------- E11/E13/G3
 @register("class_histogram", "E11", W("usable") + """
 SELECT frame_id, label, count(*) AS n, min(conf) AS min_conf, max(conf) AS max_conf
