@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from zonewatch.llm.common import run_folder, slices, stage, store, utf8
 
 ANCHOR = 32
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 CODEC = "zstd"
-CACHED_WORDS = 600_000  # about 270 bytes each
+CACHED_WORDS = 450_000  # about 270 bytes each
 # Parts begin at a space between two other characters, the second no white space.  A's pattern begins a match
 # at each such space whatever stands around it; that B's vocabulary joins nothing across it is looked up.
 _CUT = re.compile(r"(?<! )(?= \S)").split
