@@ -151,3 +151,113 @@ def test_transfers_are_associative():
             for way in ways:
                 got_f, got_last = way.leave(f, last)
                 assert got_f == want_f and (got_f < B.TH or got_last == want_last)
+
+
+# --- the detector's deadline and batches ----------------------------------------------------
+
+FRAME = "frame_id long, w int, h int, frame_b64 string"
+
+
+def _frames(spark, n):
+    import base64
+    return spark.createDataFrame([(k, 640, 640, base64.b64encode(b"%d" % k + b"x" * 40).decode()) for k in range(n)], FRAME).coalesce(1)
+
+
+def test_a_call_that_never_ends_costs_its_budget(spark):
+    import time
+
+    from zonewatch.operators import detect as D
+
+    class Sleeps:
+        def load(self):
+            return True
+
+        def infer(self, model, image, w, h):
+            if image.startswith(b"3x"):
+                while True:
+                    try:
+                        time.sleep(3600)
+                    except Exception:  # a detector that holds on to everything it can
+                        pass
+            return [("car", 0.9, 1, 1, 2, 2)]
+
+    class SleepsInBatches(Sleeps):
+        def infer_batch(self, model, images, ws, hs):
+            return [self.infer(model, *x) for x in zip(images, ws, hs, strict=True)]
+
+    began = time.time()
+    got = {r.frame_id: r.status for r in D.detect(_frames(spark, 6), Sleeps(), budget_s=1.0).collect()}
+    assert got == {0: "DETECTED", 1: "DETECTED", 2: "DETECTED", 3: "BATCH_TIMEOUT", 4: "BATCH_TIMEOUT", 5: "BATCH_TIMEOUT"}
+    assert {r.status for r in D.detect(_frames(spark, 6), SleepsInBatches(), budget_s=1.0).collect()} == {"BATCH_TIMEOUT"}
+    assert time.time() - began < 60
+
+
+def test_one_bad_row_of_a_batch_stands_alone(spark, tmp_path):
+    from zonewatch.operators import detect as D
+    calls = str(tmp_path / "calls")
+
+    class Batches:
+        def load(self):
+            return True
+
+        def infer_batch(self, model, images, ws, hs):
+            with open(calls, "a") as f:
+                f.write(f"{len(images)}\n")
+            if any(i.startswith(b"7777x") for i in images):
+                raise RuntimeError("device lost")
+            return [[("car", 0.9, 1, 1, 2, 2)]] * len(images)
+
+    got = D.detect(_frames(spark, 10_000), Batches()).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in got} == {"DETECTED": 9_999, "UDF_CRITICAL_ERROR": 1}
+    assert len(open(calls).read().split()) <= 2 * 14 + 3  # two calls a halving, and the batches
+
+
+def test_frames_without_time_left(spark):
+    from zonewatch.operators import detect as D
+    df = _frames(spark, 4).withColumn("left", F.expr("CASE frame_id WHEN 1 THEN 0 WHEN 2 THEN -5 WHEN 3 THEN NULL ELSE 9 END"))
+    got = {r.frame_id: r.status for r in D.detect(df, D.StubDetector(), left_col="left").collect()}
+    assert got[1] == got[2] == got[3] == "BATCH_TIMEOUT" and got[0] in ("DETECTED", "NO_OBJECTS")
+
+
+# --- frame containers ------------------------------------------------------------------------
+
+
+def _packed(spark, path, rows, files):
+    from zonewatch.sources import containers
+    containers.register(spark)
+    df = spark.createDataFrame(rows, "name string, content binary").repartition(files)
+    df.write.format(containers.FORMAT).mode("append").save(path)
+
+
+def test_containers_are_read_by_byte_range(spark, tmp_path):
+    import os
+
+    from zonewatch.streaming import stream as ST
+    path = str(tmp_path / "frames")
+    rng = random.Random(4)
+    rows = [(f"f{k}", rng.randbytes(rng.choice([0, 0, 1, 700, 5000]))) for k in range(800)] + [(None, None), ("long", b"z" * 300_000)]
+    _packed(spark, path, rows, 3)
+    assert len([f for f in os.listdir(path) if f.endswith(".bin")]) == 3  # not one a frame
+    want = sorted((n or "", len(c or b"")) for n, c in rows)
+    for size in ("20000", str(32 << 20)):
+        got = ST.frame_containers(spark, path, range_bytes=size)
+        assert sorted((r.name, r.length) for r in got.collect()) == want
+        assert (got.rdd.getNumPartitions() > 30) == (size == "20000")
+    contents = spark.read.format("frame_container").load(path).where("name <> ''").collect()
+    assert {r.name: bytes(r.content) for r in contents} == {n: c for n, c in rows if n}
+    assert spark.read.format("frame_container").load(str(tmp_path / "nothing")).count() == 0
+
+
+def test_containers_as_a_stream(spark, tmp_path):
+    from zonewatch.streaming import stream as ST
+    path, out, ckpt = (str(tmp_path / x) for x in ("frames", "out", "ckpt"))
+    for turn in range(3):
+        _packed(spark, path, [(f"{turn}-{k}", b"x" * k) for k in range(50)], 2)
+        q = (ST.frame_containers(spark, path, stream=True).select("name", "length").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).start())
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        names = [r.name for r in spark.read.parquet(out).collect()]
+        assert sorted(names) == sorted(f"{t}-{k}" for t in range(turn + 1) for k in range(50))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from zonewatch import config
@@ -65,7 +66,7 @@ def frames_with_payload(spark, sf):
 
 
 # what the detector run says of each frame, ungated: an image that does not decode fails alone
-_RUN = W("payloads", "dets") + f""", run AS (
+_RUN = W("payloads", "dets", "frames") + f""", run AS (
   SELECT p.frame_id, coalesce(d.n, 0) AS found,
          CASE WHEN p.frame_b64 IS NULL OR (p.frame_b64 <> '' AND {decoded_len_sql('p.frame_b64')} IS NULL) THEN 'ROW_ERROR'
               WHEN coalesce(d.n, 0) > 0 THEN 'DETECTED' ELSE 'NO_OBJECTS' END AS status
@@ -93,18 +94,30 @@ def row_faults(spark, sf):
     return _run(spark, sf).where(F.col("status") == "ROW_ERROR").select("frame_id", "status")
 
 
-@register("detect_budget", "J3", _RUN + "SELECT frame_id, status = 'BATCH_TIMEOUT' AS timed_out FROM run")
+@register("detect_budget", "J3", _RUN + f"""
+SELECT run.frame_id, epoch_us(max(f.captured_at) OVER (PARTITION BY f.epoch_id)) // 1000000 - epoch_us(f.captured_at) // 1000000
+       >= {config.BATCH_TIME_BUDGET_SECONDS} AS timed_out
+FROM run JOIN frames f ON f.frame_id = run.frame_id""")
 def detect_budget(spark, sf):
-    """Frames that the time budget left out: none within the default budget
-    (tests exhaust it)."""
-    return _run(spark, sf).select("frame_id", (F.col("status") == "BATCH_TIMEOUT").alias("timed_out"))
-
-
-@register("detect_faults", "J4", _RUN + "SELECT status, count(*) AS n FROM run GROUP BY status")
+    """Frames the time budget left out: a frame waits from its capture to the last one of its
+    micro-batch, and what it has waited is no longer there for the detector."""
+    frames = frames_with_payload(spark, sf).join(
+        fx.frames(spark, sf).select("frame_id", F.unix_timestamp("captured_at").alias("_t")).hint("merge"), "frame_id")
+    waited = F.max("_t").over(Window.partitionBy("epoch_id")) - F.col("_t")
+    timed = frames.withColumn("left_s", F.lit(config.BATCH_TIME_BUDGET_SECONDS) - waited).drop("_t")
+    out = D.detect(timed, D.RecordedDetector(), left_col="left_s")
+    return out.select("frame_id", (F.col("status") == "BATCH_TIMEOUT").alias("timed_out"))
+
+
+@register("detect_faults", "J4", _RUN + """
+, flat AS (SELECT DISTINCT frame_id FROM dets WHERE x2 <= x1 OR y2 <= y1)
+SELECT CASE WHEN run.status <> 'ROW_ERROR' AND flat.frame_id IS NOT NULL THEN 'UDF_CRITICAL_ERROR' ELSE run.status END AS status,
+       count(*) AS n
+FROM run LEFT JOIN flat ON flat.frame_id = run.frame_id GROUP BY 1""")
 def detect_faults(spark, sf):
-    """Frames per status of the run; a crash outside the row loop would show as
-    UDF_CRITICAL_ERROR (tests inject one)."""
-    return _run(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    """Frames per status when whole Arrow batches go to the detector and a box without an area fails the
+    call: the frames that hold one stand alone, the others of their batches are detected."""
+    return D.detect(frames_with_payload(spark, sf), D.RecordedBatchDetector()).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("predict_conditional", "B6/B7", W("verdicts", "reasons", "payloads") + f"""

@@ -30,6 +30,7 @@ from zonewatch.functions import payload as P
 from zonewatch.operators import breaker as B
 from zonewatch.operators import detect as D
 from zonewatch.operators import sinks as S
+from zonewatch.sources import containers
 
 KAFKA_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),
@@ -154,6 +155,13 @@ def frame_files(spark: SparkSession, path: str, glob: str = "*", stream: bool =
     return df.select("path", "length", P.b64_encode(F.col("content")).alias("frame_b64"))
 
 
+def frame_containers(spark: SparkSession, path: str, stream: bool = False, **options) -> DataFrame:
+    """A5 for many small frames: container files read by byte range (``sources.containers``)."""
+    containers.register(spark)
+    reader = (spark.readStream if stream else spark.read).format(containers.FORMAT).options(**options)
+    return reader.load(path).select("path", "name", "length", P.b64_encode(F.col("content")).alias("frame_b64"))
+
+
 # ------------------------------------------------------- A8/I1/I2 the job
 def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) -> None:
     """One micro-batch: results, evidence, alerts and a summary row, all
