@@ -176,17 +176,22 @@ def with_zone_hits(df, out: str = "hits", x1: str = "x1", x2: str = "x2", y2: st
     """Add ``out`` = bottom-edge samples of the box inside the scaled zone (NULL without a box or a
     size), 0 for rows that are not ``where``.
 
-    The zone's intervals on the line y = y2 come out of ``scanline_sql``, for rows whose line
-    meets the zone's height.  The edges come out of a one-row generator so a filter on the
+    The zone's intervals on the line y = y2 come out of ``scanline_sql``, for boxes that reach
+    the zone's bounding box.  The vertices come out of a one-row generator so a filter on the
     result is never pushed below them, and the generated code stays small enough to be compiled."""
-    vertices = _vertex_sql(zone or config.ZONE_640, f"coalesce({w}, 0)", f"coalesce({h}, 0)")
+    zone = zone or config.ZONE_640
     valid = f"({x1} IS NOT NULL AND {x2} IS NOT NULL AND {y2} IS NOT NULL AND {w} IS NOT NULL AND {h} IS NOT NULL)"
-    a = df.selectExpr("*", f"inline(array(named_struct('_edges', {edges_sql([(f'coalesce({x}, 0L)', f'coalesce({y}, 0L)') for x, y in vertices])})))")
+    vertices = _vertex_sql(zone, f"coalesce({w}, 0)", f"coalesce({h}, 0)")
+    fields = [f"'_zx{k}', coalesce({vx}, 0L), '_zy{k}', coalesce({vy}, 0L)" for k, (vx, vy) in enumerate(vertices)]
+    a = df.selectExpr("*", f"inline(array(named_struct({', '.join(fields)})))")
+    names = [(f"_zx{k}", f"_zy{k}") for k in range(len(zone))]
+    (left, top), (right, bottom) = (tuple(f"{f}({', '.join(c)})" if len(zone) > 1 else c[0] for c in zip(*names, strict=True))
+                                    for f in ("least", "greatest"))
     line = f"CAST({y2} AS BIGINT)"
-    meets = f"exists(_edges, _e -> {line} BETWEEN least(_e.ay, _e.by) AND greatest(_e.ay, _e.by))"
-    empty = "filter(array(named_struct('lo', 0L, 'hi', 0L)), _s -> false)"
-    b = a.selectExpr("*", f"CASE WHEN ({where}) AND {valid} AND {meets} THEN {scanline_sql('_edges', line)} ELSE {empty} END AS _spans")
-    c = b.selectExpr("*", f"CASE WHEN NOT {valid} THEN NULL ELSE {scanline_hits_sql('_spans', x1, x2, steps)} END AS {out}")
+    reaches = f"{line} BETWEEN {top} AND {bottom} AND greatest({x1}, {x2}) >= {left} AND least({x1}, {x2}) <= {right}"
+    spans = f"transform(array({edges_sql(names)}), _g -> {scanline_sql('_g', line)})[0]"
+    b = a.selectExpr("*", f"CASE WHEN ({where}) AND {valid} AND {reaches} THEN {spans} END AS _spans")
+    c = b.selectExpr("*", f"CASE WHEN _spans IS NOT NULL THEN {scanline_hits_sql('_spans', x1, x2, steps)} WHEN {valid} THEN 0L END AS {out}")
     return c.select(*df.columns, out)
 
 
