@@ -19,12 +19,10 @@ NULL groups and NULL order values are ranked like any other (NULLs first).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonewatch.session import scratch_path
+from zonewatch.session import run_dir
 
 
 def _cols(cols) -> list[Column]:
@@ -41,7 +39,7 @@ def sequence_number(df: DataFrame, group_cols: list[str], order_cols: list, out:
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_cols)
-    path = scratch_path(spark, f"seq-{uuid.uuid4().hex}")
+    path = f"{run_dir(spark, 'seq')}/rows"
     dealt = df.repartitionByRange(n, *_cols(group_cols), *order).withColumn("_part", F.spark_partition_id())
     dealt.write.parquet(path)
     dealt = spark.read.schema(dealt.schema).parquet(path)

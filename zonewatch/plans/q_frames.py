@@ -225,18 +225,19 @@ def grid_zones(spark, sf):
     return at.select("zone_id", "camera_id", "vertex_no", "c.x", "c.y")
 
 
-@register("zone_index_hits", "F2", W("usable", "frames") + f""", s AS (
-  SELECT u.frame_id, u.det_id, f.camera_id, u.w, u.h, u.y2 AS py, u.x1, u.x2, unnest(range({config.NUM_SAMPLE_STEPS + 1})) AS i
+@register("zone_index_hits", "F2", W("usable", "frames") + f""", v AS (
+  SELECT u.frame_id, u.det_id, f.camera_id AS cam, u.w AS w, u.h AS h, u.x1 AS x1, u.x2 AS x2, u.y2 AS py
   FROM usable u JOIN frames f ON f.frame_id = u.frame_id WHERE u.label IN {VEH}),
-p AS (SELECT *, ({config.NUM_SAMPLE_STEPS} * x1 + i * (x2 - x1)) // {config.NUM_SAMPLE_STEPS} AS px FROM s),
-k AS (SELECT unnest(range({GRID * GRID})) AS k)
-SELECT p.frame_id, p.det_id, CAST(p.camera_id * {GRID * GRID} + k.k AS INTEGER) AS zone_id, count(*) AS hits
-FROM p JOIN k
-  ON p.px BETWEEN CAST(trunc((k.k % {GRID} * {PITCH} + p.camera_id) * (p.w / 640)) AS BIGINT)
-              AND CAST(trunc((k.k % {GRID} * {PITCH} + p.camera_id + {SIDE}) * (p.w / 640)) AS BIGINT)
- AND p.py BETWEEN CAST(trunc((k.k // {GRID} * {PITCH}) * (p.h / 640)) AS BIGINT)
-              AND CAST(trunc((k.k // {GRID} * {PITCH} + {SIDE}) * (p.h / 640)) AS BIGINT)
-GROUP BY ALL""")
+z AS (SELECT v.*, k.k AS k FROM v CROSS JOIN (SELECT unnest(range({GRID * GRID})) AS k) k),
+b AS (SELECT frame_id, det_id, cam, k, x1, x2, py,
+             CAST(trunc((k % {GRID} * {PITCH} + cam) * (w / 640)) AS BIGINT) AS lo,
+             CAST(trunc((k % {GRID} * {PITCH} + cam + {SIDE}) * (w / 640)) AS BIGINT) AS hi,
+             CAST(trunc((k // {GRID} * {PITCH}) * (h / 640)) AS BIGINT) AS top,
+             CAST(trunc((k // {GRID} * {PITCH} + {SIDE}) * (h / 640)) AS BIGINT) AS bottom FROM z),
+n AS (SELECT frame_id, det_id, cam, k, {" + ".join(
+    f"CASE WHEN ({config.NUM_SAMPLE_STEPS} * x1 + {i} * (x2 - x1)) // {config.NUM_SAMPLE_STEPS} BETWEEN lo AND hi THEN 1 ELSE 0 END"
+    for i in range(config.NUM_SAMPLE_STEPS + 1))} AS hits FROM b WHERE py BETWEEN top AND bottom)
+SELECT frame_id, det_id, CAST(cam * {GRID * GRID} + k AS INTEGER) AS zone_id, CAST(hits AS BIGINT) AS hits FROM n WHERE hits > 0""")
 def zone_index_hits(spark, sf):
     """F2 with a hundred zones a camera, through the zone index."""
     u = _usable(spark, sf).where(V.is_vehicle(F.col("label")))

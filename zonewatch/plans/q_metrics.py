@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from zonewatch.operators import results as R
 from zonewatch.operators import sinks as S
 from zonewatch.plans.oracle_views import with_views as W
 from zonewatch.plans.registry import register
-from zonewatch.session import scratch_path
+from zonewatch.session import run_dir
 from zonewatch.sources import fixtures as fx
 
 SAVED = "('VIOLATION', 'NORMAL')"
@@ -160,7 +159,7 @@ SELECT route, count(*) AS n FROM (
 UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'extra', 0""")
 def route_partition(spark, sf):
     """The evidence is written first and the routes are read off it."""
-    path = scratch_path(spark, f"h1-{uuid.uuid4().hex}")
+    path = f"{run_dir(spark, 'h1')}/evidence"
     S.evidence(spark, sf).drop("payload").write.partitionBy("verdict").parquet(path)
     return M.route_partition(_status(spark, sf), spark.read.parquet(path))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +77,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A new sub-folder for what one run writes, removed when the driver's JVM ends."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return path

@@ -18,7 +18,6 @@ from __future__ import annotations
 import os
 import threading
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,12 +172,16 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
     try:
         if df.isEmpty():  # E14
             return
-        states = breaker_states(df.sparkSession, out_dir, batch_id)
-        met = B.open_cameras(states, df.groupBy("camera_id").agg(F.max(F.unix_timestamp("timestamp")).alias("t")))
-        # Frames of a camera whose breaker is open pass by the detector
-        shut = met.where("open").select("camera_id", F.lit("CIRCUIT_BREAKER_OPEN").alias(D.GATE))
-        gated = df.join(shut, "camera_id", "left") if detector is not None else df
-        res = D.predict(gated, detector).persist()
+        keyed = "status" in df.columns  # the detector has run inside the stateful operator
+        if keyed:
+            res = D.finish(df).persist()
+        else:
+            states = breaker_states(df.sparkSession, out_dir, batch_id)
+            met = B.open_cameras(states, df.groupBy("camera_id").agg(F.max(F.unix_timestamp("timestamp")).alias("t")))
+            # Frames of a camera whose breaker is open pass by the detector
+            shut = met.where("open").select("camera_id", F.lit("CIRCUIT_BREAKER_OPEN").alias(D.GATE))
+            gated = df.join(shut, "camera_id", "left") if detector is not None else df
+            res = D.predict(gated, detector).persist()
         status = P.status_decode(F.col("result"))
         summary = res.groupBy("batch_id", "epoch_id").agg(
             F.count(F.lit(1)).alias("rows"),
@@ -199,35 +202,58 @@ def process_batch(df: DataFrame, batch_id: int, out_dir: str, detector=None) ->
         (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch_id", "verdict").parquet(os.path.join(out_dir, "evidence")))
         S.write_alerts(S.alerts(ev), os.path.join(out_dir, "alerts"))
-        if detector is not None:
+        if detector is not None and not keyed:
             outcomes = res.groupBy("camera_id").agg(
                 (F.count_if(status.isin("VIOLATION", "NORMAL")) / F.count(F.lit(1)) < config.LOW_SUCCESS_RATE).alias("fail"))
             (B.next_states(states, met, outcomes).withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").parquet(os.path.join(out_dir, "breaker")))
+            forget(df.sparkSession, os.path.join(out_dir, "breaker"), batch_id - 1)
     finally:
         df.unpersist()
         if res is not None:
             res.unpersist()
 
 
+def snapshots(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Folders of a table partitioned by batch_id, from their names alone."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(at)]
+    return {int(n.removeprefix("batch_id=")): f"{folder}/{n}" for n in names if n.startswith("batch_id=")}
+
+
+def forget(spark: SparkSession, folder: str, before: int) -> None:
+    """Remove the snapshots of micro-batches earlier than ``before``: a replay needs the last one only."""
+    for batch, path in snapshots(spark, folder).items():
+        if batch < before:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def latest_snapshot(spark: SparkSession, folder: str, batch_id: int, schema: str) -> DataFrame:
+    """What the last micro-batch before ``batch_id`` wrote (a replayed batch reads the same)."""
+    earlier = {k: v for k, v in snapshots(spark, folder).items() if k < batch_id}
+    return spark.read.schema(schema).parquet(earlier[max(earlier)]) if earlier else spark.createDataFrame([], schema)
+
+
 def breaker_states(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame:
-    """Breaker state of every camera before ``batch_id``: the partition the
-    latest earlier micro-batch wrote (a replayed batch reads the same one)."""
-    none = spark.createDataFrame([], B.STATE)
-    try:
-        table = spark.read.schema(B.STATE + ", batch_id long").parquet(os.path.join(out_dir, "breaker"))
-    except AnalysisException:  # no micro-batch has finished yet
-        return none
-    latest = table.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    return none if latest is None else table.where(F.col("batch_id") == latest).drop("batch_id")
+    """Breaker state of every camera before ``batch_id``."""
+    return latest_snapshot(spark, os.path.join(out_dir, "breaker"), batch_id, B.STATE)
 
 
 def run_stream(raw: DataFrame, out_dir: str, checkpoint: str, detector=None,
-               available_now: bool = True, interval: str = config.TRIGGER_INTERVAL):
+               available_now: bool = True, interval: str = config.TRIGGER_INTERVAL, keyed: bool = False, lanes: int = 1):
     """Start the micro-batch job with a stable checkpoint (restarts
-    resume instead of re-reading from the earliest offset)."""
+    resume instead of re-reading from the earliest offset).  ``keyed`` runs the detector inside
+    the stateful breaker (``breaker.detect_keyed``): the state is the checkpoint's, and a camera's
+    frames meet in ``lanes`` tasks.  Otherwise the detector runs on the frames as they come, over
+    all tasks, and the job keeps one snapshot of the breaker's state."""
     parsed = parse_frames(raw)
+    if keyed:
+        parsed = B.detect_keyed(D.send(parsed), detector, lanes=lanes, ttl_ms=None if available_now else B.DAY_MS)
     w = (parsed.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, out_dir, detector))
                .outputMode("append").option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -246,7 +272,8 @@ class ProgressFeed(StreamingQueryListener):
 
     def _append(self, row: tuple) -> None:
         self.n += 1
-        self.spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.json(f"{self.path}/event={self.n:09d}")
+        name = f"event={row[0]}-{self.n:09d}"  # by run, so that a feed started again goes on beside the earlier one's
+        self.spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.json(f"{self.path}/{name}")
 
     def onQueryStarted(self, event):
         self.ended.clear()
@@ -283,3 +310,56 @@ def violations_per_window_stream(verdict_stream: DataFrame, width: str = "1 hour
             .agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.col("violation")).cast("long").alias("violations"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "camera_id", "frames", "violations"))
+
+
+# ------------------------------------------------------------ I7 with late rows
+MARK = "high long"  # the latest event time seen, microseconds
+
+
+def window_batch(df: DataFrame, batch_id: int, out_dir: str, width: str = "1 hour", delay: str = "10 minutes") -> None:
+    """One micro-batch of event-time counts that keeps what the watermark shuts out.  The watermark is
+    ``delay`` behind the latest event of earlier micro-batches; frames of windows that end
+    no later go to the table ``late``, the others are added up for this micro-batch in ``windows``.
+    Every write is a partition of the micro-batch, so a replay changes nothing."""
+    spark = df.sparkSession
+    marks = os.path.join(out_dir, "marks")
+    high = latest_snapshot(spark, marks, batch_id, MARK).agg(F.max("high")).first()[0]
+    df = df.withColumn("w", F.window("captured_at", width)).withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+    try:
+        shut = F.lit(False) if high is None else F.col("w.end") <= F.timestamp_micros(F.lit(high)) - F.expr(f"INTERVAL {delay}")
+        counts = df.where(~shut).groupBy("batch_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "camera_id").agg(
+            F.count(F.lit(1)).alias("frames"), F.count_if(F.col("violation")).cast("long").alias("violations"))
+        late = df.where(shut).select("batch_id", "frame_id", "camera_id", "captured_at", "violation",
+                                     F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+        mark = df.agg(F.greatest(F.max(F.unix_micros("captured_at")), F.lit(high).cast("long")).alias("high")).withColumn(
+            "batch_id", F.lit(batch_id).cast("long"))
+        for name, rows in (("windows", counts), ("late", late), ("marks", mark)):
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
+                os.path.join(out_dir, name))
+        forget(spark, marks, batch_id - 1)
+    finally:
+        df.unpersist()
+
+
+WINDOWS = "window_start timestamp, window_end timestamp, camera_id int, frames long, violations long, batch_id long"
+LATE = ("frame_id long, camera_id int, captured_at timestamp, violation boolean, window_start timestamp, window_end timestamp, "
+        "batch_id long")
+
+
+def window_table(spark: SparkSession, out_dir: str, delay: str = "10 minutes") -> DataFrame:
+    """Windows so far: frames and violations counted, frames that came too late, and whether the
+    watermark has closed the window."""
+    done = {name: spark.read.schema(schema).parquet(os.path.join(out_dir, name)) for name, schema in (("windows", WINDOWS), ("late", LATE))}
+    high = latest_snapshot(spark, os.path.join(out_dir, "marks"), 1 << 62, MARK).agg(F.max("high")).first()[0]
+    key = ["window_start", "window_end", "camera_id"]
+    zero = F.lit(0).cast("long")
+    told = done["windows"].select(*key, "frames", "violations", zero.alias("late")).unionByName(
+        done["late"].select(*key, zero.alias("frames"), zero.alias("violations"), F.lit(1).cast("long").alias("late")))
+    closed = F.col("window_end") <= F.timestamp_micros(F.lit(high).cast("long")) - F.expr(f"INTERVAL {delay}")
+    return told.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("frames", "violations", "late")]).withColumn("closed", closed)
+
+
+def run_windows(verdicts: DataFrame, out_dir: str, checkpoint: str, width: str = "1 hour", delay: str = "10 minutes"):
+    """I7 with a side table of late frames, over a stream of verdicts."""
+    return (verdicts.writeStream.foreachBatch(lambda df, bid: window_batch(df, bid, out_dir, width, delay))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
