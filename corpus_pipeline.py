@@ -5,6 +5,10 @@ columns of ``documents``, the last one row per packed piece.  The classifier
 learns from the labelled documents that reach it.  Rows are told apart by a written
 key, not by ``doc_id``, which may be null or repeat: a decision on one row touches
 no other, and of equal rows one stays (ties fall to the smallest key).
+
+Cases: an empty table gives an empty result.  Extra columns, whatever their names, are carried to
+packing and ignored.  Null texts have no words and go with the first stage; texts of any length
+are taken whole.
 """
 
 from __future__ import annotations
@@ -16,56 +20,70 @@ from pyspark.sql import functions as F
 from zonewatch.llm import cuckoo, kn_rules, minhash, packing, pu_quality
 from zonewatch.llm.common import run_folder, stage, table, without
 
-ROW = "_pipeline_row"
+ROW, MARK = "_pipeline_row", "pipeline.row"
+
+
+def row_key(rows: DataFrame) -> str | None:
+    """The key column of ``rows``: told by its mark, not by its name, which the input may have too."""
+    return next((f.name for f in rows.schema.fields if f.metadata and f.metadata.get(MARK)), None)
 
 
 def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with a written key for every row, unless it has one."""
-    if ROW in docs.columns:
+    if row_key(docs):
         return docs
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), run_folder(spark, "rows"), "keyed")
+    name = ROW
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    key = F.monotonically_increasing_id().alias(name, metadata={MARK: True})
+    return stage(docs.select("*", key), run_folder(spark, "rows"), "keyed")
 
 
 def by_row(rows: DataFrame) -> DataFrame:
-    """What the operators decide on: the row's key in the place of doc_id."""
-    return rows.select(F.col(ROW).alias("doc_id"), *(c for c in rows.columns if c not in ("doc_id", ROW)))
+    """What the operators decide on: text and language, with the row's key in the place of doc_id."""
+    return rows.select(rows[row_key(rows)].alias("doc_id"), rows["text"], rows["lang"])
+
+
+def named(rows: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """``group`` of each row with its key (_key) and doc_id (_id)."""
+    key = row_key(rows)
+    own = rows.select(rows[key].alias("_row"), rows["doc_id"].cast("long").alias("_id"))
+    return groups.select(F.col("doc_id").alias("_key"), group).join(own, F.col("_key") == F.col("_row"))
 
 
 def like(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*docs.columns)
+    return rows.select(*(rows[c] for c in docs.columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(spark, docs)
-    return like(without(rows, kn_rules.quality_rules(by_row(rows)).filter(~F.col("kept")), ROW), docs)
+    return like(without(rows, kn_rules.quality_rules(by_row(rows)).filter(~F.col("kept")), row_key(rows)), docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(spark, docs)
-    model = pu_quality.fit(rows, table(spark, sf_dir, "labels"))
-    return like(without(rows, pu_quality.score_documents(by_row(rows), model).filter("predicted = 0"), ROW), docs)
+    model = pu_quality.fit(rows.select(rows["doc_id"], rows["text"]), table(spark, sf_dir, "labels"))
+    return like(without(rows, pu_quality.score_documents(by_row(rows), model).filter("predicted = 0"), row_key(rows)), docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group the row with the largest doc_id stays, a null being the smallest."""
     rows = keyed(spark, docs)
-    groups = cuckoo.exact_groups(by_row(rows)).select(F.col("doc_id").alias("_key"), "keep_id")
-    named = groups.join(rows.select(ROW, F.col("doc_id").cast("long").alias("_id")), F.col("_key") == F.col(ROW))
-    keepers = named.groupBy("keep_id").agg(F.max(F.struct("_id", (-F.col("_key")).alias("k"))).alias("m"))
+    groups = named(rows, cuckoo.exact_groups(by_row(rows)), "keep_id")
+    keepers = groups.groupBy("keep_id").agg(F.max(F.struct("_id", (-F.col("_key")).alias("k"))).alias("m"))
     return like(only(rows, keepers.select((-F.col("m.k")).alias("_keep"))), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the row with the smallest doc_id stays, a null being the largest."""
     rows = keyed(spark, docs)
-    groups = minhash.near_duplicates(by_row(rows)).select(F.col("doc_id").alias("_key"), "component_id")
-    named = groups.join(rows.select(ROW, F.col("doc_id").cast("long").alias("_id")), F.col("_key") == F.col(ROW))
-    keepers = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_key")).alias("m"))
+    groups = named(rows, minhash.near_duplicates(by_row(rows)), "component_id")
+    keepers = groups.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_key")).alias("m"))
     return like(only(rows, keepers.select(F.col("m._key").alias("_keep"))), docs)
 
 
 def only(rows: DataFrame, keepers: DataFrame) -> DataFrame:
-    return rows.join(keepers, F.col(ROW) == F.col("_keep"), "left_semi")
+    return rows.join(keepers, rows[row_key(rows)] == keepers["_keep"], "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
