@@ -238,9 +238,10 @@ def near_duplicates(docs: DataFrame, spark: SparkSession | None = None) -> DataF
     held = classes.select("rep", F.explode("bands").alias("bucket"))
     met = held.groupBy("bucket").agg(
         F.min("rep").alias("first"), F.count("*").alias("n"), F.max("rep").alias("last"),
-        F.bit_xor(F.xxhash64("rep")).alias("mark")).filter("n > 1")
+        F.bit_xor(F.xxhash64("rep")).alias("mark"),
+        F.sum(F.xxhash64("rep").bitwiseAND(0x7FFFFFFF)).alias("total")).filter("n > 1")  # an id may lead two classes
     # bands with the same members are the same bucket
-    met = met.groupBy("first", "n", "last", "mark").agg(F.min("bucket").alias("bucket"))
+    met = met.groupBy("first", "n", "last", "mark", "total").agg(F.min("bucket").alias("bucket"))
     members = stage(held.join(met.select("bucket", "first", "n"), "bucket").select("bucket", "first", "n", "rep"),
                     folder, "members")
     involved = stage(members.select(F.col("rep").alias("id")).distinct(), folder, "involved")
@@ -254,7 +255,7 @@ def near_duplicates(docs: DataFrame, spark: SparkSession | None = None) -> DataF
     comps = stage(components(stars, folder, "star"), folder, "comps")
 
     rest = _unsettled(members, comps, folder)
-    links = stars.unionByName(_blocked(rest, sets))
+    links = stars.unionByName(_blocked(rest, sets)).unionByName(_of_one_id(prints, classes))
     final = stage(components(stage(links, folder, "links"), folder, "all"), folder, "final")
 
     named = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
@@ -262,6 +263,19 @@ def near_duplicates(docs: DataFrame, spark: SparkSession | None = None) -> DataF
     return _spread(prints, named)
 
 
+def _of_one_id(prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """A repeated doc_id is one document with several texts: links between the representatives of the
+    classes it stands in."""
+    own = prints.filter("n_shingles > 0 and doc_id is not null").select("doc_id", "set_id")
+    several = own.groupBy("doc_id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).filter("x <> y").select(
+        F.col("doc_id").alias("_several"))
+    stands = own.join(several, F.col("doc_id") == F.col("_several"), "left_semi").distinct().join(
+        classes.select(F.col("set_id").alias("_set"), "rep"), F.col("set_id") == F.col("_set")).select("doc_id", "rep")
+    least = stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").select(
+        F.col("doc_id").alias("_id"), "a")
+    return stands.join(least, F.col("doc_id") == F.col("_id")).filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
 def _spread(prints: DataFrame, named: DataFrame) -> DataFrame:
     """Give every document its class's component.  A class of several documents is dealt to
     all salts, so no class fills one task however many documents share its set."""

@@ -34,6 +34,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -278,25 +279,51 @@ def _walk(f, at: int, size: int) -> Iterator[tuple[int, int]]:
         at += used
 
 
+def _walk_plain(f, at: int, size: int) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records of a WARC member without compression, by their headers."""
+    end = at + size
+    while at < end:
+        head, mark = b"", -1
+        while mark < 0:
+            f.seek(at + len(head))
+            more = f.read(min(READ_BYTES, 4096 + len(head), end - at - len(head)))
+            if not more:
+                raise ValueError("truncated record")
+            head += more
+            mark = head.find(b"\r\n\r\n")
+        fields = dict(line.split(b":", 1) for line in head[:mark].lower().split(b"\r\n")[1:] if b":" in line)
+        length = mark + 4 + int(fields[b"content-length"]) + 4
+        yield at, length
+        at += length
+
+
+def _places(f, members: list) -> Iterator[list[tuple[int, int]]]:
+    """The records of each WARC member; members of one name each have their own index, in their order."""
+    held: dict[str, list] = {}
+    for member in members:
+        held.setdefault(member.name, []).append(member)
+    for name, same in held.items():
+        if not name.endswith((".warc.gz", ".warc")):
+            continue
+        indexes = held.get(name.replace("archive/", "indexes/").removesuffix(".gz").removesuffix(".warc") + ".idx", [])
+        for k, member in enumerate(same):
+            if member.method != 0:
+                raise ValueError(f"{name} is not stored: its records cannot be read by range")
+            begin = data_offset(f, member)
+            if len(indexes) == len(same) and indexes[k].method == 0:
+                f.seek(data_offset(f, indexes[k]))
+                yield [(begin + int(a), int(n)) for a, n in map(bytes.split, f.read(indexes[k].size).splitlines())]
+            else:
+                yield list((_walk if name.endswith(".gz") else _walk_plain)(f, begin, member.size))
+
+
 def _locate(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("path", pa.string()), ("at", pa.int64()), ("length", pa.int64())])
     for part in parts:
         for uri in part.column(0).to_pylist():
             fs, path = store(uri)
             with fs.open_input_file(path) as f:
-                members = {m.name: m for m in directory(f, f.size())}
-                for name, member in members.items():
-                    if not name.endswith(".warc.gz"):
-                        continue
-                    if member.method != 0:
-                        raise ValueError(f"{name} is not stored: its records cannot be read by range")
-                    begin = data_offset(f, member)
-                    index = members.get(name.replace("archive/", "indexes/").removesuffix(".warc.gz") + ".idx")
-                    if index is None or index.method != 0:
-                        places = list(_walk(f, begin, member.size))
-                    else:
-                        f.seek(data_offset(f, index))
-                        places = [(begin + int(a), int(n)) for a, n in map(bytes.split, f.read(index.size).splitlines())]
+                for places in _places(f, list(directory(f, f.size()))):
                     yield pa.RecordBatch.from_arrays([
                         pa.array([uri] * len(places), pa.string()), pa.array([p[0] for p in places], pa.int64()),
                         pa.array([p[1] for p in places], pa.int64())], schema=schema)
@@ -305,6 +332,10 @@ def _locate(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 RECORDS = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
+def _unpacked(record: bytes) -> bytes:
+    return zlib.decompress(record, 31) if record[:2] == b"\x1f\x8b" else record
+
+
 def _read(keep_payload: bool):
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
@@ -328,7 +359,7 @@ def _read(keep_payload: bool):
                 with fs.open_input_file(path) as f:
                     f.seek(begin)
                     data = f.read(end - begin)
-                rows = [parse_record(zlib.decompress(data[at - begin:at - begin + n], 31)) for _, at, n in run]
+                rows = [parse_record(_unpacked(data[at - begin:at - begin + n])) for _, at, n in run]
                 if not keep_payload:
                     rows = [r | {"payload": None} for r in rows]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -338,8 +369,11 @@ def _read(keep_payload: bool):
 def read_archives(manifest: DataFrame, keep_payload: bool = True) -> DataFrame:
     """One row per record of the archives in ``manifest`` (path): see ``RECORDS``."""
     places = manifest.select("path").repartition("path").mapInArrow(_locate, "path string, at long, length long")
-    # dealt by stretches of a file, so that large archives are read by many tasks in long ranges
-    dealt = places.repartition("path", F.floor(F.col("at") / READ_BYTES))
+    places = stage(places, run_folder(manifest.sparkSession, "warc-places"), "places")
+    # dealt by stretches of a file, as many as the bytes to read ask for, so that large archives are read
+    # by many tasks in long ranges (the places themselves are too narrow to be dealt by their own size)
+    total = places.agg(F.sum("length")).first()[0] or 0
+    dealt = places.repartition(max(1, ceil(total / READ_BYTES)), "path", F.floor(F.col("at") / READ_BYTES))
     return dealt.mapInArrow(_read(keep_payload), RECORDS)
 
 
