@@ -90,8 +90,8 @@ DISABLE_UDF_MARKERS = ["arrow", "socket"]
 ALERT_CHANNEL = "#traffic_violation_notification"
 ALERT_USERNAME = "Traffic Violation Bot"
 ALERT_ICON = ":warning:"
-ALERT_MESSAGE = "\U0001F6A8 Traffic Violation: "
-ALERT_FILE_LINE = "\n\U0001F4C1 File: "
+ALERT_MESSAGE = "🚨 Traffic Violation: "
+ALERT_FILE_LINE = "\n📁 File: "
 
 # --- fixed values: stream source defaults ----------------------------------------
 FRAME_TOPIC = "traffic_frames"
