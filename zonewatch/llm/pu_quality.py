@@ -49,7 +49,7 @@ _LETTERS = bytes(range(97, 123)) + _CAPITALS + bytes(range(128, 256))
 
 
 def _shape(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(_RUN.sub(rb"\1", word.translate(_TABLE))[:16]) % SHAPES
+    return xxhash.xxh3_64_intdigest(_RUN.sub(rb"\1", word.translate(_TABLE))) % SHAPES
 
 
 _shapes = Words(_shape)
