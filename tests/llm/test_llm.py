@@ -4,11 +4,13 @@ import base64
 import hashlib
 import importlib
 import io
+import json
 import random
 import re
 import zipfile
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -405,6 +407,28 @@ def test_word_ids_equal_whole_texts():
         assert ids.encode(text.encode()) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_tokenizers_of_another_kind_get_whole_texts(tmp_path):
+    other = json.loads(Path(WORDS).read_text(encoding="utf-8"))
+    other["normalizer"] = {"type": "Sequence", "normalizers": [{"type": "NFC"}]}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(other), encoding="utf-8")
+    ids = packing.WordIds(str(path))
+    assert not ids.by_word and packing.WordIds(WORDS).by_word
+    for text in ("", "Two Words.\n", "THE end ... ,"):
+        assert ids.encode(text.encode()) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_word_ids_of_slices_with_signs_and_old_words(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    ids, rng = packing.WordIds(WORDS), random.Random(6)
+    ends = ["", ".", "...", ",\"", "***", "&&&", "'", "'.", "'s", "<|", "|>", "\u0338", "\u2026", ".9", "-"]
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["the", "It", "\xc9t\xe9", "A3", "3", "e\u0301", "y" * 90, "", "x<|endoftext|>"]) + rng.choice(ends)
+                          for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        want = [np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert ids.encode_all([t.encode() for t in texts]) == want
+
+
 def test_best_fit_takes_the_tightest_room():
     rng = random.Random(9)
     lengths = sorted((rng.randint(1, 2048) for _ in range(3000)), reverse=True)

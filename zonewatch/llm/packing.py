@@ -6,9 +6,10 @@ by hash to lanes of about ``LANE_ROWS`` documents.  In a lane the pieces go
 from long to short into the open sequence with the least room that still holds
 them, which a segment tree over the remaining capacities finds.
 
-Tokens.  The tokenizer drops white space and never merges across it, so a text's
-ids are those of its words one after the other; a worker keeps the ids of
-common words (a bounded cache) and passes only new ones to the tokenizer.
+Tokens.  Where the tokenizer's file says that it drops white space and never merges
+across it, a text's ids are those of its words one after the other: a worker keeps
+ids of words (a bounded cache of two generations) and passes the new ones of a slice to the tokenizer
+together.  A tokenizer of any other kind is given whole texts.
 
 Cases: a null or empty text is the end id alone.  Null and repeated doc_ids
 are packed like any other; repeated rows are packed each.  Sequence ids are
@@ -18,25 +19,25 @@ result.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from math import ceil
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewatch.llm.common import Words, mix, slices, utf8
+from zonewatch.llm.common import mix, slices, utf8
 
 WINDOW = 2048
 END_ID = 1
 LANE_ROWS = 8192
-CACHED_WORDS = 800_000  # two generations of about 200 bytes a word
-_SIGN = re.compile(rb"(?<=[A-Za-z])([.,])(?=[ \n])")
+CACHED_WORDS, LONGEST = 600_000, 64  # two generations of about 200 bytes a word
+MATCHES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "<|>")
 
 
 class CapacityTree:
@@ -91,27 +92,88 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     return out
 
 
+def cuts_at_space(tokenizer: dict) -> bool:
+    """Whether the tokenizer (its file as read) drops white space, never merges across it and takes a
+    run of signs behind a letter or digit for a match of its own, so that ids can be kept by word."""
+    normal, cut = ((tokenizer.get(k) or {}).get(f) or [] for k, f in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
+    return (
+        [n.get("type") for n in normal] == ["NFC", "Replace", "Lowercase"]
+        and normal[1] == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        and [c.get("type") for c in cut] == ["Split", "ByteLevel"]
+        and cut[0]["pattern"] == {"Regex": MATCHES} and (cut[0]["behavior"], cut[0]["invert"]) == ("Removed", True)
+        and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"]
+        and all(t["content"][:1] == "<" and t["content"][-1:] == ">" for t in tokenizer["added_tokens"])
+        and all(t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in tokenizer["added_tokens"]))
+
+
 class WordIds:
-    """Token ids of texts, little-endian unsigned 32-bit, word by word."""
+    """Token ids of texts, little-endian unsigned 32-bit; where ``cuts_at_space`` holds word by word."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            self.by_word = cuts_at_space(json.load(f))
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Words(self._ids, CACHED_WORDS)
-
-    def _ids(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([word.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
-        return pack(f"<{len(ids)}I", *ids)
+        self.words: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
-        # the same ids with fewer different words: a sign between a letter and white space is a
-        # match of its own, and letters are lower-cased anyway (in other scripts after they are
-        # composed; and a special token is one only as it is written)
-        text = _SIGN.sub(rb" \1", text)
-        if text.isascii() and b"<|" not in text:
-            text = text.lower()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            held = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() for e in held]
+        split = [t.split() for t in texts]
+        if len(self.words) >= CACHED_WORDS:
+            self.words, self.old = {}, self.words
+        new = set().union(*split).difference(self.words)
+        if new:
+            self._learn(new)
+        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > LONGEST:  # not likely to come again
+                del self.words[word]
+        return out
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Ids of new words, from those of their stems and of the signs behind them."""
+        parts, atoms = {}, set()
+        for word in new:
+            ids = self.old.get(word)
+            if ids is not None:
+                self.words[word] = ids
+                continue
+            stem, signs = word, b""
+            bare = word.rstrip(SIGNS)
+            if bare != word and bare[-1:].isalnum():
+                stem, signs = bare, word[len(bare):]
+            # letters are lower-cased anyway, in other scripts after they are composed; and
+            # a special token is one only as it is written
+            if stem.isascii() and b"<|" not in stem:
+                stem = stem.lower()
+            parts[word] = stem, signs
+            atoms.add(stem)
+            atoms.add(signs)
+        atoms.discard(b"")
+        known = {atom: ids for atom in atoms if (ids := self.words.get(atom) or self.old.get(atom))}
+        wanted = [atom for atom in atoms if atom not in known]
+        for at, to in slices(wanted, 1 << 14):
+            known.update(zip(wanted[at:to], self._ids(wanted[at:to]), strict=True))
+        known[b""] = b""
+        for word, (stem, signs) in parts.items():
+            self.words[word] = known[stem] + known[signs]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, from one call: a token belongs to the word in which it begins."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        held = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        starts = np.fromiter((a for a, _ in held.offsets), np.int64, len(held.ids))
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        edges = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+        ids = np.array(held.ids, "<u4").tobytes()
+        return [ids[a:z] for a, z in zip(edges, edges[1:], strict=False)]
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -127,7 +189,7 @@ def _cut(path: str, lanes: int):
             doc_ids, texts = part.column(0).to_pylist(), utf8(part.column(1))
             for at, to in slices(texts, 1 << 20):
                 pieces = []
-                for doc_id, ids in zip(doc_ids[at:to], map(ids_of.encode, texts[at:to]), strict=True):
+                for doc_id, ids in zip(doc_ids[at:to], ids_of.encode_all(texts[at:to]), strict=True):
                     row += 1
                     ids = memoryview(ids + END_ID.to_bytes(4, "little"))
                     n = len(ids) // 4
