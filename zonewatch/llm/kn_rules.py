@@ -270,16 +270,17 @@ def base_counts(text: bytes, ids: np.ndarray) -> tuple[int, int, int, int, int]:
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 ROW = pa.struct([("doc_id", pa.int64()), *[(c, pa.int64()) for c in FIGURES], ("base_failed", pa.bool_()), ("char_ppl", pa.float64())])
-SCHEMA = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("ids", pa.binary()),
-                    ("spelled", pa.binary()), ("lengths", pa.list_(pa.int32())), ("docs", pa.list_(ROW))])
-BLOCKS = ("block long, lang string, words binary, ids binary, spelled binary, lengths array<int>, docs array<struct<doc_id: long, "
-          + "".join(f"{c}: long, " for c in FIGURES) + "base_failed: boolean, char_ppl: double>>")
+SCHEMA = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("file", pa.string()),
+                    ("offset", pa.int64()), ("size", pa.int64()), ("docs", pa.list_(ROW))])
+BLOCKS = (f"{kn_words.KEPT}, docs array<struct<doc_id: long, " + "".join(f"{c}: long, " for c in FIGURES)
+          + "base_failed: boolean, char_ppl: double>>")
 
 
 def _blocks(folder: str):
     """Blocks of documents of one language, with their words and all that needs no other block."""
     def block_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers: dict[str, _Scorer] = {}
+        file = kn_words.BlockFile(folder)
         block = TaskContext.get().partitionId() << 32
         for part in parts:
             doc_ids, langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2))
@@ -302,10 +303,11 @@ def _blocks(folder: str):
                         ppl = -float(own.scores[ids[-1]].sum()) / (base[1] + base[0]) if words else None
                         docs.append({"doc_id": doc_ids[k], **dict(zip(FIGURES, base, strict=True)), "base_failed": failed, "char_ppl": ppl})
                     used, places = np.unique(np.concatenate(ids), return_inverse=True)
-                    row = (block, lang, own.hashes[used].tobytes(), places.astype(np.int32).tobytes(), own.scores[used].tobytes(),
-                           [len(x) for x in ids], docs)
+                    held = file.put(own.hashes[used], places, own.scores[used], np.array([len(x) for x in ids]))
+                    row = (block, lang, len(places), *held, docs)
                     block += 1
                     yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, SCHEMA, strict=True)], schema=SCHEMA)
+        file.close()
     return block_rows
 
 
@@ -316,7 +318,7 @@ def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, w
     build_models(docs, folder)
     blocks = stage(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(
         _blocks(folder), BLOCKS), folder, "blocks")
-    by_words = kn_words.score_blocks(blocks, folder)
+    by_words = kn_words.score_kept(blocks, folder)
     by_chars = blocks.select("block", "lang", F.posexplode("docs").alias("place", "doc")).select("block", "place", "lang", "doc.*")
     scored = stage(by_chars.join(by_words, ["block", "place"], "left"), folder, "scored")
     passed = scored.filter("not base_failed")

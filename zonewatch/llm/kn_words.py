@@ -1,13 +1,16 @@
 """Word model of the quality rules (operator 10): order-3 modified Kneser-Ney over words.
 
 Counts.  Every document counts, whole.  A block (documents of one language out
-of a few MB of a task) sends its distinct trigrams, with their counts, to
-parts by hash; a part adds them up, answers each block with the corpus counts
-of its trigrams, and passes on what the bigrams need: total and kinds of
-followers as a context, kinds of predecessors as a gram (a gram that opens a
-text has its raw count).  Bigrams pass on to words in the same way.  A gram is
-a 64-bit hash, so a common one is one entry a block, wherever it lies; parts
-grow in number with the words of the corpus.  Nothing is dropped or sampled.
+of a few MB of a task) lies compressed in a file of its task, and sends no words:
+it sends the sorted hashes of its distinct trigrams, as differences, with their
+counts, to parts by hash range.  A part is a sorted hash array of the model: it
+adds the counts up and answers each block with the corpus counts of its trigrams; of the blocks
+that hold a trigram one is told that it speaks for it.  That block adds to its
+bigrams what the trigram gives them: total and kinds of followers as a context, kinds of
+predecessors as a gram (a gram that opens a text has its raw count).  Bigrams go
+to their parts with these sums, are answered, and give to words in the same way.
+A gram is a hash of ``64 - CUT`` bits, so a common one is one entry a block, wherever it
+lies; parts grow in number with the words of the corpus.  Nothing is dropped or sampled.
 
 Score.  A document is judged by the others: its own counts are taken out of all
 levels of the model, continuation counts and totals included, before its words
@@ -19,6 +22,7 @@ spells a word that no other document has.  The result is -sum(log p) / words.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from math import ceil
 
@@ -28,21 +32,22 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewatch.llm.common import mix, stage
+from zonewatch.llm.common import mix, stage, store
 
-LEVELS = 3
-PART_WORDS = 1 << 20  # words of the corpus a part
-LEAST_PARTS = 128
+PART_WORDS = 1 << 22  # words of the corpus a part
+LEAST_PARTS = 48
+CUT = np.uint64(8)  # low bits of a gram's hash that are left out
 OPEN = np.uint64(0x6A09E667F3BCC909)  # stands before a text's first words
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-ANSWER, PASSED, TALLY = 0, 1, 2
+ANSWER, TALLY = 0, 1
 
-SENT = "lang string, part int, block long, level int, a binary, b binary, c binary, n binary"  # a is null where b and c give it
-SENT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("level", pa.int32()),
-                        *[(c, pa.binary()) for c in "abcn"]])
-MADE = "kind int, lang string, part int, block long, level int, a binary, n binary"
+KEPT = "block long, lang string, n_words long, file string, offset long, size long"
+PLACE = ("block", "lang", "file", "offset", "size")
+SENT = "lang string, part int, block long, keys binary, n binary"
+SENT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+MADE = "kind int, lang string, part int, block long, level int, n binary"
 MADE_ARROW = pa.schema([("kind", pa.int32()), ("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()),
-                        ("level", pa.int32()), ("a", pa.binary()), ("n", pa.binary())])
+                        ("level", pa.int32()), ("n", pa.binary())])
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -84,6 +89,55 @@ def unpacked(held: bytes, dtype: type, columns: int) -> np.ndarray:
     return np.frombuffer(raw, dtype).reshape(columns, -1).T
 
 
+def shortened(keys: np.ndarray) -> np.ndarray:
+    return keys >> CUT << CUT
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, the lowest bytes of all first."""
+    return packed(np.diff(keys >> CUT, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8))
+
+
+def unpacked_keys(held: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(unpacked(held, np.uint8, 8)).view(np.uint64).ravel(), dtype=np.uint64) << CUT
+
+
+class BlockFile:
+    """A task's blocks one after the other in a file of the shared folder, written whole
+    under a name of the attempt; the rows that name it count only if the task ends well."""
+
+    def __init__(self, folder: str):
+        self.uri, self.at, self.out = f"{folder}/blocks-{uuid.uuid4().hex}", 0, None
+
+    def put(self, words: np.ndarray, ids: np.ndarray, spelled: np.ndarray, lengths: np.ndarray) -> tuple[str, int, int]:
+        """Where the block lies: file, offset, size."""
+        if self.out is None:
+            fs, path = store(self.uri)
+            self.out = fs.open_output_stream(path)
+        parts = [packed(words.astype(np.uint64)), packed(ids.astype(np.int32).view(np.uint8).reshape(-1, 4)),
+                 packed(spelled.astype(np.float64)), packed(lengths.astype(np.int64))]
+        held = np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts)
+        self.out.write(held)
+        self.at += len(held)
+        return self.uri, self.at - len(held), len(held)
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+
+
+def read_block(place: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """words, ids, spelled, lengths."""
+    fs, path = store(place["file"])
+    with fs.open_input_file(path) as f:
+        f.seek(place["offset"])
+        held = f.read(place["size"])
+    edges = 32 + np.cumsum([0, *np.frombuffer(held[:32], np.int64).tolist()])
+    words, ids, spelled, lengths = (held[a:z] for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False))
+    return (unpacked(words, np.uint64, 1).ravel(), np.ascontiguousarray(unpacked(ids, np.uint8, 4)).view(np.int32).ravel(),
+            unpacked(spelled, np.float64, 1).ravel(), unpacked(lengths, np.int64, 1).ravel())
+
+
 class Grams:
     """The grams of a block: after a call of its level, the distinct ones and those of each word."""
 
@@ -100,12 +154,11 @@ class Grams:
 
     def trigrams(self) -> None:
         context, gram = self.pairs()
-        self.tri, first, self.tri_at = np.unique(pair(context, gram), return_index=True, return_inverse=True)
+        self.tri, self.tri_first, self.tri_at = np.unique(shortened(pair(context, gram)), return_index=True, return_inverse=True)
         self.tri_n = np.bincount(self.tri_at, minlength=len(self.tri))
-        self.tri_context, self.tri_gram = context[first], gram[first]
 
     def bigrams(self) -> None:
-        self.bi, where, at = np.unique(np.concatenate(self.pairs()), return_index=True, return_inverse=True)
+        self.bi, where, at = np.unique(shortened(np.concatenate(self.pairs())), return_index=True, return_inverse=True)
         self.context_at, self.gram_at = np.split(at, 2)
         self.bi_context = np.concatenate([self.w1, self.w2])[where]
         self.bi_word = np.concatenate([self.w2, self.w3])[where]
@@ -116,49 +169,63 @@ class Grams:
         self.uni_n = np.bincount(self.word_at, minlength=len(self.uni))
 
 
-def block_grams(words: bytes, ids: bytes, lengths: list[int]) -> Grams:
-    return Grams(np.frombuffer(words, np.uint64), np.frombuffer(ids, np.int32), np.array(lengths, np.int64))
+def _rows(place: dict, keys: np.ndarray, n: np.ndarray, parts: int) -> pa.Table:
+    """What a block sends to each part: its keys there and their figures."""
+    rows = [(place["lang"], p, place["block"], packed_keys(keys[a:z]), packed(n[a:z])) for p, a, z in ranges(keys, parts)]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(SENT_ARROW)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, SENT_ARROW, strict=True)], schema=SENT_ARROW)
 
 
-def _send(level: int, parts: int):
-    """What a block sends: trigrams to be counted, bigrams and words to be answered."""
+def _send_trigrams(parts: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, lang, words, ids, lengths in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
-                g = block_grams(words, ids, lengths)
-                if level == 3:
-                    g.trigrams()
-                    held = (g.tri, None, g.tri_context, g.tri_gram, g.tri_n.astype(np.int32))
-                elif level == 2:
-                    g.bigrams()
-                    held = (g.bi, None, g.bi_context, g.bi_word, None)
-                else:
-                    g.unigrams()
-                    held = (g.uni, g.uni, None, None, g.uni_n.astype(np.int32))
-                rows = [(lang, p, block, level, *(x if x is None else x[at:to].tobytes() for x in held[1:]))
-                        for p, at, to in ranges(held[0], parts)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
-                        zip(*rows, strict=True), SENT_ARROW, strict=True)], schema=SENT_ARROW)
+            for place in batch.to_pylist():
+                words, ids, _, lengths = read_block(place)
+                g = Grams(words, ids, lengths)
+                g.trigrams()
+                yield from _rows(place, g.tri, g.tri_n.astype(np.int64), parts).to_batches()
     return send
 
 
-def _joined(column: pa.ChunkedArray, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """The arrays of a column one after the other, and their edges."""
-    held = [np.frombuffer(x or b"", dtype) for x in column.to_pylist()]
-    return (np.concatenate(held) if held else np.zeros(0, dtype)), np.cumsum([0] + [len(x) for x in held])
-
-
-def _made(rows: list[tuple]) -> pa.Table:
-    columns = zip(*rows, strict=True) if rows else [[]] * len(MADE_ARROW)
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, MADE_ARROW, strict=True)], schema=MADE_ARROW)
-
-
-def _passed(lang: str, level: int, keys: np.ndarray, stats: np.ndarray, parts: int) -> list[tuple]:
-    """Stats (total, kinds 1 to 3, predecessors) by key, added up, to the parts of their keys."""
-    unique, at = np.unique(keys, return_inverse=True)
-    stats = summed(at, stats, len(unique))
-    return [(PASSED, lang, p, None, level, unique[a:z].tobytes(), packed(stats[a:z])) for p, a, z in ranges(unique, parts)]
+def _figures(rows: pa.Table, level: int, columns: int) -> np.ndarray:
+    """What the parts answered to a block's grams of a level, in the order of the grams."""
+    rows = rows.filter(pc.equal(rows.column("level"), level)).sort_by("part")
+    return np.concatenate([unpacked(x, np.int64, columns) for x in rows.column("n").to_pylist()])
+
+
+def bigram_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
+    """What the trigrams that a block speaks for give to its bigrams: total, kinds 1 to 3, predecessors."""
+    speaks = answer[:, 1] == 1
+    n, first = answer[speaks, 0], g.tri_first[speaks]
+    context, gram = g.context_at[first], g.gram_at[first]
+    opens = (g.w1[first] == OPEN) & (g.w2[first] == OPEN)
+    return np.column_stack([summed(context, np.column_stack([n, kinds(n)]), len(g.bi)),
+                            summed(gram, np.where(opens, n, 1), len(g.bi))])
+
+
+def word_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
+    """What the bigrams that a block speaks for give to its words, and the words' own counts.
+    Every bigram of the corpus that a block holds is the end of a trigram there."""
+    held, first = np.unique(g.gram_at, return_index=True)
+    speaks = answer[held, 5] == 1
+    n, first = answer[held[speaks], 4], first[speaks]
+    return np.column_stack([summed(g.before_at[first], np.column_stack([n, kinds(n)]), len(g.uni)),
+                            summed(g.word_at[first], np.ones_like(n), len(g.uni)), g.uni_n])
+
+
+def _send_lower(level: int, parts: int):
+    """The bigrams (2) or words (1) of a block, once the level above has been answered."""
+    def send(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
+        place = places.to_pylist()[0]
+        words, ids, _, lengths = read_block(place)
+        g = Grams(words, ids, lengths)
+        g.bigrams()
+        if level == 2:
+            g.trigrams()
+            return _rows(place, g.bi, bigram_sums(g, _figures(rows, 3, 2)), parts)
+        g.unigrams()
+        return _rows(place, g.uni, word_sums(g, _figures(rows, 2, 6)), parts)
+    return send
 
 
 def _tally(n: np.ndarray) -> bytes:
@@ -166,72 +233,44 @@ def _tally(n: np.ndarray) -> bytes:
     return np.array([*((n == k).sum() for k in (1, 2, 3, 4)), n.sum(), *kinds(n).sum(axis=0)], np.int64).tobytes()
 
 
-def _trigrams(parts: int):
-    def count(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        lang, part = key[0].as_py(), key[1].as_py()
-        (context, edges), (gram, _) = _joined(rows.column("b"), np.uint64), _joined(rows.column("c"), np.uint64)
-        keys = pair(context, gram)
-        unique, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        n = summed(at, _joined(rows.column("n"), np.int32)[0], len(unique))
-        context, gram = context[first], gram[first]
-        zero = np.zeros_like(n)
-        opens = context == pair(np.array([OPEN]), np.array([OPEN]))
-        out = _passed(lang, 2, np.concatenate([context, gram]), np.concatenate([
-            np.column_stack([n, kinds(n), zero]),
-            np.column_stack([zero, zero, zero, zero, np.where(opens, n, 1)])]), parts)
-        answers = n[at].astype(np.int32)
-        out += [(ANSWER, lang, part, block, 3, None, packed(answers[edges[k]:edges[k + 1]]))
-                for k, block in enumerate(rows.column("block").to_pylist())]
-        return _made([*out, (TALLY, lang, part, None, 3, None, _tally(n))])
-    return count
-
+def _met(rows: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple]]:
+    """The part's sorted keys, their sums, the keys of each block in these, whether that block
+    speaks for them, and (language, block, from, to)."""
+    keys = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
+    sums = np.concatenate([unpacked(x, np.int64, columns) for x in rows.column("n").to_pylist()])
+    edges = np.cumsum([0, *map(len, keys)]).tolist()
+    unique, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    speaks = np.zeros(len(at), np.int64)
+    speaks[first] = 1
+    blocks = zip(rows.column("lang").to_pylist(), rows.column("block").to_pylist(), edges, edges[1:], strict=False)
+    return unique, summed(at, sums, len(unique)), at, speaks, list(blocks)
 
-def _met(rows: pa.Table, level: int):
-    """Stats by distinct key, and the rows that ask for them with their places and edges."""
-    asked, given = rows.filter(pc.is_valid(rows.column("block"))), rows.filter(pc.is_null(rows.column("block")))
-    keys = _joined(given.column("a"), np.uint64)[0]
-    stats = np.concatenate([np.zeros((0, 5), np.int64), *(unpacked(x, np.int64, 5) for x in given.column("n").to_pylist())])
-    wanted, edges = _joined(asked.column("a" if level == 1 else "b"), np.uint64)
-    if level == 2:
-        wanted = pair(wanted, _joined(asked.column("c"), np.uint64)[0])
-    unique, at = np.unique(np.concatenate([keys, wanted]), return_inverse=True)
-    return asked, summed(at[:len(keys)], stats, len(unique)), at[len(keys):], edges
 
-
-def _answers(asked: pa.Table, part: int, level: int, stats: np.ndarray, edges: np.ndarray) -> list[tuple]:
-    return [(ANSWER, lang, part, block, level, None, packed(stats[edges[k]:edges[k + 1]]))
-            for k, (lang, block) in enumerate(zip(*(asked.column(c).to_pylist() for c in ("lang", "block")), strict=True))]
+def _made(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), MADE_ARROW, strict=True)], schema=MADE_ARROW)
 
 
-def _bigrams(parts: int):
-    """Add up what trigrams passed on, answer the blocks, pass on to words."""
+def _count(level: int):
+    """A part of the trigrams (3) or bigrams (2) of a language."""
     def count(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         lang, part = key[0].as_py(), key[1].as_py()
-        asked, stats, at, edges = _met(rows, 2)
-        where = np.zeros(len(stats), np.int64)
-        where[at] = np.arange(len(at))
-        real = stats[:, 4] > 0  # not the two marks before a text, which are no gram
-        context, word = (_joined(asked.column(c), np.uint64)[0][where][real] for c in "bc")
-        n = stats[real, 4]
-        zero = np.zeros_like(n)
-        passed = _passed(lang, 1, np.concatenate([context, word]), np.concatenate([
-            np.column_stack([n, kinds(n), zero]), np.column_stack([zero, zero, zero, zero, zero + 1])]), parts)
-        return _made([*_answers(asked, part, 2, stats[at], edges), *passed, (TALLY, lang, part, None, 2, None, _tally(n))])
+        _, sums, at, speaks, blocks = _met(rows, 1 if level == 3 else 5)
+        n = sums[:, -1]
+        out = [(ANSWER, lang, part, block, level, packed(np.column_stack([sums[at[a:z]], speaks[a:z]]))) for _, block, a, z in blocks]
+        return _made([*out, (TALLY, lang, part, None, level, _tally(n[n > 0]))])  # marks before a text are no gram
     return count
 
 
 def _words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Words of all languages: the sixth figure is a word's count in the whole corpus."""
+    """A part of the words of all languages: the sixth figure is a word's count in the whole corpus."""
     part, out = key[0].as_py(), []
-    every = rows.filter(pc.is_valid(rows.column("block")))
-    words, at = np.unique(_joined(every.column("a"), np.uint64)[0], return_inverse=True)
-    n = summed(at, _joined(every.column("n"), np.int32)[0], len(words))
+    every, n, at, _, blocks = _met(rows, 6)
+    n, corpus_at = n[:, 5], {block: at[a:z] for _, block, a, z in blocks}
     for lang in pc.unique(rows.column("lang")).to_pylist():
-        asked, stats, at, edges = _met(rows.filter(pc.equal(rows.column("lang"), lang)), 1)
-        corpus = n[np.searchsorted(words, _joined(asked.column("a"), np.uint64)[0])]
-        out += [*_answers(asked, part, 1, np.column_stack([stats[at], corpus]), edges),
-                (TALLY, lang, part, None, 1, None, _tally(stats[:, 4]))]
-    return _made([*out, (TALLY, None, part, None, 0, None, np.array([n.sum(), (n > 0).sum()], np.int64).tobytes())])
+        _, sums, own_at, _, own = _met(rows.filter(pc.equal(rows.column("lang"), lang)), 6)
+        out += [(ANSWER, lang, part, block, 1, packed(np.column_stack([sums[own_at[a:z], :5], n[corpus_at[block]]]))) for _, block, a, z in own]
+        out.append((TALLY, lang, part, None, 1, _tally(sums[:, 4])))
+    return _made([*out, (TALLY, None, part, None, 0, np.array([n.sum(), (n > 0).sum()], np.int64).tobytes())])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -302,50 +341,63 @@ def document_scores(g: Grams, spelled: np.ndarray, n_docs: int, tri: np.ndarray,
 
 
 def _finish(tallies: dict[str, dict[int, np.ndarray]]):
-    def finish(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("level", "ascending"), ("part", "ascending")])
-        level = rows.column("level").to_numpy()
-        at = int(np.flatnonzero(level == 0)[0])
-        words, ids, spelled, lengths = (rows.column(c)[at].as_py() for c in ("words", "ids", "spelled", "lengths"))
-        answer = rows.column("n").to_pylist()
-        tri, bi, uni = (np.concatenate([unpacked(answer[k], dtype, columns) for k in np.flatnonzero(level == n)])
-                        for n, dtype, columns in ((3, np.int32, 1), (2, np.int64, 5), (1, np.int64, 6)))
-        g = block_grams(words, ids, lengths)
+    def finish(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
+        place = places.to_pylist()[0]
+        words, ids, spelled, lengths = read_block(place)
+        g = Grams(words, ids, lengths)
         g.trigrams(), g.bigrams(), g.unigrams()
-        sums = document_scores(g, np.frombuffer(spelled, np.float64), len(lengths), tri[:, 0], bi, uni,
-                               {**tallies[None], **tallies[rows.column("lang")[at].as_py()]})
-        sums = [s / n if n else None for s, n in zip((-sums).tolist(), lengths, strict=True)]
-        return pa.table({"block": pa.array([key[0].as_py()] * len(lengths), pa.int64()),
+        sums = document_scores(g, spelled, len(lengths), _figures(rows, 3, 2)[:, 0], _figures(rows, 2, 6), _figures(rows, 1, 6),
+                               {**tallies[None], **tallies[place["lang"]]})
+        sums = [s / n if n else None for s, n in zip((-sums).tolist(), lengths.tolist(), strict=True)]
+        return pa.table({"block": pa.array([place["block"]] * len(lengths), pa.int64()),
                          "place": pa.array(range(len(lengths)), pa.int32()), "log_ppl": pa.array(sums, pa.float64())})
     return finish
 
 
+def _keep(folder: str):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = BlockFile(folder)
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                ids, lengths = np.frombuffer(r["ids"], np.int32), np.array(r["lengths"], np.int64)
+                rows.append((r["block"], r["lang"], len(ids), *file.put(np.frombuffer(r["words"], np.uint64), ids,
+                                                                        np.frombuffer(r["spelled"], np.float64), lengths)))
+            if rows:
+                names = ("block", "lang", "n_words", "file", "offset", "size")
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
+        file.close()
+    return keep
+
+
 def score_blocks(blocks: DataFrame, folder: str) -> DataFrame:
     """block, place, log_ppl (log-perplexity a word, null without words) for every document of
     ``blocks``: block, lang, words (hashes of distinct words), ids (places in words), lengths
     (words of each document), spelled (log p of distinct words by characters)."""
-    n_words = blocks.agg(F.sum(F.octet_length("ids") / 4)).first()[0] or 0
+    return score_kept(stage(blocks.select("block", "lang", "words", "ids", "spelled", "lengths").mapInArrow(_keep(folder), KEPT), folder, "kept"),
+                      folder)
+
+
+def score_kept(kept: DataFrame, folder: str) -> DataFrame:
+    """The same for blocks that lie in files: block, lang, n_words, file, offset, size."""
+    kept = kept.filter("n_words > 0")
+    n_words, n_blocks = kept.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
     parts = max(LEAST_PARTS, ceil(n_words / PART_WORDS))
-    held = blocks.select("block", "lang", "words", "ids", "lengths")
-    made = {3: stage(held.mapInArrow(_send(3, parts), SENT).groupBy("lang", "part").applyInArrow(_trigrams(parts), MADE), folder, "words-3")}
-    for level, by, count in ((2, ("lang", "part"), _bigrams(parts)), (1, ("part",), _words)):
-        given = made[level + 1].filter(F.col("kind") == PASSED).select(
-            "lang", "part", F.lit(None).cast("long").alias("block"), "level", "a", F.lit(None).cast("binary").alias("b"),
-            F.lit(None).cast("binary").alias("c"), "n")
-        both = held.mapInArrow(_send(level, parts), SENT).unionByName(given)
-        made[level] = stage(both.groupBy(*by).applyInArrow(count, MADE), folder, f"words-{level}")
+    # rows here are places of a few MB each, so tasks are told by blocks, not by bytes
+    places = kept.select(*PLACE)
+    sent = places.repartition(max(8, ceil(n_blocks / 4)), "block").mapInArrow(_send_trigrams(parts), SENT)
+    made = {3: stage(sent.groupBy("lang", "part").applyInArrow(_count(3), MADE), folder, "words-3")}
+    for level, by, count in ((2, ("lang", "part"), _count(2)), (1, ("part",), _words)):
+        above = made[level + 1].filter(F.col("kind") == ANSWER)
+        sent = places.groupBy("block").cogroup(above.groupBy("block")).applyInArrow(_send_lower(level, parts), SENT)
+        made[level] = stage(sent.groupBy(*by).applyInArrow(count, MADE), folder, f"words-{level}")
     every = made[3].unionByName(made[2]).unionByName(made[1])
     tallies: dict[str, dict[int, np.ndarray]] = {}
     figures = every.filter(F.col("kind") == TALLY).groupBy("lang", "level").applyInArrow(_added, "lang string, level int, n binary")
     for r in figures.collect():  # three rows a language, one for all
         tallies.setdefault(r.lang, {})[r.level] = np.frombuffer(r.n, np.int64)
-    empty = F.lit(None).cast("binary")
-    asked = blocks.select("block", "lang", F.lit(0).alias("level"), F.lit(0).alias("part"), "words", "ids", "spelled", "lengths",
-                          empty.alias("n")).filter(F.octet_length("ids") > 0)
-    answers = every.filter(F.col("kind") == ANSWER).select(
-        "block", "lang", "level", "part", empty.alias("words"), empty.alias("ids"), empty.alias("spelled"),
-        F.lit(None).cast("array<int>").alias("lengths"), "n")
-    return asked.unionByName(answers).groupBy("block").applyInArrow(_finish(tallies), "block long, place int, log_ppl double")
+    answers = every.filter(F.col("kind") == ANSWER).groupBy("block")
+    return places.groupBy("block").cogroup(answers).applyInArrow(_finish(tallies), "block long, place int, log_ppl double")
 
 
 def _added(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
