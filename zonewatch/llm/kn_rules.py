@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.llm import kn_words
-from zonewatch.llm.common import SPACE, put_file, rolling, run_folder, slices, stage, store, utf8
+from zonewatch.llm.common import SPACE, put_file, rolling, run_folder, stage, store, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -60,6 +60,7 @@ SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))  # bytes of UTF-8 that do not begin a character
 VOCABULARY = 300_000
 SALTS = 256
+BLOCK_BYTES, WAITING_BYTES = 4 << 20, 16 << 20  # text of a block, and of all that are being filled
 
 
 def _classes() -> np.ndarray:
@@ -280,33 +281,45 @@ def _blocks(folder: str):
     """Blocks of documents of one language, with their words and all that needs no other block."""
     def block_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers: dict[str, _Scorer] = {}
+        waiting: dict[str, list[tuple[int | None, bytes]]] = {}
+        held: Counter = Counter()
         file = kn_words.BlockFile(folder)
-        block = TaskContext.get().partitionId() << 32
+        block, filling = TaskContext.get().partitionId() << 32, 0
+
+        def made(lang: str) -> pa.RecordBatch:
+            nonlocal block, filling
+            if lang not in scorers:
+                if len(scorers) >= 8:
+                    scorers.pop(next(iter(scorers)))
+                scorers[lang] = _Scorer(folder, lang)
+            own, members = scorers[lang], waiting.pop(lang)
+            filling -= held.pop(lang)
+            split = [text.split() for _, text in members]
+            own.learn(set().union(*split))
+            docs, ids = [], []
+            for (doc_id, text), words in zip(members, split, strict=True):
+                ids.append(np.fromiter(map(own.ids.__getitem__, words), np.int64, len(words)))
+                base = base_counts(text, ids[-1])
+                failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
+                ppl = -float(own.scores[ids[-1]].sum()) / (base[1] + base[0]) if words else None
+                docs.append({"doc_id": doc_id, **dict(zip(FIGURES, base, strict=True)), "base_failed": failed, "char_ppl": ppl})
+            used, places = np.unique(np.concatenate(ids), return_inverse=True)
+            where = file.put(own.hashes[used], places, own.scores[used], np.array([len(x) for x in ids]))
+            block += 1
+            row = (block - 1, lang, len(places), *where, docs)
+            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, SCHEMA, strict=True)], schema=SCHEMA)
+
         for part in parts:
-            doc_ids, langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2))
-            for at, to in slices(texts):
-                by_lang: dict[str, list[int]] = {}
-                for k in range(at, to):
-                    by_lang.setdefault(langs[k], []).append(k)
-                for lang, members in by_lang.items():
-                    if lang not in scorers:
-                        if len(scorers) >= 8:
-                            scorers.pop(next(iter(scorers)))
-                        scorers[lang] = _Scorer(folder, lang)
-                    own, held = scorers[lang], [texts[k].split() for k in members]
-                    own.learn({w for words in held for w in words})
-                    docs, ids = [], []
-                    for k, words in zip(members, held, strict=True):
-                        ids.append(np.fromiter(map(own.ids.__getitem__, words), np.int64, len(words)))
-                        base = base_counts(texts[k], ids[-1])
-                        failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
-                        ppl = -float(own.scores[ids[-1]].sum()) / (base[1] + base[0]) if words else None
-                        docs.append({"doc_id": doc_ids[k], **dict(zip(FIGURES, base, strict=True)), "base_failed": failed, "char_ppl": ppl})
-                    used, places = np.unique(np.concatenate(ids), return_inverse=True)
-                    held = file.put(own.hashes[used], places, own.scores[used], np.array([len(x) for x in ids]))
-                    row = (block, lang, len(places), *held, docs)
-                    block += 1
-                    yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, SCHEMA, strict=True)], schema=SCHEMA)
+            for doc_id, lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), strict=True):
+                waiting.setdefault(lang, []).append((doc_id, text))
+                held[lang] += len(text) + 64
+                filling += len(text) + 64
+                if held[lang] >= BLOCK_BYTES:
+                    yield made(lang)
+                elif filling >= WAITING_BYTES:
+                    yield made(held.most_common(1)[0][0])
+        for lang in list(waiting):
+            yield made(lang)
         file.close()
     return block_rows
 

@@ -9,8 +9,8 @@ that hold a trigram one is told that it speaks for it.  That block adds to its
 bigrams what the trigram gives them: total and kinds of followers as a context, kinds of
 predecessors as a gram (a gram that opens a text has its raw count).  Bigrams go
 to their parts with these sums, are answered, and give to words in the same way.
-A gram is a hash of ``64 - CUT`` bits, so a common one is one entry a block, wherever it
-lies; parts grow in number with the words of the corpus.  Nothing is dropped or sampled.
+A gram is a hash, ``MARGIN_BITS`` longer than the corpus's words need, so that at any size
+one in a million shares its hash; a common one is one entry a block, wherever it lies.  Parts grow in number with the words of the corpus.  Nothing is dropped or sampled.
 
 Score.  A document is judged by the others: its own counts are taken out of all
 levels of the model, continuation counts and totals included, before its words
@@ -36,7 +36,7 @@ from zonewatch.llm.common import mix, stage, store
 
 PART_WORDS = 1 << 22  # words of the corpus a part
 LEAST_PARTS = 48
-CUT = np.uint64(8)  # low bits of a gram's hash that are left out
+MARGIN_BITS = 20  # bits of a gram's hash beyond those that number the words of the corpus
 OPEN = np.uint64(0x6A09E667F3BCC909)  # stands before a text's first words
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 ANSWER, TALLY = 0, 1
@@ -89,17 +89,18 @@ def unpacked(held: bytes, dtype: type, columns: int) -> np.ndarray:
     return np.frombuffer(raw, dtype).reshape(columns, -1).T
 
 
-def shortened(keys: np.ndarray) -> np.ndarray:
-    return keys >> CUT << CUT
+def hash_bits(n_words: int) -> int:
+    return min(64, MARGIN_BITS + int(n_words).bit_length())
 
 
-def packed_keys(keys: np.ndarray) -> bytes:
+def packed_keys(keys: np.ndarray, bits: int) -> bytes:
     """Sorted keys as differences, the lowest bytes of all first."""
-    return packed(np.diff(keys >> CUT, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8))
+    return packed(np.diff(keys >> np.uint64(64 - bits), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8))
 
 
 def unpacked_keys(held: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(unpacked(held, np.uint8, 8)).view(np.uint64).ravel(), dtype=np.uint64) << CUT
+    """The keys without the bits left out."""
+    return np.cumsum(np.ascontiguousarray(unpacked(held, np.uint8, 8)).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 class BlockFile:
@@ -114,8 +115,12 @@ class BlockFile:
         if self.out is None:
             fs, path = store(self.uri)
             self.out = fs.open_output_stream(path)
-        parts = [packed(words.astype(np.uint64)), packed(ids.astype(np.int32).view(np.uint8).reshape(-1, 4)),
-                 packed(spelled.astype(np.float64)), packed(lengths.astype(np.int64))]
+        order = np.argsort(-np.bincount(ids, minlength=len(words)), kind="stable")  # common words have small ids
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        # a word is 56 bits of its hash, its spelling's log p single precision
+        parts = [packed((words[order] >> np.uint64(8)).view(np.uint8).reshape(-1, 8)), packed(rank[ids].view(np.uint8).reshape(-1, 4)),
+                 packed(spelled[order].astype(np.float32)), packed(lengths.astype(np.int64))]
         held = np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts)
         self.out.write(held)
         self.at += len(held)
@@ -134,14 +139,15 @@ def read_block(place: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         held = f.read(place["size"])
     edges = 32 + np.cumsum([0, *np.frombuffer(held[:32], np.int64).tolist()])
     words, ids, spelled, lengths = (held[a:z] for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False))
-    return (unpacked(words, np.uint64, 1).ravel(), np.ascontiguousarray(unpacked(ids, np.uint8, 4)).view(np.int32).ravel(),
-            unpacked(spelled, np.float64, 1).ravel(), unpacked(lengths, np.int64, 1).ravel())
+    return (np.ascontiguousarray(unpacked(words, np.uint8, 8)).view(np.uint64).ravel(), np.ascontiguousarray(unpacked(ids, np.uint8, 4)).view(np.int32).ravel(),
+            unpacked(spelled, np.float32, 1).ravel().astype(np.float64), unpacked(lengths, np.int64, 1).ravel())
 
 
 class Grams:
     """The grams of a block: after a call of its level, the distinct ones and those of each word."""
 
-    def __init__(self, words: np.ndarray, ids: np.ndarray, lengths: np.ndarray):
+    def __init__(self, words: np.ndarray, ids: np.ndarray, lengths: np.ndarray, bits: int):
+        self.left_out = np.uint64(64 - bits)
         own = lengths[lengths > 0]
         place = np.arange(len(ids)) - np.repeat(np.cumsum(own) - own, own)
         self.w3 = words[ids]
@@ -152,38 +158,42 @@ class Grams:
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         return pair(self.w1, self.w2), pair(self.w2, self.w3)
 
+    def short(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> self.left_out << self.left_out
+
     def trigrams(self) -> None:
         context, gram = self.pairs()
-        self.tri, self.tri_first, self.tri_at = np.unique(shortened(pair(context, gram)), return_index=True, return_inverse=True)
+        self.tri, self.tri_first, self.tri_at = np.unique(self.short(pair(context, gram)), return_index=True, return_inverse=True)
         self.tri_n = np.bincount(self.tri_at, minlength=len(self.tri))
 
     def bigrams(self) -> None:
-        self.bi, where, at = np.unique(shortened(np.concatenate(self.pairs())), return_index=True, return_inverse=True)
+        self.bi, where, at = np.unique(self.short(np.concatenate(self.pairs())), return_index=True, return_inverse=True)
         self.context_at, self.gram_at = np.split(at, 2)
         self.bi_context = np.concatenate([self.w1, self.w2])[where]
         self.bi_word = np.concatenate([self.w2, self.w3])[where]
 
     def unigrams(self) -> None:
-        self.uni, at = np.unique(np.concatenate([self.w2, self.w3]), return_inverse=True)
+        # words are 56 bits long: mixed, so that the first bits tell them apart
+        self.uni, at = np.unique(self.short(mix(np.concatenate([self.w2, self.w3]))), return_inverse=True)
         self.before_at, self.word_at = np.split(at, 2)
         self.uni_n = np.bincount(self.word_at, minlength=len(self.uni))
 
 
-def _rows(place: dict, keys: np.ndarray, n: np.ndarray, parts: int) -> pa.Table:
+def _rows(place: dict, keys: np.ndarray, n: np.ndarray, parts: int, bits: int) -> pa.Table:
     """What a block sends to each part: its keys there and their figures."""
-    rows = [(place["lang"], p, place["block"], packed_keys(keys[a:z]), packed(n[a:z])) for p, a, z in ranges(keys, parts)]
+    rows = [(place["lang"], p, place["block"], packed_keys(keys[a:z], bits), packed(n[a:z])) for p, a, z in ranges(keys, parts)]
     columns = zip(*rows, strict=True) if rows else [[]] * len(SENT_ARROW)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, SENT_ARROW, strict=True)], schema=SENT_ARROW)
 
 
-def _send_trigrams(parts: int):
+def _send_trigrams(parts: int, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in batch.to_pylist():
                 words, ids, _, lengths = read_block(place)
-                g = Grams(words, ids, lengths)
+                g = Grams(words, ids, lengths, bits)
                 g.trigrams()
-                yield from _rows(place, g.tri, g.tri_n.astype(np.int64), parts).to_batches()
+                yield from _rows(place, g.tri, g.tri_n.astype(np.int64), parts, bits).to_batches()
     return send
 
 
@@ -213,18 +223,18 @@ def word_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
                             summed(g.word_at[first], np.ones_like(n), len(g.uni)), g.uni_n])
 
 
-def _send_lower(level: int, parts: int):
+def _send_lower(level: int, parts: int, bits: int):
     """The bigrams (2) or words (1) of a block, once the level above has been answered."""
     def send(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
         place = places.to_pylist()[0]
         words, ids, _, lengths = read_block(place)
-        g = Grams(words, ids, lengths)
+        g = Grams(words, ids, lengths, bits)
         g.bigrams()
         if level == 2:
             g.trigrams()
-            return _rows(place, g.bi, bigram_sums(g, _figures(rows, 3, 2)), parts)
+            return _rows(place, g.bi, bigram_sums(g, _figures(rows, 3, 2)), parts, bits)
         g.unigrams()
-        return _rows(place, g.uni, word_sums(g, _figures(rows, 2, 6)), parts)
+        return _rows(place, g.uni, word_sums(g, _figures(rows, 2, 6)), parts, bits)
     return send
 
 
@@ -340,11 +350,11 @@ def document_scores(g: Grams, spelled: np.ndarray, n_docs: int, tri: np.ndarray,
     return np.bincount(doc, own * np.log(np.maximum(p3, 1e-300)), n_docs)
 
 
-def _finish(tallies: dict[str, dict[int, np.ndarray]]):
+def _finish(tallies: dict[str, dict[int, np.ndarray]], bits: int):
     def finish(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
         place = places.to_pylist()[0]
         words, ids, spelled, lengths = read_block(place)
-        g = Grams(words, ids, lengths)
+        g = Grams(words, ids, lengths, bits)
         g.trigrams(), g.bigrams(), g.unigrams()
         sums = document_scores(g, spelled, len(lengths), _figures(rows, 3, 2)[:, 0], _figures(rows, 2, 6), _figures(rows, 1, 6),
                                {**tallies[None], **tallies[place["lang"]]})
@@ -382,14 +392,14 @@ def score_kept(kept: DataFrame, folder: str) -> DataFrame:
     """The same for blocks that lie in files: block, lang, n_words, file, offset, size."""
     kept = kept.filter("n_words > 0")
     n_words, n_blocks = kept.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
-    parts = max(LEAST_PARTS, ceil(n_words / PART_WORDS))
+    parts, bits = max(LEAST_PARTS, ceil(n_words / PART_WORDS)), hash_bits(n_words)
     # rows here are places of a few MB each, so tasks are told by blocks, not by bytes
     places = kept.select(*PLACE)
-    sent = places.repartition(max(8, ceil(n_blocks / 4)), "block").mapInArrow(_send_trigrams(parts), SENT)
+    sent = places.repartition(max(8, ceil(n_blocks / 4)), "block").mapInArrow(_send_trigrams(parts, bits), SENT)
     made = {3: stage(sent.groupBy("lang", "part").applyInArrow(_count(3), MADE), folder, "words-3")}
     for level, by, count in ((2, ("lang", "part"), _count(2)), (1, ("part",), _words)):
         above = made[level + 1].filter(F.col("kind") == ANSWER)
-        sent = places.groupBy("block").cogroup(above.groupBy("block")).applyInArrow(_send_lower(level, parts), SENT)
+        sent = places.groupBy("block").cogroup(above.groupBy("block")).applyInArrow(_send_lower(level, parts, bits), SENT)
         made[level] = stage(sent.groupBy(*by).applyInArrow(count, MADE), folder, f"words-{level}")
     every = made[3].unionByName(made[2]).unionByName(made[1])
     tallies: dict[str, dict[int, np.ndarray]] = {}
@@ -397,7 +407,7 @@ def score_kept(kept: DataFrame, folder: str) -> DataFrame:
     for r in figures.collect():  # three rows a language, one for all
         tallies.setdefault(r.lang, {})[r.level] = np.frombuffer(r.n, np.int64)
     answers = every.filter(F.col("kind") == ANSWER).groupBy("block")
-    return places.groupBy("block").cogroup(answers).applyInArrow(_finish(tallies), "block long, place int, log_ppl double")
+    return places.groupBy("block").cogroup(answers).applyInArrow(_finish(tallies, bits), "block long, place int, log_ppl double")
 
 
 def _added(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
