@@ -34,6 +34,12 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return str(fs.makeQualified(hadoop_path).toString())
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``run_folder`` that nothing reads any more, before the driver ends."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage
     in storage that outlives executors, and computes ``df`` once."""

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.llm import kn_words
-from zonewatch.llm.common import SPACE, put_file, rolling, run_folder, stage, store, utf8
+from zonewatch.llm.common import SPACE, put_file, remove_folder, rolling, run_folder, stage, store, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -326,14 +326,15 @@ def _blocks(folder: str):
 
 def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, word_upper: float = WORD_UPPER) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept, log_ppl."""
-    folder = run_folder(docs.sparkSession, "rules")
+    folder, scratch = (run_folder(docs.sparkSession, name) for name in ("rules", "rules-model"))
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].alias("lang"), docs["text"].alias("text"))
-    build_models(docs, folder)
+    build_models(docs, scratch)
     blocks = stage(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(
-        _blocks(folder), BLOCKS), folder, "blocks")
-    by_words = kn_words.score_kept(blocks, folder)
+        _blocks(scratch), BLOCKS), scratch, "blocks")
+    by_words = kn_words.score_kept(blocks, scratch)
     by_chars = blocks.select("block", "lang", F.posexplode("docs").alias("place", "doc")).select("block", "place", "lang", "doc.*")
     scored = stage(by_chars.join(by_words, ["block", "place"], "left"), folder, "scored")
+    remove_folder(docs.sparkSession, scratch)  # the scores are written; models and blocks are not read again
     passed = scored.filter("not base_failed")
     by_char = passed.groupBy("lang").agg(F.percentile_approx("char_ppl", [0.25, 0.75], 10_000).alias("c"))
     by_word = passed.select("lang", "n_words", "log_ppl").distinct().groupBy("lang").agg(
