@@ -59,9 +59,13 @@ def nms(spark, sf):
 
 
 # ----------------------------------------------------------- J1-J4 and B6
-def frames_with_payload(spark, sf):
-    """Frames with their payload and the detections recorded for them."""
-    base = fx.recorded_frames(spark, sf).select("frame_id", "camera_id", "epoch_id", "w", "h", "recorded")
+def _recorded(spark, sf):
+    return fx.recorded_frames(spark, sf).select("frame_id", "camera_id", "epoch_id", "w", "h", "recorded")
+
+
+def frames_with_payload(spark, sf, base=None):
+    """Frames (``base``: the recorded ones, with more columns) with their payload and the detections recorded for them."""
+    base = base if base is not None else _recorded(spark, sf)
     return fx.frame_payloads(spark, sf, base=base)
 
 
@@ -100,12 +104,13 @@ SELECT run.frame_id, epoch_us(max(f.captured_at) OVER (PARTITION BY f.epoch_id))
 FROM run JOIN frames f ON f.frame_id = run.frame_id""")
 def detect_budget(spark, sf):
     """Frames the time budget left out: a frame waits from its capture to the last one of its
-    micro-batch, and what it has waited is no longer there for the detector."""
-    frames = frames_with_payload(spark, sf).join(
+    micro-batch, and what it has waited is no longer there for the detector.  The waits are worked out
+    on the narrow rows; the payloads are attached afterwards and not shuffled."""
+    frames = _recorded(spark, sf).join(
         fx.frames(spark, sf).select("frame_id", F.unix_timestamp("captured_at").alias("_t")).hint("merge"), "frame_id")
     waited = F.max("_t").over(Window.partitionBy("epoch_id")) - F.col("_t")
     timed = frames.withColumn("left_s", F.lit(config.BATCH_TIME_BUDGET_SECONDS) - waited).drop("_t")
-    out = D.detect(timed, D.RecordedDetector(), left_col="left_s")
+    out = D.detect(frames_with_payload(spark, sf, timed), D.RecordedDetector(), left_col="left_s")
     return out.select("frame_id", (F.col("status") == "BATCH_TIMEOUT").alias("timed_out"))
 
 
@@ -129,6 +134,6 @@ def predict_conditional(spark, sf):
     """Gates first, then the detector once per remaining row; the result
     string keeps the reference's encoding.  Empty results are dropped (B7)."""
     gated = frames_with_payload(spark, sf).where(P.input_gate("frame_b64"))
-    out = D.predict(gated, D.RecordedDetector())
+    out = P.once(D.predict(gated, D.RecordedDetector()), "result", F.col("result"))
     return out.where(F.col("result") != "").select(
         "frame_id", "status", "violation", F.md5("result").alias("result_md5"))
