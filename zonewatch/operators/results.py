@@ -15,7 +15,6 @@ from zonewatch import config
 from zonewatch.functions import payload
 from zonewatch.operators import verdict
 from zonewatch.sources import fixtures as fx
-from zonewatch.sources.tables import table
 
 # fixed values: sentinel of a whole micro-batch by ``epoch_id % 40``, and of
 # the tail of a batch from a row index on
@@ -44,9 +43,9 @@ def sentinel(epoch_id, row_idx):
     return expr
 
 
-def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False) -> DataFrame:
+def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False, with_doc: bool = False) -> DataFrame:
     """frame_id, epoch_id, camera_id, captured_at, row_idx, status, violation
-    [, result].
+    [, result | doc_id].
 
     The light frame rows meet the documents' validation reasons (each document
     is validated once, its text stays where it is) and are then partitioned by
@@ -70,11 +69,14 @@ def frame_results(spark: SparkSession, sf_dir: str, with_payload: bool = False)
                 .when(F.col("violation"), F.lit("VIOLATION"))
                 .otherwise(F.lit("NORMAL")))
     cols = ["frame_id", "epoch_id", "camera_id", "captured_at", "row_idx"]
-    if not with_payload:
-        return j.select(*cols, status.alias("status"), "violation")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    j = j.select(*cols, status.alias("status"), "violation", "doc_id").join(docs.hint("merge"), "doc_id", "left")
-    j = j.select(*cols, "status", "violation", fx.payload_column(F.col("frame_id"), F.col("text")).alias("frame_b64"))
+    j = j.select(*cols, status.alias("status"), "violation", "doc_id")
+    return with_result(spark, sf_dir, j) if with_payload else j if with_doc else j.drop("doc_id")
+
+
+def with_result(spark: SparkSession, sf_dir: str, results: DataFrame) -> DataFrame:
+    """``frame_results`` with their document's id, plus the result string in its place."""
+    j = fx.with_payload(spark, sf_dir, results)
+    cols = [c for c in results.columns if c not in ("status", "violation", "doc_id")]
     result = (F.when(F.col("status").isin(*config.SENTINELS), F.col("status"))
                 .when(F.col("status") == "EMPTY", F.lit(""))
                 .otherwise(payload.encode_result(F.col("violation"), F.col("frame_b64"))))

@@ -81,7 +81,7 @@ _RUN = W("payloads", "dets", "frames") + f""", run AS (
 
 
 def _run(spark, sf):
-    return D.detect(frames_with_payload(spark, sf), D.RecordedDetector())
+    return D.detect(frames_with_payload(spark, sf), D.RecordedDetector(), keep=["frame_id"])
 
 
 @register("detect_recorded", "J1", _RUN + f"""
@@ -110,7 +110,7 @@ def detect_budget(spark, sf):
         fx.frames(spark, sf).select("frame_id", F.unix_timestamp("captured_at").alias("_t")).hint("merge"), "frame_id")
     waited = F.max("_t").over(Window.partitionBy("epoch_id")) - F.col("_t")
     timed = frames.withColumn("left_s", F.lit(config.BATCH_TIME_BUDGET_SECONDS) - waited).drop("_t")
-    out = D.detect(frames_with_payload(spark, sf, timed), D.RecordedDetector(), left_col="left_s")
+    out = D.detect(frames_with_payload(spark, sf, timed), D.RecordedDetector(), left_col="left_s", keep=["frame_id"])
     return out.select("frame_id", (F.col("status") == "BATCH_TIMEOUT").alias("timed_out"))
 
 
@@ -122,7 +122,7 @@ FROM run LEFT JOIN flat ON flat.frame_id = run.frame_id GROUP BY 1""")
 def detect_faults(spark, sf):
     """Frames per status when whole Arrow batches go to the detector and a box without an area fails the
     call: the frames that hold one stand alone, the others of their batches are detected."""
-    return D.detect(frames_with_payload(spark, sf), D.RecordedBatchDetector()).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return D.detect(frames_with_payload(spark, sf), D.RecordedBatchDetector(), keep=[]).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("predict_conditional", "B6/B7", W("verdicts", "reasons", "payloads") + f"""

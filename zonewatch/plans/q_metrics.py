@@ -158,10 +158,14 @@ SELECT route, count(*) AS n FROM (
               ELSE 'skipped' END AS route FROM statuses) t GROUP BY route
 UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'extra', 0""")
 def route_partition(spark, sf):
-    """The evidence is written first and the routes are read off it."""
-    path = f"{run_dir(spark, 'h1')}/evidence"
-    S.evidence(spark, sf).drop("payload").write.partitionBy("verdict").parquet(path)
-    return M.route_partition(_status(spark, sf), spark.read.parquet(path))
+    """The evidence is written first and the routes are read off it.  The results are written
+    once, without payloads: the evidence is made from them and has to account for them."""
+    path = run_dir(spark, "h1")
+    results = R.frame_results(spark, sf, with_doc=True)
+    results.write.parquet(f"{path}/results")
+    results = spark.read.schema(results.schema).parquet(f"{path}/results")
+    S.evidence(spark, sf, results).drop("payload").write.partitionBy("verdict").parquet(f"{path}/evidence")
+    return M.route_partition(results, spark.read.parquet(f"{path}/evidence"))
 
 
 @register("violations_per_window", "I7", W("verdicts", "frames") + """
