@@ -418,6 +418,17 @@ def test_tokenizers_of_another_kind_get_whole_texts(tmp_path):
         assert ids.encode(text.encode()) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_words_of_plain_texts_are_kept_once():
+    """Whatever their case and the signs around them, also with Latin-1 letters."""
+    ids = packing.WordIds(WORDS)
+    text = "Word, word. WORD word*** Word. \xc9t\xe9, \xe9t\xe9. It's 'word' it's 7"
+    ids.encode(text.encode())
+    assert set(ids.words) == {b"word", b",", b".", b"***", b"\xe9t\xe9", b"it", b"'s", b"'", b"7"}
+    odd = ["don''t x's.'s 'S", "a<|endoftext|>B", "J\u030c j\u030c \u0130 I\u0307", "\xd7a\xf7 \xaa\xb5", "\xc3\xa9 \xe9", "a\xa0b\x85c\x1cd", ""]
+    for t, held in zip(odd, ids.encode_all([t.encode() for t in odd]), strict=True):
+        assert held == np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
 def test_word_ids_of_slices_with_signs_and_old_words(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 50)
     ids, rng = packing.WordIds(WORDS), random.Random(6)

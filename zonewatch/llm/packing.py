@@ -9,7 +9,8 @@ them, which a segment tree over the remaining capacities finds.
 Tokens.  Where the tokenizer's file says that it drops white space and never merges
 across it, a text's ids are those of its words one after the other: a worker keeps
 ids of words (a bounded cache of two generations) and passes the new ones of a slice to the tokenizer
-together.  A tokenizer of any other kind is given whole texts.
+together.  Texts of ASCII and Latin-1 letters are lower-cased first and cut by the tokenizer's own pattern, so
+that words are kept without the signs around them.  A tokenizer of any other kind is given whole texts.
 
 Cases: a null or empty text is the end id alone.  Null and repeated doc_ids
 are packed like any other; repeated rows are packed each.  Sequence ids are
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -37,6 +39,10 @@ END_ID = 1
 LANE_ROWS = 8192
 CACHED_WORDS, LONGEST = 600_000, 64  # two generations of about 200 bytes a word
 MATCHES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# of Latin-1 only ASCII and letters: each is one character in NFC, and its small letter is one byte, too
+NOT_PLAIN = bytes(c for c in range(128, 256) if not chr(c).isalpha() or c < 0xC0) + b"<"
+SMALL = bytes(ord(low) if len(low := chr(c).lower()) == 1 and ord(low) < 256 else c for c in range(256))
+PLAIN_MATCHES = re.compile(rb"[a-z\xdf-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s0-9a-z\xdf-\xff]+")
 SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "<|>")
 
 
@@ -92,6 +98,19 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     return out
 
 
+def plain_matches(text: bytes) -> list[bytes] | None:
+    """The matches of ``MATCHES`` in a text of ASCII and Latin-1 letters, small and in Latin-1;
+    None for any other text, and for one that may hold a special token."""
+    if not text.isascii():
+        try:
+            text = text.decode().encode("latin-1")
+        except UnicodeError:
+            return None
+    if len(text.translate(None, NOT_PLAIN)) < len(text):
+        return None
+    return PLAIN_MATCHES.findall(text.translate(SMALL))
+
+
 def cuts_at_space(tokenizer: dict) -> bool:
     """Whether the tokenizer (its file as read) drops white space, never merges across it and takes a
     run of signs behind a letter or digit for a match of its own, so that ids can be kept by word."""
@@ -125,18 +144,30 @@ class WordIds:
         if not self.by_word:
             held = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in held]
-        split = [t.split() for t in texts]
+        plain = [plain_matches(t) for t in texts]
+        split = [t.split() if p is None else p for t, p in zip(texts, plain, strict=True)]
         if len(self.words) >= CACHED_WORDS:
             self.words, self.old = {}, self.words
-        new = set().union(*split).difference(self.words)
+        # a word in UTF-8 is never one in Latin-1: it has bytes that no small letter there has
+        matches = set().union(*(p for p in plain if p is not None)).difference(self.words)
+        self._learn_atoms(matches)
+        new = set().union(*(w for w, p in zip(split, plain, strict=True) if p is None)).difference(self.words)
         if new:
             self._learn(new)
         out = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for word in new:
+        for word in (*matches, *new):
             if len(word) > LONGEST:  # not likely to come again
                 del self.words[word]
         return out
 
+    def _learn_atoms(self, new: set[bytes]) -> None:
+        """Ids of new matches of ``PLAIN_MATCHES``."""
+        known = {m: ids for m in new if (ids := self.old.get(m))} if self.old else {}
+        self.words.update(known)
+        wanted = [m for m in new if m not in known]
+        for at, to in slices(wanted, 1 << 14):
+            self.words.update(zip(wanted[at:to], self._ids([m.decode("latin-1") for m in wanted[at:to]]), strict=True))
+
     def _learn(self, new: set[bytes]) -> None:
         """Ids of new words, from those of their stems and of the signs behind them."""
         parts, atoms = {}, set()
@@ -160,14 +191,13 @@ class WordIds:
         known = {atom: ids for atom in atoms if (ids := self.words.get(atom) or self.old.get(atom))}
         wanted = [atom for atom in atoms if atom not in known]
         for at, to in slices(wanted, 1 << 14):
-            known.update(zip(wanted[at:to], self._ids(wanted[at:to]), strict=True))
+            known.update(zip(wanted[at:to], self._ids([w.decode("utf-8", "replace") for w in wanted[at:to]]), strict=True))
         known[b""] = b""
         for word, (stem, signs) in parts.items():
             self.words[word] = known[stem] + known[signs]
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each word, from one call: a token belongs to the word in which it begins."""
-        texts = [w.decode("utf-8", "replace") for w in words]
         held = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         starts = np.fromiter((a for a, _ in held.offsets), np.int64, len(held.ids))
         ends = np.cumsum([len(t) + 1 for t in texts])
