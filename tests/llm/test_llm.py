@@ -13,6 +13,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -372,6 +373,54 @@ def test_non_negative_risk_steps_back():
     assert (slope[:2] > 0).all() and (slope[2:] < 0).all()
 
 
+def test_blocks_are_scored_some_documents_at_a_time(monkeypatch):
+    """No step takes more words at once than a slice, and the scores are those of the whole block."""
+    rng = np.random.default_rng(3)
+    lengths = np.array([0, 7, 300, 0, 40, 41, 1, 0])
+    words, ids = rng.integers(0, 1 << 60, 30).astype(np.uint64), rng.integers(0, 30, lengths.sum())
+    g = kn_words.Grams(words, ids, lengths, 60)
+    g.trigrams(), g.bigrams(), g.unigrams()
+    tri, bi = 2 * g.tri_n, 50 + np.arange(6 * len(g.bi)).reshape(-1, 6) % 7
+    uni = 90 + np.arange(6 * len(g.uni)).reshape(-1, 6) % 5
+    tally = {0: np.array([9000, 30]), **{k: np.array([9, 5, 4, 3, 9000, 9, 5, 70]) for k in (1, 2, 3)}}
+    spelled = -rng.random(30) * 9
+    whole = kn_words.document_scores(g, spelled, len(lengths), tri, bi, uni, tally)
+    taken, scores = [], kn_words.document_scores
+
+    def noted(own, *rest):
+        taken.append(len(own.doc))
+        return scores(own, *rest)
+
+    monkeypatch.setattr(kn_words, "document_scores", noted)
+    monkeypatch.setattr(kn_words, "SLICE_WORDS", 80)
+    assert kn_words.block_scores(g, spelled, lengths, tri, bi, uni, tally).tolist() == whole.tolist()
+    assert max(x for x in taken if x != 300) <= 80 and sum(taken) == lengths.sum()
+
+
+def test_answers_are_written_once(spark, tmp_path):
+    """A part's answer is a place in a file; the rows that are shuffled hold no figures."""
+    place = {"lang": "en", "block": 4}
+    sent = kn_words._rows(place, np.array([5 << 40, 9 << 50], np.uint64), np.array([1, 3]), 1, 64)
+    made = kn_words._count(3, str(tmp_path))((pa.scalar("en"), pa.scalar(0)), sent).to_pylist()
+    answer, tally = made
+    assert answer["n"] is None and answer["block"] == 4 and tally["kind"] == kn_words.TALLY
+    rows = pa.Table.from_pylist([answer], kn_words.MADE_ARROW)
+    assert kn_words._figures(rows, 3, 2).tolist() == [[1, 1], [3, 1]]
+
+
+def test_repeated_words_of_many_documents():
+    rng = np.random.default_rng(8)
+    lengths = np.array([0, 3, 8, 9, 200, 64, 0, 90])
+    ids = rng.integers(0, 2, lengths.sum())
+    want, at = [], 0
+    for n in lengths.tolist():
+        doc = ids[at:at + n].tolist()
+        windows = [tuple(doc[k:k + 8]) for k in range(n - 7)]
+        want.append(len({k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(8)}))
+        at += n
+    assert kn_rules.repeated_words(ids, lengths).tolist() == want and sum(want) > 100
+
+
 # --- 8: packing ----------------------------------------------------------------------------
 
 

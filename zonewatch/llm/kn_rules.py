@@ -36,6 +36,7 @@ from __future__ import annotations
 import io
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.llm import kn_words
-from zonewatch.llm.common import SPACE, put_file, remove_folder, rolling, run_folder, stage, store, utf8
+from zonewatch.llm.common import SPACE, mix, put_file, remove_folder, run_folder, stage, store, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -246,27 +247,29 @@ class _Scorer:
         self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
 
 
-def repeated_words(ids: np.ndarray) -> int:
-    """Words inside windows of ``WINDOW`` words that occur twice or more."""
-    windows = rolling(ids.astype(np.uint64) + np.uint64(1), WINDOW)
-    if len(windows) < 2:
-        return 0
-    _, at, n = np.unique(windows, return_inverse=True, return_counts=True)
-    starts = n[at] > 1
-    if not starts.any():
-        return 0
+def repeated_words(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each document the words inside windows of ``WINDOW`` words that occur twice or more in it."""
+    own = np.repeat(np.arange(len(lengths)), lengths)
+    count = max(len(ids) - WINDOW + 1, 0)
+    at = np.flatnonzero(own[:count] == own[WINDOW - 1:])  # windows that lie in one document
+    if len(at) < 2:
+        return np.zeros(len(lengths), np.int64)
+    h, width = mix(ids.astype(np.uint64) + np.uint64(1)), 1
+    while width < WINDOW:  # windows of twice the width from two neighbours
+        h, width = kn_words.pair(h[:-width], h[width:]), 2 * width
+    _, _, number = kn_words.distinct(kn_words.pair(own[at].astype(np.uint64), h[at]))
+    starts = np.bincount(number)[number] > 1
     edge = np.zeros(len(ids) + 1, np.int64)
-    edge[:len(windows)] += starts
-    edge[WINDOW:WINDOW + len(windows)] -= starts
-    return int((np.cumsum(edge)[:-1] > 0).sum())
+    edge[at] += starts
+    edge[at + WINDOW] -= starts
+    return np.bincount(own, np.cumsum(edge)[:-1] > 0, len(lengths)).astype(np.int64)
 
 
-def base_counts(text: bytes, ids: np.ndarray) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+def base_counts(text: bytes) -> tuple[int, int, int]:
+    """word_chars, n_symbols, n_dup_lines."""
     solid = text.translate(None, SPACE)
     lines = [x for x in text.split(b"\n") if x.strip(SPACE)]
-    return (len(ids), len(solid.translate(None, CONTINUATION)), len(solid) - len(solid.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
-            repeated_words(ids))
+    return len(solid.translate(None, CONTINUATION)), len(solid) - len(solid.translate(None, SYMBOLS)), len(lines) - len(set(lines))
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -296,15 +299,18 @@ def _blocks(folder: str):
             filling -= held.pop(lang)
             split = [text.split() for _, text in members]
             own.learn(set().union(*split))
-            docs, ids = [], []
-            for (doc_id, text), words in zip(members, split, strict=True):
-                ids.append(np.fromiter(map(own.ids.__getitem__, words), np.int64, len(words)))
-                base = base_counts(text, ids[-1])
+            lengths = np.array([len(words) for words in split])
+            ids = np.fromiter(map(own.ids.__getitem__, chain.from_iterable(split)), np.int64, lengths.sum())
+            ends, docs = np.cumsum(lengths).tolist(), []
+            repeats = [n for at, to in kn_words.document_slices(lengths, kn_words.SLICE_WORDS)
+                       for n in repeated_words(ids[ends[at] - lengths[at]:ends[to - 1]], lengths[at:to]).tolist()]
+            for (doc_id, text), end, n, repeated in zip(members, ends, lengths.tolist(), repeats, strict=True):
+                base = n, *base_counts(text), repeated
                 failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
-                ppl = -float(own.scores[ids[-1]].sum()) / (base[1] + base[0]) if words else None
+                ppl = -float(own.scores[ids[end - n:end]].sum()) / (base[1] + base[0]) if n else None
                 docs.append({"doc_id": doc_id, **dict(zip(FIGURES, base, strict=True)), "base_failed": failed, "char_ppl": ppl})
-            used, places = np.unique(np.concatenate(ids), return_inverse=True)
-            where = file.put(own.hashes[used], places, own.scores[used], np.array([len(x) for x in ids]))
+            used, places = np.unique(ids, return_inverse=True)
+            where = file.put(own.hashes[used], places, own.scores[used], lengths)
             block += 1
             row = (block - 1, lang, len(places), *where, docs)
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, SCHEMA, strict=True)], schema=SCHEMA)

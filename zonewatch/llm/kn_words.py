@@ -4,7 +4,8 @@ Counts.  Every document counts, whole.  A block (documents of one language out
 of a few MB of a task) lies compressed in a file of its task, and sends no words:
 it sends the sorted hashes of its distinct trigrams, as differences, with their
 counts, to parts by hash range.  A part is a sorted hash array of the model: it
-adds the counts up and answers each block with the corpus counts of its trigrams; of the blocks
+adds the counts up and answers each block with the corpus counts of its trigrams, in a file that the block
+reads its share of whenever it needs it, so that answers are written once and never shuffled; of the blocks
 that hold a trigram one is told that it speaks for it.  That block adds to its
 bigrams what the trigram gives them: total and kinds of followers as a context, kinds of
 predecessors as a gram (a gram that opens a text has its raw count).  Bigrams go
@@ -22,6 +23,7 @@ spells a word that no other document has.  The result is -sum(log p) / words.
 
 from __future__ import annotations
 
+import copy
 import uuid
 from collections.abc import Iterator
 from math import ceil
@@ -45,9 +47,10 @@ KEPT = "block long, lang string, n_words long, file string, offset long, size lo
 PLACE = ("block", "lang", "file", "offset", "size")
 SENT = "lang string, part int, block long, keys binary, n binary"
 SENT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
-MADE = "kind int, lang string, part int, block long, level int, n binary"
-MADE_ARROW = pa.schema([("kind", pa.int32()), ("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()),
-                        ("level", pa.int32()), ("n", pa.binary())])
+MADE = "kind int, lang string, part int, block long, level int, n binary, file string, offset long, size long"
+MADE_ARROW = pa.schema([("kind", pa.int32()), ("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("level", pa.int32()),
+                        ("n", pa.binary()), ("file", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
+SLICE_WORDS = 1 << 16  # words of the documents that are scored together
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -71,6 +74,17 @@ def kinds(n: np.ndarray) -> np.ndarray:
     return np.stack([n == 1, n == 2, n >= 3], axis=1).astype(np.int64)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, the first place of each, and the number among them of every key."""
+    order = np.argsort(keys)
+    held = keys[order]
+    opens = np.ones(len(keys), bool)
+    opens[1:] = held[1:] != held[:-1]
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(opens) - 1
+    return held[opens], np.minimum.reduceat(order, np.flatnonzero(opens)), at
+
+
 def summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows of ``values`` by ``at``."""
     if values.ndim == 1:
@@ -110,33 +124,40 @@ class BlockFile:
     def __init__(self, folder: str):
         self.uri, self.at, self.out = f"{folder}/blocks-{uuid.uuid4().hex}", 0, None
 
-    def put(self, words: np.ndarray, ids: np.ndarray, spelled: np.ndarray, lengths: np.ndarray) -> tuple[str, int, int]:
-        """Where the block lies: file, offset, size."""
+    def write(self, held: bytes) -> tuple[str, int, int]:
+        """Where the bytes lie: file, offset, size."""
         if self.out is None:
             fs, path = store(self.uri)
             self.out = fs.open_output_stream(path)
+        self.out.write(held)
+        self.at += len(held)
+        return self.uri, self.at - len(held), len(held)
+
+    def put(self, words: np.ndarray, ids: np.ndarray, spelled: np.ndarray, lengths: np.ndarray) -> tuple[str, int, int]:
+        """Where the block lies: file, offset, size."""
         order = np.argsort(-np.bincount(ids, minlength=len(words)), kind="stable")  # common words have small ids
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         # a word is 56 bits of its hash, its spelling's log p single precision
         parts = [packed((words[order] >> np.uint64(8)).view(np.uint8).reshape(-1, 8)), packed(rank[ids].view(np.uint8).reshape(-1, 4)),
                  packed(spelled[order].astype(np.float32)), packed(lengths.astype(np.int64))]
-        held = np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts)
-        self.out.write(held)
-        self.at += len(held)
-        return self.uri, self.at - len(held), len(held)
+        return self.write(np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts))
 
     def close(self) -> None:
         if self.out is not None:
             self.out.close()
 
 
+def read_range(uri: str, offset: int, size: int) -> bytes:
+    fs, path = store(uri)
+    with fs.open_input_file(path) as f:
+        f.seek(offset)
+        return f.read(size)
+
+
 def read_block(place: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """words, ids, spelled, lengths."""
-    fs, path = store(place["file"])
-    with fs.open_input_file(path) as f:
-        f.seek(place["offset"])
-        held = f.read(place["size"])
+    held = read_range(place["file"], place["offset"], place["size"])
     edges = 32 + np.cumsum([0, *np.frombuffer(held[:32], np.int64).tolist()])
     words, ids, spelled, lengths = (held[a:z] for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False))
     return (np.ascontiguousarray(unpacked(words, np.uint8, 8)).view(np.uint64).ravel(), np.ascontiguousarray(unpacked(ids, np.uint8, 4)).view(np.int32).ravel(),
@@ -163,21 +184,29 @@ class Grams:
 
     def trigrams(self) -> None:
         context, gram = self.pairs()
-        self.tri, self.tri_first, self.tri_at = np.unique(self.short(pair(context, gram)), return_index=True, return_inverse=True)
+        self.tri, self.tri_first, self.tri_at = distinct(self.short(pair(context, gram)))
         self.tri_n = np.bincount(self.tri_at, minlength=len(self.tri))
 
     def bigrams(self) -> None:
-        self.bi, where, at = np.unique(self.short(np.concatenate(self.pairs())), return_index=True, return_inverse=True)
+        self.bi, where, at = distinct(self.short(np.concatenate(self.pairs())))
         self.context_at, self.gram_at = np.split(at, 2)
         self.bi_context = np.concatenate([self.w1, self.w2])[where]
         self.bi_word = np.concatenate([self.w2, self.w3])[where]
 
     def unigrams(self) -> None:
         # words are 56 bits long: mixed, so that the first bits tell them apart
-        self.uni, at = np.unique(self.short(mix(np.concatenate([self.w2, self.w3]))), return_inverse=True)
+        self.uni, _, at = distinct(self.short(mix(np.concatenate([self.w2, self.w3]))))
         self.before_at, self.word_at = np.split(at, 2)
         self.uni_n = np.bincount(self.word_at, minlength=len(self.uni))
 
+    def words_from(self, first: int, to: int, doc: int) -> Grams:
+        """The words first to to, where document doc begins, with what has been told of each; the distinct grams stay those of the block."""
+        out = copy.copy(self)
+        for name in ("doc", "spelled", "tri_at", "context_at", "gram_at", "before_at", "word_at"):
+            setattr(out, name, getattr(self, name)[first:to])
+        out.doc = out.doc - doc
+        return out
+
 
 def _rows(place: dict, keys: np.ndarray, n: np.ndarray, parts: int, bits: int) -> pa.Table:
     """What a block sends to each part: its keys there and their figures."""
@@ -200,7 +229,8 @@ def _send_trigrams(parts: int, bits: int):
 def _figures(rows: pa.Table, level: int, columns: int) -> np.ndarray:
     """What the parts answered to a block's grams of a level, in the order of the grams."""
     rows = rows.filter(pc.equal(rows.column("level"), level)).sort_by("part")
-    return np.concatenate([unpacked(x, np.int64, columns) for x in rows.column("n").to_pylist()])
+    places = zip(*(rows.column(c).to_pylist() for c in ("file", "offset", "size")), strict=True)
+    return np.concatenate([unpacked(read_range(*place), np.int64, columns) for place in places])
 
 
 def bigram_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
@@ -216,7 +246,7 @@ def bigram_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
 def word_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
     """What the bigrams that a block speaks for give to its words, and the words' own counts.
     Every bigram of the corpus that a block holds is the end of a trigram there."""
-    held, first = np.unique(g.gram_at, return_index=True)
+    held, first, _ = distinct(g.gram_at)
     speaks = answer[held, 5] == 1
     n, first = answer[held[speaks], 4], first[speaks]
     return np.column_stack([summed(g.before_at[first], np.column_stack([n, kinds(n)]), len(g.uni)),
@@ -249,38 +279,50 @@ def _met(rows: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     keys = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
     sums = np.concatenate([unpacked(x, np.int64, columns) for x in rows.column("n").to_pylist()])
     edges = np.cumsum([0, *map(len, keys)]).tolist()
-    unique, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    unique, first, at = distinct(np.concatenate(keys))
     speaks = np.zeros(len(at), np.int64)
     speaks[first] = 1
     blocks = zip(rows.column("lang").to_pylist(), rows.column("block").to_pylist(), edges, edges[1:], strict=False)
     return unique, summed(at, sums, len(unique)), at, speaks, list(blocks)
 
 
+def _answer(file: BlockFile, lang: str, part: int, block: int, level: int, figures: np.ndarray) -> tuple:
+    return (ANSWER, lang, part, block, level, None, *file.write(packed(figures)))
+
+
+def _tallied(lang: str | None, part: int, level: int, n: bytes) -> tuple:
+    return (TALLY, lang, part, None, level, n, None, None, None)
+
+
 def _made(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), MADE_ARROW, strict=True)], schema=MADE_ARROW)
 
 
-def _count(level: int):
+def _count(level: int, folder: str):
     """A part of the trigrams (3) or bigrams (2) of a language."""
     def count(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         lang, part = key[0].as_py(), key[1].as_py()
         _, sums, at, speaks, blocks = _met(rows, 1 if level == 3 else 5)
-        n = sums[:, -1]
-        out = [(ANSWER, lang, part, block, level, packed(np.column_stack([sums[at[a:z]], speaks[a:z]]))) for _, block, a, z in blocks]
-        return _made([*out, (TALLY, lang, part, None, level, _tally(n[n > 0]))])  # marks before a text are no gram
+        n, file = sums[:, -1], BlockFile(folder)
+        out = [_answer(file, lang, part, block, level, np.column_stack([sums[at[a:z]], speaks[a:z]])) for _, block, a, z in blocks]
+        file.close()
+        return _made([*out, _tallied(lang, part, level, _tally(n[n > 0]))])  # marks before a text are no gram
     return count
 
 
-def _words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+def _words(folder: str):
     """A part of the words of all languages: the sixth figure is a word's count in the whole corpus."""
-    part, out = key[0].as_py(), []
-    every, n, at, _, blocks = _met(rows, 6)
-    n, corpus_at = n[:, 5], {block: at[a:z] for _, block, a, z in blocks}
-    for lang in pc.unique(rows.column("lang")).to_pylist():
-        _, sums, own_at, _, own = _met(rows.filter(pc.equal(rows.column("lang"), lang)), 6)
-        out += [(ANSWER, lang, part, block, 1, packed(np.column_stack([sums[own_at[a:z], :5], n[corpus_at[block]]]))) for _, block, a, z in own]
-        out.append((TALLY, lang, part, None, 1, _tally(sums[:, 4])))
-    return _made([*out, (TALLY, None, part, None, 0, np.array([n.sum(), (n > 0).sum()], np.int64).tobytes())])
+    def words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        part, out, file = key[0].as_py(), [], BlockFile(folder)
+        _, n, at, _, blocks = _met(rows, 6)
+        n, corpus_at = n[:, 5], {block: at[a:z] for _, block, a, z in blocks}
+        for lang in pc.unique(rows.column("lang")).to_pylist():
+            _, sums, own_at, _, own = _met(rows.filter(pc.equal(rows.column("lang"), lang)), 6)
+            out += [_answer(file, lang, part, block, 1, np.column_stack([sums[own_at[a:z], :5], n[corpus_at[block]]])) for _, block, a, z in own]
+            out.append(_tallied(lang, part, 1, _tally(sums[:, 4])))
+        file.close()
+        return _made([*out, _tallied(None, part, 0, np.array([n.sum(), (n > 0).sum()], np.int64).tobytes())])
+    return words
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -309,16 +351,17 @@ def document_scores(g: Grams, spelled: np.ndarray, n_docs: int, tri: np.ndarray,
     cut = {k: discounts(*tally[k][:4]) for k in (1, 2, 3)}
 
     # distinct trigrams of each document, then its bigrams, then its words: (document, gram)
-    key, first, own = np.unique(g.doc * max(len(g.tri), 1) + g.tri_at, return_index=True, return_counts=True)
+    _, first, at = distinct(g.doc * max(len(g.tri), 1) + g.tri_at)
+    own = np.bincount(at, minlength=len(first))
     doc, context, gram = g.doc[first], g.context_at[first], g.gram_at[first]
     n3 = tri[g.tri_at[first]].astype(np.int64)
     left3 = n3 - own
-    c_key, c_at = np.unique(doc * len(g.bi) + context, return_inverse=True)
+    c_key, _, c_at = distinct(doc * len(g.bi) + context)
     change3 = summed(c_at, np.column_stack([own, kinds(n3) - kinds(left3)]), len(c_key))
     total3 = bi[context, 0] - change3[c_at, 0]
     kind3 = bi[context, 1:4] - change3[c_at, 1:]
 
-    s_key, s_first, s_at = np.unique(doc * len(g.bi) + gram, return_index=True, return_inverse=True)
+    s_key, s_first, s_at = distinct(doc * len(g.bi) + gram)
     opens = g.bi_context[context] == OPEN
     opens &= g.bi_word[context] == OPEN
     gone = summed(s_at, np.where(opens, own, left3 == 0), len(s_key))
@@ -326,12 +369,12 @@ def document_scores(g: Grams, spelled: np.ndarray, n_docs: int, tri: np.ndarray,
     before, word = g.before_at[first][s_first], g.word_at[first][s_first]
     n2 = bi[s_bi, 4]
     left2 = n2 - gone
-    u_key, u_at = np.unique(s_doc * len(g.uni) + before, return_inverse=True)
+    u_key, _, u_at = distinct(s_doc * len(g.uni) + before)
     change2 = summed(u_at, np.column_stack([gone, kinds(n2) - kinds(left2)]), len(u_key))
     total2 = uni[before, 0] - change2[u_at, 0]
     kind2 = uni[before, 1:4] - change2[u_at, 1:]
 
-    w_key, w_first, w_at = np.unique(s_doc * len(g.uni) + word, return_index=True, return_inverse=True)
+    w_key, w_first, w_at = distinct(s_doc * len(g.uni) + word)
     w_doc = s_doc[w_first]
     n1 = uni[word[w_first], 4]
     left1 = n1 - summed(w_at, (left2 == 0).astype(np.int64), len(w_key))
@@ -350,13 +393,32 @@ def document_scores(g: Grams, spelled: np.ndarray, n_docs: int, tri: np.ndarray,
     return np.bincount(doc, own * np.log(np.maximum(p3, 1e-300)), n_docs)
 
 
+def document_slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of at most ``most`` words, or of one document."""
+    ends, at = np.cumsum(lengths), 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(ends, most + ends[at] - lengths[at], "right")))
+        yield at, to
+        at = to
+
+
+def block_scores(g: Grams, spelled: np.ndarray, lengths: np.ndarray, tri: np.ndarray, bi: np.ndarray, uni: np.ndarray,
+                 tally: dict[int, np.ndarray]) -> np.ndarray:
+    """``document_scores`` of all documents of a block, some at a time: what that takes does not grow with the block."""
+    ends, out = np.cumsum(lengths), []
+    for at, to in document_slices(lengths, SLICE_WORDS):
+        own = g.words_from(int(ends[at] - lengths[at]), int(ends[to - 1]), at)
+        out.append(document_scores(own, spelled, to - at, tri, bi, uni, tally))
+    return np.concatenate(out)
+
+
 def _finish(tallies: dict[str, dict[int, np.ndarray]], bits: int):
     def finish(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
         place = places.to_pylist()[0]
         words, ids, spelled, lengths = read_block(place)
         g = Grams(words, ids, lengths, bits)
         g.trigrams(), g.bigrams(), g.unigrams()
-        sums = document_scores(g, spelled, len(lengths), _figures(rows, 3, 2)[:, 0], _figures(rows, 2, 6), _figures(rows, 1, 6),
+        sums = block_scores(g, spelled, lengths, _figures(rows, 3, 2)[:, 0], _figures(rows, 2, 6), _figures(rows, 1, 6),
                                {**tallies[None], **tallies[place["lang"]]})
         sums = [s / n if n else None for s, n in zip((-sums).tolist(), lengths.tolist(), strict=True)]
         return pa.table({"block": pa.array([place["block"]] * len(lengths), pa.int64()),
@@ -394,19 +456,20 @@ def score_kept(kept: DataFrame, folder: str) -> DataFrame:
     n_words, n_blocks = kept.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
     parts, bits = max(LEAST_PARTS, ceil(n_words / PART_WORDS)), hash_bits(n_words)
     # rows here are places of a few MB each, so tasks are told by blocks, not by bytes
-    places = kept.select(*PLACE)
-    sent = places.repartition(max(8, ceil(n_blocks / 4)), "block").mapInArrow(_send_trigrams(parts, bits), SENT)
-    made = {3: stage(sent.groupBy("lang", "part").applyInArrow(_count(3), MADE), folder, "words-3")}
-    for level, by, count in ((2, ("lang", "part"), _count(2)), (1, ("part",), _words)):
-        above = made[level + 1].filter(F.col("kind") == ANSWER)
+    tasks = max(8, ceil(n_blocks / 4))
+    places = kept.select(*PLACE).repartition(tasks, "block")
+    sent = places.mapInArrow(_send_trigrams(parts, bits), SENT)
+    made = {3: stage(sent.groupBy("lang", "part").applyInArrow(_count(3, folder), MADE), folder, "words-3")}
+    for level, by, count in ((2, ("lang", "part"), _count(2, folder)), (1, ("part",), _words(folder))):
+        above = made[level + 1].filter(F.col("kind") == ANSWER).repartition(tasks, "block")
         sent = places.groupBy("block").cogroup(above.groupBy("block")).applyInArrow(_send_lower(level, parts, bits), SENT)
         made[level] = stage(sent.groupBy(*by).applyInArrow(count, MADE), folder, f"words-{level}")
     every = made[3].unionByName(made[2]).unionByName(made[1])
     tallies: dict[str, dict[int, np.ndarray]] = {}
-    figures = every.filter(F.col("kind") == TALLY).groupBy("lang", "level").applyInArrow(_added, "lang string, level int, n binary")
+    figures = every.filter(F.col("kind") == TALLY).select("lang", "level", "n").groupBy("lang", "level").applyInArrow(_added, "lang string, level int, n binary")
     for r in figures.collect():  # three rows a language, one for all
         tallies.setdefault(r.lang, {})[r.level] = np.frombuffer(r.n, np.int64)
-    answers = every.filter(F.col("kind") == ANSWER).groupBy("block")
+    answers = every.filter(F.col("kind") == ANSWER).repartition(tasks, "block").groupBy("block")
     return places.groupBy("block").cogroup(answers).applyInArrow(_finish(tallies, bits), "block long, place int, log_ppl double")
 
 
