@@ -421,6 +421,15 @@ def test_repeated_words_of_many_documents():
     assert kn_rules.repeated_words(ids, lengths).tolist() == want and sum(want) > 100
 
 
+def test_rules_of_null_and_empty_texts_of_a_language_that_passes(spark):
+    good = " ".join(f"word{k}" for k in range(40))
+    docs = spark.createDataFrame([(k, "en", f"{good} {k}") for k in range(30)] + [(90, "en", None), (91, "en", ""), (92, None, None)],
+                                 "doc_id long, lang string, text string")
+    rows = {r.doc_id: r for r in kn_rules.quality_rules(docs).collect()}
+    assert len(rows) == 33 and sum(r.kept for r in rows.values()) == 30
+    assert all(rows[k].n_words == 0 and rows[k].base_failed and not rows[k].kept for k in (90, 91, 92))
+
+
 # --- 8: packing ----------------------------------------------------------------------------
 
 

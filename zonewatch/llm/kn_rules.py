@@ -228,9 +228,7 @@ class _Scorer:
     """A language's model and the scores of the words met so far."""
 
     def __init__(self, folder: str, lang: str):
-        fs, path = store(_model_file(folder, lang))
-        with fs.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as held:
-            self.model = {k: held[k] for k in held.files}
+        self.file, self.model = _model_file(folder, lang), None
         self.ids: dict[bytes, int] = {}
         self.scores, self.hashes = np.zeros(0), np.zeros(0, np.uint64)
 
@@ -240,6 +238,10 @@ class _Scorer:
         new = [w for w in words if w not in self.ids]
         if not new:
             return
+        if self.model is None:  # a language without words has none
+            fs, path = store(self.file)
+            with fs.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as held:
+                self.model = {k: held[k] for k in held.files}
         grams, owner = fold(_clean(new))
         scores = np.bincount(owner, np.log(_probability(self.model, ORDER, grams)), len(new))
         self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
@@ -348,7 +350,7 @@ def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, w
     # a language may hold most documents: its one row of quartiles is copied to every salt
     quartiles = by_char.join(by_word, "lang").select(
         F.col("lang").alias("_lang"), "c", "w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    wider = 1 + SHORT / F.sqrt("n_words")
+    wider = 1 + SHORT / F.sqrt(F.greatest("n_words", F.lit(1)))  # without words a document fails the base rules
     q1, q3 = F.col("c")[0], F.col("c")[1]
     spread = F.greatest(q3 - q1, F.lit(MIN_RANGE)) * wider
     w2, w3 = F.col("w")[0], F.col("w")[1]
