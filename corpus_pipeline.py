@@ -4,7 +4,9 @@ Each stage works on all that its predecessor kept; the first four return the
 columns of ``documents``, the last one row per packed piece.  The classifier
 learns from the labelled documents that reach it.  Rows are told apart by a written
 key, not by ``doc_id``, which may be null or repeat: a decision on one row touches
-no other, and of equal rows one stays (ties fall to the smallest key).
+no other, and of equal rows one stays (ties fall to the smallest key).  The key of a row
+that is read from Parquet files is its file and place there, so no copy of the texts is
+written for it; any other frame is written once with a key.
 
 Cases: an empty table gives an empty result.  Extra columns, whatever their names, are carried to
 packing and ignored.  Null texts have no words and go with the first stage; texts of any length
@@ -14,13 +16,14 @@ are taken whole.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonewatch.llm import cuckoo, kn_rules, minhash, packing, pu_quality
 from zonewatch.llm.common import run_folder, stage, table, without
 
 ROW, MARK = "_pipeline_row", "pipeline.row"
+ROW_BITS = 40  # of a key, for the row's place in its file
 
 
 def row_key(rows: DataFrame) -> str | None:
@@ -28,6 +31,17 @@ def row_key(rows: DataFrame) -> str | None:
     return next((f.name for f in rows.schema.fields if f.metadata and f.metadata.get(MARK)), None)
 
 
+def plain_read(spark: SparkSession, docs: DataFrame) -> bool:
+    """Whether ``docs`` is nothing but a read of one Parquet file or folder: each row once, the same at every read."""
+    files = docs.inputFiles()
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    if len(folders) != 1:
+        return False
+    paths = folders | set(files if len(files) == 1 else ())
+    paths |= {p.removeprefix("file://") for p in paths}  # frames are the same if their paths are spelt alike
+    return any(docs.sameSemantics(spark.read.schema(docs.schema).parquet(p)) for p in paths)
+
+
 def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with a written key for every row, unless it has one."""
     if row_key(docs):
@@ -35,8 +49,16 @@ def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     name = ROW
     while name.lower() in (c.lower() for c in docs.columns):
         name += "_"
-    key = F.monotonically_increasing_id().alias(name, metadata={MARK: True})
-    return stage(docs.select("*", key), run_folder(spark, "rows"), "keyed")
+    folder, mark = run_folder(spark, "rows"), {MARK: True}
+    if not plain_read(spark, docs):
+        return stage(docs.select("*", F.monotonically_increasing_id().alias(name, metadata=mark)), folder, "keyed")
+    at = docs.metadataColumn("_metadata")
+    order = Window.orderBy("_path")  # one row a file
+    files = stage(docs.select(at["file_path"].alias("_path")).distinct().select(
+        "_path", (F.row_number().over(order) - 1).cast("long").alias("_file")), folder, "files")
+    placed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_own"), at["file_path"].alias("_at"), at["row_index"].alias("_index"))
+    key = F.shiftleft("_file", ROW_BITS) + F.col("_index")
+    return placed.join(F.broadcast(files), F.col("_at") == F.col("_path")).select("_own.*", key.alias(name, metadata=mark))
 
 
 def by_row(rows: DataFrame) -> DataFrame:
