@@ -12,10 +12,11 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewatch.session import checkpoint_dir
+from zonewatch.session import checkpoint_dir, settings
 
 SPACE = b" \t\n\r\x0b\x0c"  # what bytes.split() splits on: \x20 and \x09-\x0D
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +43,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage
-    in storage that outlives executors, and computes ``df`` once."""
+    in storage that outlives executors, and computes ``df`` once.  What was shuffled for it is
+    removed once it is written, not when the driver next collects garbage."""
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    with settings(df.sparkSession, **{CLEANUP: "true"}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -79,8 +79,8 @@ CLASSES = _classes()
 
 def fold(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """4-gram keys of the words, one for each symbol predicted, and the word of each key."""
-    pad = "\x00" * (ORDER - 1)
-    text = "".join([f"{pad}{w.decode('utf-8', 'replace')}\x01" for w in words])
+    pad = b"\x00" * (ORDER - 1)
+    text = (pad + (b"\x01" + pad).join(words) + b"\x01").decode("utf-8", "replace") if words else ""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     symbols = np.where(points < 128, CLASSES[np.minimum(points, 127)], OTHER + points % 12).astype(np.uint32)
     symbols[points == 0] = START
@@ -97,6 +97,9 @@ def fold(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _clean(words: list[bytes]) -> list[bytes]:
     """The two marks are not characters of words."""
+    whole = b" ".join(words)
+    if b"\x00" not in whole and b"\x01" not in whole:
+        return words
     return [w.replace(b"\x00", b"?").replace(b"\x01", b"?") for w in words]
 
 
@@ -243,7 +246,8 @@ class _Scorer:
             with fs.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as held:
                 self.model = {k: held[k] for k in held.files}
         grams, owner = fold(_clean(new))
-        scores = np.bincount(owner, np.log(_probability(self.model, ORDER, grams)), len(new))
+        met, _, at = kn_words.distinct(grams)  # words share most of their 4-grams
+        scores = np.bincount(owner, np.log(_probability(self.model, ORDER, met))[at], len(new))
         self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
         self.scores = np.concatenate([self.scores, scores])
         self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
@@ -311,7 +315,8 @@ def _blocks(folder: str):
                 failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
                 ppl = -float(own.scores[ids[end - n:end]].sum()) / (base[1] + base[0]) if n else None
                 docs.append({"doc_id": doc_id, **dict(zip(FIGURES, base, strict=True)), "base_failed": failed, "char_ppl": ppl})
-            used, places = np.unique(ids, return_inverse=True)
+            met = np.bincount(ids, minlength=len(own.ids)) > 0
+            used, places = np.flatnonzero(met), (np.cumsum(met) - 1)[ids]
             where = file.put(own.hashes[used], places, own.scores[used], lengths)
             block += 1
             row = (block - 1, lang, len(places), *where, docs)

@@ -3,7 +3,9 @@
 Counts.  Every document counts, whole.  A block (documents of one language out
 of a few MB of a task) lies compressed in a file of its task, and sends no words:
 it sends the sorted hashes of its distinct trigrams, as differences, with their
-counts, to parts by hash range.  A part is a sorted hash array of the model: it
+counts, to parts by hash range.  Most grams lie in one block: the first bits of all of them go ahead, ``FILTER_BITS``
+longer than the corpus's words need, and only grams whose first bits another block sent too follow whole; what is known of
+the others is the block's own, and it speaks for them (its counts of their counts go along).  A part is a sorted hash array of the model: it
 adds the counts up and answers each block with the corpus counts of its trigrams, in a file that the block
 reads its share of whenever it needs it, so that answers are written once and never shuffled; of the blocks
 that hold a trigram one is told that it speaks for it.  That block adds to its
@@ -39,14 +41,18 @@ from zonewatch.llm.common import mix, stage, store
 PART_WORDS = 1 << 22  # words of the corpus a part
 LEAST_PARTS = 48
 MARGIN_BITS = 20  # bits of a gram's hash beyond those that number the words of the corpus
+FILTER_BITS = 5  # the same for the first look at which grams several blocks hold: one in 32 looks shared and is not
+FILTERED = {3: 5, 2: 4}  # level of what the first look says of trigrams and bigrams
 OPEN = np.uint64(0x6A09E667F3BCC909)  # stands before a text's first words
+OPENS = np.array([OPEN])
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 ANSWER, TALLY = 0, 1
 
 KEPT = "block long, lang string, n_words long, file string, offset long, size long"
 PLACE = ("block", "lang", "file", "offset", "size")
-SENT = "lang string, part int, block long, keys binary, n binary"
-SENT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+SENT = "lang string, part int, block long, keys binary, n binary, level int, tally binary"
+SENT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary()),
+                        ("level", pa.int32()), ("tally", pa.binary())])
 MADE = "kind int, lang string, part int, block long, level int, n binary, file string, offset long, size long"
 MADE_ARROW = pa.schema([("kind", pa.int32()), ("lang", pa.string()), ("part", pa.int32()), ("block", pa.int64()), ("level", pa.int32()),
                         ("n", pa.binary()), ("file", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
@@ -74,15 +80,26 @@ def kinds(n: np.ndarray) -> np.ndarray:
     return np.stack([n == 1, n == 2, n >= 3], axis=1).astype(np.int64)
 
 
+def sorted_places(keys: np.ndarray) -> np.ndarray:
+    """The places of the keys in sorted order, equal ones in theirs: keys are sorted with their place in the lowest
+    bits, which is faster than an indirect sort; where the bits it takes would tell keys apart, that is used."""
+    keys = keys.astype(np.uint64, copy=False)
+    place = (1 << len(keys).bit_length()) - 1
+    moved = keys << np.uint64(64 - int(keys.max(initial=1)).bit_length())
+    order = (np.sort(moved & np.uint64(~place & (1 << 64) - 1) | np.arange(len(keys), dtype=np.uint64)) & np.uint64(place)).astype(np.int64)
+    held = keys[order]
+    return order if (held[1:] >= held[:-1]).all() else np.argsort(keys, kind="stable")
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted distinct keys, the first place of each, and the number among them of every key."""
-    order = np.argsort(keys)
+    """The sorted distinct keys, none negative, the first place of each, and the number among them of every key."""
+    order = sorted_places(keys)
     held = keys[order]
     opens = np.ones(len(keys), bool)
     opens[1:] = held[1:] != held[:-1]
     at = np.empty(len(keys), np.int64)
     at[order] = np.cumsum(opens) - 1
-    return held[opens], np.minimum.reduceat(order, np.flatnonzero(opens)), at
+    return held[opens], order[opens], at
 
 
 def summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -103,8 +120,19 @@ def unpacked(held: bytes, dtype: type, columns: int) -> np.ndarray:
     return np.frombuffer(raw, dtype).reshape(columns, -1).T
 
 
-def hash_bits(n_words: int) -> int:
-    return min(64, MARGIN_BITS + int(n_words).bit_length())
+def packed_counts(n: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, the lowest bytes of all first."""
+    size = next(k for k in (1, 2, 4, 8) if int(n.max(initial=0)) < 1 << 8 * k)
+    return bytes([size]) + packed(np.ascontiguousarray(n.T).astype(f"<u{size}").view(np.uint8).reshape(-1, size))
+
+
+def unpacked_counts(held: bytes, columns: int) -> np.ndarray:
+    flat = np.ascontiguousarray(unpacked(held[1:], np.uint8, held[0])).view(f"<u{held[0]}")
+    return flat.astype(np.int64).reshape(columns, -1).T
+
+
+def hash_bits(n_words: int, margin: int = MARGIN_BITS) -> int:
+    return min(64, margin + int(n_words).bit_length())
 
 
 def packed_keys(keys: np.ndarray, bits: int) -> bytes:
@@ -135,11 +163,12 @@ class BlockFile:
 
     def put(self, words: np.ndarray, ids: np.ndarray, spelled: np.ndarray, lengths: np.ndarray) -> tuple[str, int, int]:
         """Where the block lies: file, offset, size."""
-        order = np.argsort(-np.bincount(ids, minlength=len(words)), kind="stable")  # common words have small ids
+        # common words have small ids; those met equally often lie in order of their hashes, kept as differences
+        order = np.lexsort((words, -np.bincount(ids, minlength=len(words))))
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         # a word is 56 bits of its hash, its spelling's log p single precision
-        parts = [packed((words[order] >> np.uint64(8)).view(np.uint8).reshape(-1, 8)), packed(rank[ids].view(np.uint8).reshape(-1, 4)),
+        parts = [packed(np.diff(words[order] >> np.uint64(8), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)), packed(rank[ids].view(np.uint8).reshape(-1, 4)),
                  packed(spelled[order].astype(np.float32)), packed(lengths.astype(np.int64))]
         return self.write(np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts))
 
@@ -160,7 +189,7 @@ def read_block(place: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     held = read_range(place["file"], place["offset"], place["size"])
     edges = 32 + np.cumsum([0, *np.frombuffer(held[:32], np.int64).tolist()])
     words, ids, spelled, lengths = (held[a:z] for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False))
-    return (np.ascontiguousarray(unpacked(words, np.uint8, 8)).view(np.uint64).ravel(), np.ascontiguousarray(unpacked(ids, np.uint8, 4)).view(np.int32).ravel(),
+    return (unpacked_keys(words), np.ascontiguousarray(unpacked(ids, np.uint8, 4)).view(np.int32).ravel(),
             unpacked(spelled, np.float32, 1).ravel().astype(np.float64), unpacked(lengths, np.int64, 1).ravel())
 
 
@@ -170,34 +199,41 @@ class Grams:
     def __init__(self, words: np.ndarray, ids: np.ndarray, lengths: np.ndarray, bits: int):
         self.left_out = np.uint64(64 - bits)
         own = lengths[lengths > 0]
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(own) - own, own)
-        self.w3 = words[ids]
-        self.w2 = np.where(place > 0, np.roll(self.w3, 1), OPEN)
-        self.w1 = np.where(place > 1, np.roll(self.w3, 2), OPEN)
+        self.starts = np.cumsum(own) - own  # the texts' first words
+        self.words, self.ids = words, ids
         self.doc, self.spelled = np.repeat(np.arange(len(lengths)), lengths), ids
+        self.gram = pair(self.before(words[ids], OPEN), words[ids])
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        return pair(self.w1, self.w2), pair(self.w2, self.w3)
+    def before(self, values: np.ndarray, at_start: int | np.unsignedinteger) -> np.ndarray:
+        """Of each word the value of that before it in its text."""
+        out = np.roll(values, 1)
+        out[self.starts] = at_start
+        return out
 
     def short(self, keys: np.ndarray) -> np.ndarray:
         return keys >> self.left_out << self.left_out
 
     def trigrams(self) -> None:
-        context, gram = self.pairs()
-        self.tri, self.tri_first, self.tri_at = distinct(self.short(pair(context, gram)))
+        # the context of a word is the bigram that ends before it
+        keys = pair(self.before(self.gram, pair(OPENS, OPENS)[0]), self.gram)
+        self.tri, self.tri_first, self.tri_at = distinct(self.short(keys))
         self.tri_n = np.bincount(self.tri_at, minlength=len(self.tri))
 
     def bigrams(self) -> None:
-        self.bi, where, at = distinct(self.short(np.concatenate(self.pairs())))
-        self.context_at, self.gram_at = np.split(at, 2)
-        self.bi_context = np.concatenate([self.w1, self.w2])[where]
-        self.bi_word = np.concatenate([self.w2, self.w3])[where]
+        self.bi, _, at = distinct(self.short(np.concatenate([pair(OPENS, OPENS), self.gram])))
+        self.gram_at, self.opening = at[1:], at[0]
+        self.context_at = self.before(self.gram_at, self.opening)
 
     def unigrams(self) -> None:
+        n = np.bincount(self.ids, minlength=len(self.words))
+        used = np.flatnonzero(n)
         # words are 56 bits long: mixed, so that the first bits tell them apart
-        self.uni, _, at = distinct(self.short(mix(np.concatenate([self.w2, self.w3]))))
-        self.before_at, self.word_at = np.split(at, 2)
-        self.uni_n = np.bincount(self.word_at, minlength=len(self.uni))
+        self.uni, _, at = distinct(self.short(mix(np.concatenate([OPENS, self.words[used]]))))
+        number = np.zeros(len(n), np.int64)
+        number[used] = at[1:]
+        self.word_at = number[self.ids]
+        self.before_at = self.before(self.word_at, at[0])
+        self.uni_n = summed(at[1:], n[used], len(self.uni))
 
     def words_from(self, first: int, to: int, doc: int) -> Grams:
         """The words first to to, where document doc begins, with what has been told of each; the distinct grams stay those of the block."""
@@ -210,19 +246,90 @@ class Grams:
 
 def _rows(place: dict, keys: np.ndarray, n: np.ndarray, parts: int, bits: int) -> pa.Table:
     """What a block sends to each part: its keys there and their figures."""
-    rows = [(place["lang"], p, place["block"], packed_keys(keys[a:z], bits), packed(n[a:z])) for p, a, z in ranges(keys, parts)]
+    return _sent([(place["lang"], p, place["block"], packed_keys(keys[a:z], bits), packed_counts(n[a:z]), None, None)
+                  for p, a, z in ranges(keys, parts)])
+
+
+def _sent(rows: list[tuple]) -> pa.Table:
     columns = zip(*rows, strict=True) if rows else [[]] * len(SENT_ARROW)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, SENT_ARROW, strict=True)], schema=SENT_ARROW)
 
 
-def _send_trigrams(parts: int, bits: int):
+def shortened(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct first bits of sorted keys, and the number among them of every key."""
+    short = keys >> np.uint64(64 - bits) << np.uint64(64 - bits)
+    opens = np.ones(len(short), bool)
+    opens[1:] = short[1:] != short[:-1]
+    return short[opens], np.cumsum(opens) - 1
+
+
+def _short_rows(place: dict, level: int, keys: np.ndarray, parts: int, short: int) -> pa.Table:
+    """The first bits of a block's grams of a level: enough to tell most that no other block holds."""
+    keys, _ = shortened(keys, short)
+    return _sent([(place["lang"], p, place["block"], packed_keys(keys[a:z], short), None, level, None) for p, a, z in ranges(keys, parts)])
+
+
+def _send_short(parts: int, bits: int, short: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in batch.to_pylist():
                 words, ids, _, lengths = read_block(place)
                 g = Grams(words, ids, lengths, bits)
                 g.trigrams()
-                yield from _rows(place, g.tri, g.tri_n.astype(np.int64), parts, bits).to_batches()
+                yield from _short_rows(place, 3, g.tri, parts, short).to_batches()
+    return send
+
+
+def _seen(rows: pa.Table, lang: str, part: int, level: int, file: BlockFile) -> list[tuple]:
+    """For each block which of the short keys that it sent to a part another block sent too."""
+    rows = rows.filter(pc.equal(rows.column("level"), level))
+    if not len(rows):
+        return []
+    keys = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
+    edges = np.cumsum([0, *map(len, keys)]).tolist()
+    _, _, at = distinct(np.concatenate(keys))
+    shared = (np.bincount(at) > 1)[at].astype(np.int64)
+    return [_answer(file, lang, part, block, FILTERED[level], shared[a:z])
+            for block, a, z in zip(rows.column("block").to_pylist(), edges, edges[1:], strict=False)]
+
+
+def _filter(folder: str):
+    def look(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        file = BlockFile(folder)
+        out = _seen(rows, key[0].as_py(), key[1].as_py(), 3, file)
+        file.close()
+        return _made(out)
+    return look
+
+
+def _shared(keys: np.ndarray, rows: pa.Table, level: int, short: int) -> np.ndarray:
+    """Which of a block's grams another block may hold too; no other gram is held by another block."""
+    return _figures(rows, FILTERED[level], 1)[shortened(keys, short)[1], 0] == 1
+
+
+def _with_unshared(shared: np.ndarray, answer: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The figures of all grams of a block: as answered, and its own where no other block holds the gram, for which it speaks."""
+    out = np.ones((len(shared), answer.shape[1]), np.int64)
+    out[:, :-1] = own.reshape(len(own), -1)
+    out[shared] = answer
+    return out
+
+
+def _own_rows(place: dict, keys: np.ndarray, n: np.ndarray, shared: np.ndarray, parts: int, bits: int) -> pa.Table:
+    """What a block sends of a level: its shared grams, and the counts of the counts of the others."""
+    rows = _rows(place, keys[shared], n[shared], parts, bits)
+    counts = n.reshape(len(n), -1)[~shared, -1]
+    return pa.concat_tables([rows, _sent([(place["lang"], 0, place["block"], None, None, None, _tally(counts[counts > 0]))])])
+
+
+def _send_trigrams(parts: int, bits: int, short: int):
+    def send(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
+        place = places.to_pylist()[0]
+        words, ids, _, lengths = read_block(place)
+        g = Grams(words, ids, lengths, bits)
+        g.trigrams(), g.bigrams()
+        own = _own_rows(place, g.tri, g.tri_n, _shared(g.tri, rows, 3, short), parts, bits)
+        return pa.concat_tables([own, _short_rows(place, 2, g.bi, parts, short)])  # bigrams are looked at in the same pass
     return send
 
 
@@ -230,7 +337,18 @@ def _figures(rows: pa.Table, level: int, columns: int) -> np.ndarray:
     """What the parts answered to a block's grams of a level, in the order of the grams."""
     rows = rows.filter(pc.equal(rows.column("level"), level)).sort_by("part")
     places = zip(*(rows.column(c).to_pylist() for c in ("file", "offset", "size")), strict=True)
-    return np.concatenate([unpacked(read_range(*place), np.int64, columns) for place in places])
+    return np.concatenate([np.zeros((0, columns), np.int64), *(unpacked_counts(read_range(*place), columns) for place in places)])
+
+
+def _upper_figures(g: Grams, rows: pa.Table, short: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The corpus figures of a block's trigrams, what these give to its bigrams, and which of these are shared."""
+    tri = _with_unshared(_shared(g.tri, rows, 3, short), _figures(rows, 3, 2), g.tri_n)
+    return tri, bigram_sums(g, tri), _shared(g.bi, rows, 2, short)
+
+
+def followed(at: np.ndarray, n: np.ndarray, size: int) -> list[np.ndarray]:
+    """Of each context the sum of its followers' counts, and how many of these are 1, 2, and 3 or more."""
+    return [summed(at, n, size), *(np.bincount(at[held], minlength=size) for held in (n == 1, n == 2, n >= 3))]
 
 
 def bigram_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
@@ -238,33 +356,31 @@ def bigram_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
     speaks = answer[:, 1] == 1
     n, first = answer[speaks, 0], g.tri_first[speaks]
     context, gram = g.context_at[first], g.gram_at[first]
-    opens = (g.w1[first] == OPEN) & (g.w2[first] == OPEN)
-    return np.column_stack([summed(context, np.column_stack([n, kinds(n)]), len(g.bi)),
-                            summed(gram, np.where(opens, n, 1), len(g.bi))])
+    return np.column_stack([*followed(context, n, len(g.bi)), summed(gram, np.where(context == g.opening, n, 1), len(g.bi))])
 
 
 def word_sums(g: Grams, answer: np.ndarray) -> np.ndarray:
     """What the bigrams that a block speaks for give to its words, and the words' own counts.
     Every bigram of the corpus that a block holds is the end of a trigram there."""
-    held, first, _ = distinct(g.gram_at)
-    speaks = answer[held, 5] == 1
-    n, first = answer[held[speaks], 4], first[speaks]
-    return np.column_stack([summed(g.before_at[first], np.column_stack([n, kinds(n)]), len(g.uni)),
-                            summed(g.word_at[first], np.ones_like(n), len(g.uni)), g.uni_n])
+    last = np.full(len(g.bi), -1)
+    last[g.gram_at] = np.arange(len(g.gram_at))
+    speaks = (answer[:, 5] == 1) & (last >= 0)
+    n, last = answer[speaks, 4], last[speaks]
+    return np.column_stack([*followed(g.before_at[last], n, len(g.uni)), np.bincount(g.word_at[last], minlength=len(g.uni)), g.uni_n])
 
 
-def _send_lower(level: int, parts: int, bits: int):
+def _send_lower(level: int, parts: int, bits: int, short: int):
     """The bigrams (2) or words (1) of a block, once the level above has been answered."""
     def send(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
         place = places.to_pylist()[0]
         words, ids, _, lengths = read_block(place)
         g = Grams(words, ids, lengths, bits)
-        g.bigrams()
+        g.trigrams(), g.bigrams()
+        _, sums, shared = _upper_figures(g, rows, short)
         if level == 2:
-            g.trigrams()
-            return _rows(place, g.bi, bigram_sums(g, _figures(rows, 3, 2)), parts, bits)
+            return _own_rows(place, g.bi, sums, shared, parts, bits)
         g.unigrams()
-        return _rows(place, g.uni, word_sums(g, _figures(rows, 2, 6)), parts, bits)
+        return _rows(place, g.uni, word_sums(g, _with_unshared(shared, _figures(rows, 2, 6), sums)), parts, bits)
     return send
 
 
@@ -277,7 +393,7 @@ def _met(rows: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """The part's sorted keys, their sums, the keys of each block in these, whether that block
     speaks for them, and (language, block, from, to)."""
     keys = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
-    sums = np.concatenate([unpacked(x, np.int64, columns) for x in rows.column("n").to_pylist()])
+    sums = np.concatenate([unpacked_counts(x, columns) for x in rows.column("n").to_pylist()])
     edges = np.cumsum([0, *map(len, keys)]).tolist()
     unique, first, at = distinct(np.concatenate(keys))
     speaks = np.zeros(len(at), np.int64)
@@ -287,7 +403,7 @@ def _met(rows: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _answer(file: BlockFile, lang: str, part: int, block: int, level: int, figures: np.ndarray) -> tuple:
-    return (ANSWER, lang, part, block, level, None, *file.write(packed(figures)))
+    return (ANSWER, lang, part, block, level, None, *file.write(packed_counts(figures)))
 
 
 def _tallied(lang: str | None, part: int, level: int, n: bytes) -> tuple:
@@ -301,12 +417,18 @@ def _made(rows: list[tuple]) -> pa.Table:
 def _count(level: int, folder: str):
     """A part of the trigrams (3) or bigrams (2) of a language."""
     def count(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        lang, part = key[0].as_py(), key[1].as_py()
-        _, sums, at, speaks, blocks = _met(rows, 1 if level == 3 else 5)
-        n, file = sums[:, -1], BlockFile(folder)
-        out = [_answer(file, lang, part, block, level, np.column_stack([sums[at[a:z]], speaks[a:z]])) for _, block, a, z in blocks]
+        lang, part, file = key[0].as_py(), key[1].as_py(), BlockFile(folder)
+        own = rows.filter(pc.is_valid(rows.column("tally")))
+        tally = sum((np.frombuffer(x, np.int64) for x in own.column("tally").to_pylist()), np.zeros(8, np.int64))
+        out = _seen(rows, lang, part, 2, file)
+        rows = rows.filter(pc.is_valid(rows.column("n")))
+        if len(rows):
+            _, sums, at, speaks, blocks = _met(rows, 1 if level == 3 else 5)
+            n = sums[:, -1]
+            out += [_answer(file, lang, part, block, level, np.column_stack([sums[at[a:z]], speaks[a:z]])) for _, block, a, z in blocks]
+            tally = tally + np.frombuffer(_tally(n[n > 0]), np.int64)  # marks before a text are no gram
         file.close()
-        return _made([*out, _tallied(lang, part, level, _tally(n[n > 0]))])  # marks before a text are no gram
+        return _made([*out, _tallied(lang, part, level, tally.tobytes())])
     return count
 
 
@@ -338,7 +460,7 @@ def _level(n, own_n, total, own_total, kind, cut, below):
     """Interpolated probability of counts ``own_n`` in contexts of ``own_total`` and ``kind``."""
     seen = own_total > 0
     least = np.maximum(own_total, 1)
-    weight = np.where(seen, (kind * cut[1:]).sum(axis=1) / least, 1.0)
+    weight = np.where(seen, (kind[:, 0] * cut[1] + kind[:, 1] * cut[2] + kind[:, 2] * cut[3]) / least, 1.0)
     return np.where(seen, (own_n - cut[np.minimum(own_n, 3)]) / least, 0.0) + weight * below
 
 
@@ -362,9 +484,7 @@ def document_scores(g: Grams, spelled: np.ndarray, n_docs: int, tri: np.ndarray,
     kind3 = bi[context, 1:4] - change3[c_at, 1:]
 
     s_key, s_first, s_at = distinct(doc * len(g.bi) + gram)
-    opens = g.bi_context[context] == OPEN
-    opens &= g.bi_word[context] == OPEN
-    gone = summed(s_at, np.where(opens, own, left3 == 0), len(s_key))
+    gone = summed(s_at, np.where(context == g.opening, own, left3 == 0), len(s_key))
     s_doc, s_bi = doc[s_first], gram[s_first]
     before, word = g.before_at[first][s_first], g.word_at[first][s_first]
     n2 = bi[s_bi, 4]
@@ -412,14 +532,15 @@ def block_scores(g: Grams, spelled: np.ndarray, lengths: np.ndarray, tri: np.nda
     return np.concatenate(out)
 
 
-def _finish(tallies: dict[str, dict[int, np.ndarray]], bits: int):
+def _finish(tallies: dict[str, dict[int, np.ndarray]], bits: int, short: int):
     def finish(key: tuple[pa.Scalar, ...], places: pa.Table, rows: pa.Table) -> pa.Table:
         place = places.to_pylist()[0]
         words, ids, spelled, lengths = read_block(place)
         g = Grams(words, ids, lengths, bits)
         g.trigrams(), g.bigrams(), g.unigrams()
-        sums = block_scores(g, spelled, lengths, _figures(rows, 3, 2)[:, 0], _figures(rows, 2, 6), _figures(rows, 1, 6),
-                               {**tallies[None], **tallies[place["lang"]]})
+        tri, sums, shared = _upper_figures(g, rows, short)
+        bi = _with_unshared(shared, _figures(rows, 2, 6), sums)
+        sums = block_scores(g, spelled, lengths, tri[:, 0], bi, _figures(rows, 1, 6), {**tallies[None], **tallies[place["lang"]]})
         sums = [s / n if n else None for s, n in zip((-sums).tolist(), lengths.tolist(), strict=True)]
         return pa.table({"block": pa.array([place["block"]] * len(lengths), pa.int64()),
                          "place": pa.array(range(len(lengths)), pa.int32()), "log_ppl": pa.array(sums, pa.float64())})
@@ -454,23 +575,24 @@ def score_kept(kept: DataFrame, folder: str) -> DataFrame:
     """The same for blocks that lie in files: block, lang, n_words, file, offset, size."""
     kept = kept.filter("n_words > 0")
     n_words, n_blocks = kept.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
-    parts, bits = max(LEAST_PARTS, ceil(n_words / PART_WORDS)), hash_bits(n_words)
+    parts, bits, short = max(LEAST_PARTS, ceil(n_words / PART_WORDS)), hash_bits(n_words), hash_bits(n_words, FILTER_BITS)
     # rows here are places of a few MB each, so tasks are told by blocks, not by bytes
     tasks = max(8, ceil(n_blocks / 4))
     places = kept.select(*PLACE).repartition(tasks, "block")
-    sent = places.mapInArrow(_send_trigrams(parts, bits), SENT)
-    made = {3: stage(sent.groupBy("lang", "part").applyInArrow(_count(3, folder), MADE), folder, "words-3")}
-    for level, by, count in ((2, ("lang", "part"), _count(2, folder)), (1, ("part",), _words(folder))):
-        above = made[level + 1].filter(F.col("kind") == ANSWER).repartition(tasks, "block")
-        sent = places.groupBy("block").cogroup(above.groupBy("block")).applyInArrow(_send_lower(level, parts, bits), SENT)
-        made[level] = stage(sent.groupBy(*by).applyInArrow(count, MADE), folder, f"words-{level}")
-    every = made[3].unionByName(made[2]).unionByName(made[1])
+    sent = places.mapInArrow(_send_short(parts, bits, short), SENT)
+    told = stage(sent.groupBy("lang", "part").applyInArrow(_filter(folder), MADE), folder, "words-shared")
+    for level, by, send, count in ((3, ("lang", "part"), _send_trigrams(parts, bits, short), _count(3, folder)),
+                                   (2, ("lang", "part"), _send_lower(2, parts, bits, short), _count(2, folder)),
+                                   (1, ("part",), _send_lower(1, parts, bits, short), _words(folder))):
+        above = told.filter(F.col("kind") == ANSWER).repartition(tasks, "block")
+        sent = places.groupBy("block").cogroup(above.groupBy("block")).applyInArrow(send, SENT)
+        told = told.unionByName(stage(sent.groupBy(*by).applyInArrow(count, MADE), folder, f"words-{level}"))
     tallies: dict[str, dict[int, np.ndarray]] = {}
-    figures = every.filter(F.col("kind") == TALLY).select("lang", "level", "n").groupBy("lang", "level").applyInArrow(_added, "lang string, level int, n binary")
+    figures = told.filter(F.col("kind") == TALLY).select("lang", "level", "n").groupBy("lang", "level").applyInArrow(_added, "lang string, level int, n binary")
     for r in figures.collect():  # three rows a language, one for all
         tallies.setdefault(r.lang, {})[r.level] = np.frombuffer(r.n, np.int64)
-    answers = every.filter(F.col("kind") == ANSWER).repartition(tasks, "block").groupBy("block")
-    return places.groupBy("block").cogroup(answers).applyInArrow(_finish(tallies, bits), "block long, place int, log_ppl double")
+    answers = told.filter(F.col("kind") == ANSWER).repartition(tasks, "block").groupBy("block")
+    return places.groupBy("block").cogroup(answers).applyInArrow(_finish(tallies, bits, short), "block long, place int, log_ppl double")
 
 
 def _added(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
